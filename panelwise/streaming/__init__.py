@@ -1,0 +1 @@
+"""Nothing here: all work of this library is batch (see README)."""
