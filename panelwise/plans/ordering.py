@@ -30,6 +30,7 @@ class SplitPoints:
 
     splits: list[tuple]
     types: list[str]
+    total: int  # rows of the table
 
     def bucket(self, order: list[Column]) -> Column:
         if not self.splits:
@@ -62,12 +63,12 @@ def split_points(
     total = cols.count()
     buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(total / rows_per_bucket)))
     if total <= buckets:
-        return SplitPoints([], types)
+        return SplitPoints([], types, total)
     want = buckets * SAMPLE_PER_BUCKET
     sample = cols if total <= 2 * want else cols.sample(fraction=want / total, seed=17)
     step = max(1, (total if total <= 2 * want else want) // buckets)
     ranked = sorted(tuple(r) for r in sample.na.drop().collect())
-    return SplitPoints(sorted(set(ranked[step::step]))[: max_buckets - 1], types)
+    return SplitPoints(sorted(set(ranked[step::step]))[: max_buckets - 1], types, total)
 
 
 def with_running(
@@ -111,15 +112,10 @@ def with_position(
     return ranked.withColumn(name, F.col(name) - 1)
 
 
-def order_statistics(df: DataFrame, value: str, key: str, positions: list[int]) -> dict[int, float]:
-    """Exact values at the given 0-based positions of ``value`` in ascending order.
-
-    Only the asked-for rows reach the driver. A position outside the table raises IndexError.
-    """
+def _values_at(rows: DataFrame, positions: list[int], points: SplitPoints) -> dict[int, float]:
     asked = sorted(set(positions))
-    rows = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), F.col(key).alias("_k"))
     found = (
-        with_position(rows, [F.col("_v"), F.col("_k")])
+        with_position(rows, [F.col("_v"), F.col("_k")], points=points)
         .where(F.col("position").isin(asked))
         .select("position", "_v")
         .collect()
@@ -127,17 +123,31 @@ def order_statistics(df: DataFrame, value: str, key: str, positions: list[int])
     values = {r["position"]: r["_v"] for r in found}
     missing = [p for p in asked if p not in values]
     if missing:
-        raise IndexError(f"positions {missing} lie outside the {value} column")
+        raise IndexError(f"positions {missing} lie outside a table of {points.total} values")
     return values
 
 
+def _known(df: DataFrame, value: str, key: str) -> tuple[DataFrame, SplitPoints]:
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), F.col(key).alias("_k"))
+    return rows, split_points(rows, [F.col("_v"), F.col("_k")])
+
+
+def order_statistics(df: DataFrame, value: str, key: str, positions: list[int]) -> dict[int, float]:
+    """Exact values at the given 0-based positions of ``value`` in ascending order.
+
+    Only the asked-for rows reach the driver. A position outside the table raises IndexError.
+    """
+    rows, points = _known(df, value, key)
+    return _values_at(rows, positions, points)
+
+
 def quantiles(df: DataFrame, value: str, key: str, probabilities: list[float]) -> list[float]:
     """Exact quantiles with linear interpolation between neighbours."""
-    n = df.where(F.col(value).isNotNull()).count()
-    if n == 0:
+    rows, points = _known(df, value, key)
+    if points.total == 0:
         return []
-    spots = [p * (n - 1) for p in probabilities]
-    at = order_statistics(df, value, key, [f(s) for s in spots for f in (math.floor, math.ceil)])
+    spots = [p * (points.total - 1) for p in probabilities]
+    at = _values_at(rows, [f(s) for s in spots for f in (math.floor, math.ceil)], points)
     return [
         at[math.floor(s)] + (at[math.ceil(s)] - at[math.floor(s)]) * (s - math.floor(s)) for s in spots
     ]

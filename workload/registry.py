@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from workload import family_queries, oracle_families
+from workload import family_queries, oracle_families, oracle_scores, score_queries
 
 
 def queries() -> dict:
-    return {**family_queries.queries()}
+    return {**family_queries.queries(), **score_queries.queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_families.families()}
+    return {**oracle_families.families(), **oracle_scores.scores()}
