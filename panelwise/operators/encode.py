@@ -77,6 +77,14 @@ class LabelMap:
 def fit_labels(df: DataFrame, columns: Sequence[str]) -> LabelMap:
     """Number the sorted distinct values of each column from 0; NULL, if present, comes last."""
     values = _long(df, columns).distinct()
+    head = values.limit(BROADCAST_ROWS + 1).collect()
+    if len(head) <= BROADCAST_ROWS:
+        codes = []
+        for c in columns:
+            own = [r for r in head if r["name"] == c]
+            own.sort(key=lambda r: (r["txt"] is None, r["num"] or 0.0, r["txt"] or ""))
+            codes += [(c, r["txt"], i) for i, r in enumerate(own)]
+        return LabelMap(df.sparkSession.createDataFrame(codes, "name string, txt string, code int"), True)
     missing = F.col("txt").isNull().cast("int")
     order = [F.col("name"), missing, F.coalesce("num", F.lit(0.0)), F.coalesce("txt", F.lit(""))]
     placed = with_position(values, order)
@@ -85,10 +93,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> LabelMap:
     table = placed.join(F.broadcast(starts), "name").select(
         "name", "txt", (F.col("position") - F.col("start")).cast("int").alias("code")
     )
-    head = table.limit(BROADCAST_ROWS + 1).collect()
-    if len(head) > BROADCAST_ROWS:
-        return LabelMap(table, False)
-    return LabelMap(df.sparkSession.createDataFrame(head, table.schema), True)
+    return LabelMap(table, False)
 
 
 def apply_labels(df: DataFrame, labels: LabelMap, columns: Sequence[str]) -> DataFrame:

@@ -21,6 +21,10 @@ EVENTS = PanelSpec(
 )
 
 
+# customers of these market segments play the unlabelled (test) population, all others the train one
+TEST_SEGMENTS = ("AUTOMOBILE", "HOUSEHOLD")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,7 +50,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with a label and two deterministic scores: one fine, one with heavy ties."""
+    """Customers with a label, their split, and two deterministic scores: one fine, one with heavy ties."""
     fine = ((F.col("c_custkey") * 7919) % 10007) / F.lit(10007.0)
     return (
         table(spark, sf_dir, "customer")
@@ -54,11 +58,20 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_custkey").alias("key"),
             (F.col("c_acctbal") < 0).cast("int").alias("target"),
             fine.alias("score_a"),
+            F.when(F.col("c_mktsegment").isin(*TEST_SEGMENTS), "test").otherwise("train").alias("split"),
         )
         .withColumn("score_b", F.floor(F.col("score_a") * 50) / 50)
     )
 
 
+def by_split(spark: SparkSession, sf_dir: str, panel: DataFrame) -> dict[str, DataFrame]:
+    """The panel's rows of train and of test customers; together they are the whole panel."""
+    splits = scored(spark, sf_dir).select(F.col("key").alias("o_custkey"), "split")
+    tagged = panel.join(splits, "o_custkey", "left")
+    test = F.coalesce(F.col("split") == "test", F.lit(False))
+    return {"train": tagged.where(~test).drop("split"), "test": tagged.where(test).drop("split")}
+
+
 def as_float(df: DataFrame, only: Sequence[str] | None = None, digits: int | None = 9) -> DataFrame:
     """Doubles as single precision, so that sums taken in another order compare equal.
 

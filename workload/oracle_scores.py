@@ -6,7 +6,8 @@ from workload.fixtures import STATEMENTS
 from workload.oracle_families import AGED, CAT, NUM, PANEL, agg, per_key, single
 
 SCORED = """sc AS (SELECT c_custkey AS key, CAST(c_acctbal < 0 AS INTEGER) AS target,
-  ((c_custkey * 7919) % 10007) / 10007.0::DOUBLE AS score_a FROM customer),
+  ((c_custkey * 7919) % 10007) / 10007.0::DOUBLE AS score_a,
+  CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 'test' ELSE 'train' END AS split FROM customer),
 s AS (SELECT *, floor(score_a * 50) / 50 AS score_b FROM sc)"""
 LABELLED = "lab AS (SELECT c_custkey AS o_custkey, CAST(c_acctbal < 0 AS INTEGER) AS target FROM customer)"
 ODDS = f"{SCORED},\nx AS (SELECT *, score_a * 8 - 4 AS x, 1 / (1 + exp(-(score_a * 8 - 4))) AS p FROM s)"
@@ -46,11 +47,12 @@ a AS (SELECT sum(p * rank) AS ranks, sum(p)::DOUBLE AS np, (sum(n) - sum(p))::DO
 SELECT {single("(ranks - np * (np + 1) / 2) / (np * nn)")} AS auc FROM a"""
 
 
-def _folds(k: int) -> str:
+def _folds(k: int, source: str = "(SELECT * FROM s)") -> str:
     return f"""WITH {SCORED},
-c AS (SELECT target, min(key) AS first FROM s GROUP BY target),
-p AS (SELECT s.key, s.target, row_number() OVER (ORDER BY c.first, s.key) - 1 AS j,
-  row_number() OVER (PARTITION BY s.target ORDER BY s.key) - 1 AS r FROM s JOIN c USING (target)),
+y AS {source},
+c AS (SELECT target, min(key) AS first FROM y GROUP BY target),
+p AS (SELECT y.key, y.target, row_number() OVER (ORDER BY c.first, y.key) - 1 AS j,
+  row_number() OVER (PARTITION BY y.target ORDER BY y.key) - 1 AS r FROM y JOIN c USING (target)),
 z AS (SELECT target, j % {k} AS f, count(*) AS n FROM p GROUP BY ALL),
 e AS (SELECT target, f, sum(n) OVER (PARTITION BY target ORDER BY f) AS upto FROM z)
 SELECT p.key, p.target, CAST(min(e.f) AS INTEGER) AS fold FROM p JOIN e ON p.target = e.target AND p.r < e.upto
@@ -73,13 +75,14 @@ n AS (SELECT o_custkey, o_orderstatus, o_orderpriority, last_flag, CAST(n_lines
 
 
 def _population(mode: str) -> str:
-    months = """WITH d AS (SELECT o_custkey, CAST(month(max(o_orderdate)) AS INTEGER) AS month FROM orders GROUP BY o_custkey)
+    months = f"""WITH {SCORED}, d AS (SELECT o_custkey, coalesce(any_value(split), 'train') AS split,
+  CAST(month(max(o_orderdate)) AS INTEGER) AS month FROM orders LEFT JOIN s ON o_custkey = key GROUP BY o_custkey)
 """
     if mode == "public_vs_private":
-        return months + "SELECT o_custkey, month, CAST(month = 4 AS INTEGER) AS target FROM d WHERE o_custkey % 2 = 1"
+        return months + "SELECT o_custkey, month, CAST(month = 4 AS INTEGER) AS target FROM d WHERE split = 'test'"
     m = 10 if mode == "train_vs_public" else 4
-    return months + f"""SELECT o_custkey, month, 0 AS target FROM d WHERE o_custkey % 2 = 0
-UNION ALL SELECT o_custkey, month, 1 FROM d WHERE o_custkey % 2 = 1 AND month = {m}"""
+    return months + f"""SELECT o_custkey, month, 0 AS target FROM d WHERE split = 'train'
+UNION ALL SELECT o_custkey, month, 1 FROM d WHERE split = 'test' AND month = {m}"""
 
 
 def scores() -> dict[str, str]:
@@ -121,6 +124,10 @@ SELECT CAST(t AS FLOAT) AS threshold, count(*) FILTER (WHERE score_a > t) AS n_t
 FROM s, (VALUES (0.9::DOUBLE), (0.8::DOUBLE), (0.7::DOUBLE), (0.6::DOUBLE), (0.5::DOUBLE)) v(t) GROUP BY t"""
     for k, name in ((5, "stratified_folds"), (2, "stratified_folds_2"), (8, "stratified_folds_8")):
         q[name] = _folds(k)
+    # every training row predicted once, in its stratified fold; rows are the customers with statements
+    q["cv_coverage"] = _folds(5, "(SELECT * FROM s WHERE key IN (SELECT o_custkey FROM orders))").replace(
+        "SELECT p.key, p.target, CAST", "SELECT p.key AS o_custkey, p.target, 1 AS is_probability, CAST"
+    )
     q["shuffled_folds"] = _shuffled(5, 42)
     q["stratified_sample"] = f"""WITH {SCORED},
 c AS (SELECT target, min(key) AS first, count(*) AS n FROM s GROUP BY target),
@@ -138,7 +145,7 @@ SELECT p.key, p.target FROM p JOIN f USING (target) WHERE r <= take"""
     q["fold_mean"] = f"""WITH {PRED}
 SELECT key, {single(odds)} AS prediction, {single(f"1 / (1 + exp(-({odds})))")} AS probability FROM m"""
     q["pseudo_label"] = f"""WITH {SCORED},
-tr AS (SELECT * FROM s WHERE key % 2 = 0), te AS (SELECT * FROM s WHERE key % 2 = 1),
+tr AS (SELECT * FROM s WHERE split = 'train'), te AS (SELECT * FROM s WHERE split = 'test'),
 k AS (SELECT CAST(floor((SELECT count(*) FILTER (WHERE target = 0) / count(*) FILTER (WHERE target = 1)::DOUBLE FROM tr)
   * (SELECT count(*) FROM te WHERE score_a > 0.99)) AS BIGINT) AS place),
 lo AS (SELECT score_a AS cut FROM (SELECT score_a, row_number() OVER (ORDER BY score_a, key) - 1 AS j FROM te) WHERE j = (SELECT place FROM k))
@@ -158,8 +165,8 @@ FROM (SELECT o_custkey, count(*) AS rows FROM orders GROUP BY o_custkey) GROUP B
     role = {STATEMENTS.key: "key", **{c: "order" for c in STATEMENTS.order}, **{c: "numeric" for c in NUM}, **{c: "categorical" for c in CAT}}
     # the panel's columns as this engine sees them, with the role the reader of the data would give
     q["role_split"] = f"""WITH {PANEL},
-d AS (SELECT column_name FROM (DESCRIBE SELECT * FROM s))
-SELECT column_name AS "column", CASE {" ".join(f"WHEN column_name = '{c}' THEN '{r}'" for c, r in role.items())} ELSE 'unused' END AS role FROM d"""
+k AS (SELECT count(COLUMNS(*)) FROM s), u AS (UNPIVOT k ON COLUMNS(*) INTO NAME c VALUE known)
+SELECT c AS "column", CASE {" ".join(f"WHEN c = '{c}' THEN '{r}'" for c, r in role.items())} ELSE 'unused' END AS role, known FROM u"""
     q["period_rows"] = """SELECT o_custkey, o_orderkey FROM
 (SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS newest FROM orders)
 WHERE newest - o_orderdate < INTERVAL 100 DAY"""
@@ -170,9 +177,9 @@ k AS (SELECT n_lines AS v FROM n WHERE n_lines IS NOT NULL GROUP BY 1 ORDER BY c
 SELECT o_custkey, o_orderstatus, coalesce(o_orderpriority, (SELECT v FROM p)) AS o_orderpriority,
   coalesce(last_flag, (SELECT v FROM f)) AS last_flag, CAST(coalesce(n_lines, (SELECT v FROM k)) AS INTEGER) AS n_lines FROM n"""
     code = lambda c: f"""(SELECT CAST(d.code AS INTEGER) FROM (SELECT v, row_number() OVER (ORDER BY v NULLS LAST) - 1 AS code
-    FROM (SELECT DISTINCT {c} AS v FROM n WHERE o_custkey % 2 = 0)) d WHERE d.v IS NOT DISTINCT FROM n.{c}) AS {c}"""
+    FROM (SELECT DISTINCT {c} AS v FROM s)) d WHERE d.v IS NOT DISTINCT FROM n.{c}) AS {c}"""
     q["label_encode"] = f"""{NEWEST}
-SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n WHERE o_custkey % 2 = 1"""
+SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n"""
     q["round_last"] = per_key(
         [(f"{x}_last_round2", single(f"round_even({agg('last', x)} * 100, 0) / 100")) for x in NUM if x != "n_lines"]
     )
@@ -198,7 +205,7 @@ SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n WHERE o_cust
     q["threshold_flags"] = f"WITH {SCORED}\nSELECT key, {flags} FROM s"
     q["month_flag"] = """WITH d AS (SELECT o_custkey, CAST(month(max(o_orderdate)) AS INTEGER) AS month FROM orders GROUP BY o_custkey)
 SELECT o_custkey, month, CASE month WHEN 4 THEN 'private' WHEN 10 THEN 'public' END AS part FROM d"""
-    q["tagged_union"] = f"WITH {SCORED}\nSELECT key, CAST(key % 2 AS INTEGER) AS origin FROM s"
+    q["tagged_union"] = f"WITH {SCORED}\nSELECT key, CAST(split = 'test' AS INTEGER) AS origin FROM s"
     pairs = [(a, b) for i, a in enumerate(NUM) for b in NUM[i + 1 :]]
     q["corr_pairs"] = f"WITH {PANEL}\n" + "\nUNION ALL ".join(
         f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM s" for a, b in pairs
@@ -218,7 +225,7 @@ SELECT o_custkey, month, CASE month WHEN 4 THEN 'private' WHEN 10 THEN 'public'
             ("qty_avg", single("avg(qty)")),
         ]
     )
-    q["assemble_features"] = f"WITH {LABELLED}, f AS ({features})\nSELECT f.*, target FROM f LEFT JOIN lab USING (o_custkey) WHERE o_custkey % 2 = 0"
+    q["assemble_features"] = f"WITH {LABELLED}, {SCORED}, sp AS (SELECT key AS o_custkey, split FROM s), f AS ({features})\nSELECT f.*, target, coalesce(split, 'train') AS split FROM f LEFT JOIN lab USING (o_custkey) LEFT JOIN sp USING (o_custkey)"
     wide = per_key(
         [
             ("qty_last", single(newest)),
@@ -228,7 +235,7 @@ SELECT o_custkey, month, CASE month WHEN 4 THEN 'private' WHEN 10 THEN 'public'
             ("o_orderstatus_nunique", "count(DISTINCT o_orderstatus)"),
         ]
     )
-    q["consolidated_features"] = f"SELECT * FROM ({wide}) WHERE o_custkey % 2 = 1"
+    q["consolidated_features"] = wide
     q["resolved_features"] = """SELECT * FROM (VALUES ('basic_stat', 0, 'qty_last'), ('last_mean_diff', 0, 'qty_last_mean_diff'),
   ('last_mean_diff', 1, 'n_lines_last_mean_diff'), ('avg_max_last', 0, 'qty_last'), ('avg_max_last', 1, 'qty_avg')) v(family, position, feature)"""
     at = lambda x, k: f"max({x}) FILTER (WHERE age = {k})"

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from workload import family_queries, oracle_families, oracle_scores, score_queries
+from workload import family_queries, model_queries, oracle_families, oracle_scores, score_queries
 
 
 def queries() -> dict:
-    return {**family_queries.queries(), **score_queries.queries()}
+    return {**family_queries.queries(), **score_queries.queries(), **model_queries.queries()}
 
 
 def oracle_sql() -> dict[str, str]:

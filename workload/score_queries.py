@@ -9,7 +9,7 @@ from panelwise.operators import blend, drift, encode, families as fam, folds, me
 from panelwise.plans.ordering import order_statistics
 from panelwise.sources import store, tables
 from panelwise.sources.workdir import fresh_folder
-from workload.fixtures import EVENTS, STATEMENTS, as_float, scored, statements, table
+from workload.fixtures import EVENTS, STATEMENTS, as_float, by_split, scored, statements, table
 
 KEY, TARGET = "key", "target"
 
@@ -82,8 +82,12 @@ def rows_per_date(spark, sf_dir):
 
 
 def role_split(spark, sf_dir):
+    """Role of every panel column, with the number of known values in it."""
     panel = statements(spark, sf_dir)
-    return spark.createDataFrame(list(STATEMENTS.roles(panel).items()), "column string, role string")
+    roles = STATEMENTS.roles(panel)
+    known = panel.agg(*[F.count(c).alias(c) for c in roles])
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(r).alias("role"), F.col(c).alias("known")) for c, r in roles.items()]
+    return known.select(F.inline(F.array(*cells)))
 
 
 def period_rows(spark, sf_dir):
@@ -112,11 +116,10 @@ def mode_impute(spark, sf_dir):
 
 
 def label_encode(spark, sf_dir):
-    """Fitted on customers with an even key, applied to the others."""
-    df = _last_categories(spark, sf_dir)
+    """Fitted on all statements, applied to each customer's newest one."""
     columns = ["o_orderstatus", "o_orderpriority", "last_flag"]
-    labels = encode.fit_labels(df.where("o_custkey % 2 = 0"), columns)
-    return encode.apply_labels(df.where("o_custkey % 2 = 1"), labels, columns)
+    labels = encode.fit_labels(statements(spark, sf_dir), columns)
+    return encode.apply_labels(_last_categories(spark, sf_dir), labels, columns)
 
 
 def _basic(spark, sf_dir, stats=("mean", "last"), categorical_stats=()):
@@ -191,7 +194,7 @@ def fold_mean(spark, sf_dir):
 
 def _halves(spark, sf_dir):
     s = scored(spark, sf_dir)
-    return s.where("key % 2 = 0"), s.where("key % 2 = 1")
+    return s.where("split = 'train'"), s.where("split = 'test'")
 
 
 def pseudo_label(spark, sf_dir):
@@ -202,10 +205,8 @@ def pseudo_label(spark, sf_dir):
 
 def _population(mode):
     def run(spark, sf_dir):
-        orders = table(spark, sf_dir, "orders")
-        return drift.population(
-            orders.where("o_custkey % 2 = 0"), orders.where("o_custkey % 2 = 1"), STATEMENTS, mode
-        )
+        parts = by_split(spark, sf_dir, table(spark, sf_dir, "orders"))
+        return drift.population(parts["train"], parts["test"], STATEMENTS, mode)
 
     return run
 
@@ -243,11 +244,9 @@ def label_scan(spark, sf_dir):
 
 
 def _store(spark, sf_dir):
-    """Three families written for the split of even and of odd keys."""
+    """Three families written for the train and the test split."""
     root = fresh_folder(spark, "store")
-    panel = statements(spark, sf_dir)
-    for split, rest in (("train", 0), ("test", 1)):
-        rows = panel.where(F.col("o_custkey") % 2 == rest)
+    for split, rows in by_split(spark, sf_dir, statements(spark, sf_dir)).items():
         store.write_family(
             fam.family("basic_stat", rows, STATEMENTS, stats=fam.FIVE_STATS), root, "basic_stat", split
         )
@@ -265,14 +264,19 @@ def _store(spark, sf_dir):
 def assemble_features(spark, sf_dir):
     root, groups = _store(spark, sf_dir)
     chosen = {"basic_stat": ["o_totalprice_mean", "last_flag_last"], "last_mean_diff": "chosen", "avg_max_last": "all"}
-    wide = store.assemble(spark, root, "train", chosen, "o_custkey", groups)
-    return as_float(tables.attach_labels(wide, _labelled(spark, sf_dir), "o_custkey"))
+    wide = [
+        store.assemble(spark, root, split, chosen, "o_custkey", groups).withColumn("split", F.lit(split))
+        for split in ("train", "test")
+    ]
+    return as_float(tables.attach_labels(wide[0].unionByName(wide[1]), _labelled(spark, sf_dir), "o_custkey"))
 
 
 def consolidated_features(spark, sf_dir):
     root, _ = _store(spark, sf_dir)
-    store.consolidate(spark, root, ["basic_stat", "last_mean_diff", "avg_max_last"], "test", "o_custkey")
-    out = store.read_family(spark, root, "all_features", "test")
+    for split in ("train", "test"):
+        store.consolidate(spark, root, ["basic_stat", "last_mean_diff", "avg_max_last"], split, "o_custkey")
+    train, test = (store.read_family(spark, root, "all_features", split) for split in ("train", "test"))
+    out = train.unionByName(test)
     return as_float(out.select("o_custkey", "qty_last", "qty_avg", "qty_mean", "qty_last_mean_diff", "o_orderstatus_nunique"))
 
 
