@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators. All stay in the JVM."""
+"""Expressions shared by the operators, as Columns or as SQL text. All stay in the JVM."""
 
 from __future__ import annotations
 
@@ -12,6 +12,14 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def ratio_sql(top: str, bottom: str) -> str:
+    return f"try_divide(CAST({top} AS DOUBLE), CAST({bottom} AS DOUBLE))"
+
+
 def round_half_even(x: Column, digits: int = 2) -> Column:
     """Scale, round halves to the even neighbour, scale back (binary floating point)."""
     scale = F.lit(float(10**digits))
@@ -27,20 +35,19 @@ def day_gap(later: Column, earlier: Column) -> Column:
     return F.extract(F.lit("DAY"), later - earlier).cast("int")
 
 
-def within_days(last: Column, ts: Column, days: int) -> Column:
+def day_gap_sql(later: str, earlier: str) -> str:
+    return f"CAST(extract(DAY FROM {later} - {earlier}) AS INT)"
+
+
+def within_days_sql(last: str, ts: str, days: int) -> str:
     """True where ``ts`` lies strictly less than ``days`` days before ``last``."""
-    return (last - ts) < F.expr(f"INTERVAL '{int(days)}' DAY")
+    return f"({last} - {ts}) < INTERVAL '{int(days)}' DAY"
 
 
 def above(score: Column, threshold: float) -> Column:
     return (score > F.lit(float(threshold))).cast("int")
 
 
-def threshold_label(threshold: float) -> str:
-    """0.9 -> "09", 0.75 -> "075"."""
-    return str(threshold).replace(".", "")
-
-
 def row_mean(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns) / len(columns)
 

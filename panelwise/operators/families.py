@@ -1,7 +1,7 @@
 """Feature families: each turns a panel into one row per key.
 
-Every family has a recipe function (``*_recipe(panel, spec, ...)``) and a direct function that runs
-the recipe alone. ``build`` runs any number of recipes in one shared plan.
+Every family has a recipe function ``*_recipe(panel, spec, ...)``. ``family`` runs one recipe,
+``build`` runs any number of them in one shared plan, ``register`` adds your own.
 """
 
 from __future__ import annotations
@@ -10,13 +10,13 @@ from collections.abc import Callable, Sequence
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from panelwise.functions.scalar import ratio, within_days
+from panelwise.functions.scalar import day_gap_sql, quoted, ratio_sql, within_days_sql
 from panelwise.plans.measures import AGE, GAP, NEWEST, Measure, Recipe, newest_rows, reduce_panel
 from panelwise.spec import PanelSpec
 
-# Statistics, periods and lags of the families.
+# Statistics, periods, lags and seeds of the families.
 NUMERIC_STATS = ("mean", "std", "min", "max", "last", "sum", "median")
 FIVE_STATS = ("mean", "std", "min", "max", "last")
 CATEGORICAL_STATS = ("count", "last", "nunique")
@@ -27,15 +27,15 @@ MIX_SEEDS = (32, 42)
 
 
 def _stat(column: str, stat: str) -> Measure:
-    return Measure(f"{column}_{stat}", stat, F.col(column))
+    return Measure(f"{column}_{stat}", stat, quoted(column))
 
 
-def _recipe(measures: list[Measure], outputs: dict[str, Column]) -> Recipe:
-    return Recipe(measures, list(outputs.values()), list(outputs))
+def _as_outputs(measures: list[Measure]) -> Recipe:
+    return Recipe(measures, {m.name: quoted(m.name) for m in measures})
 
 
-def _as_outputs(measures: list[Measure]) -> Recipe:
-    return _recipe(measures, {m.name: F.col(m.name) for m in measures})
+def _of(column: str, *stats: str) -> list[str]:
+    return [quoted(f"{column}_{s}") for s in stats]
 
 
 def basic_stat_recipe(
@@ -58,14 +58,13 @@ def period_stat_recipe(
     stats: Sequence[str] = PERIOD_STATS,
 ) -> Recipe:
     """``{column}_{stat}_{n}days`` over the rows less than n days older than the key's newest row."""
+
+    def recent(c: str, n: int) -> str:
+        return f"IF({within_days_sql(NEWEST, quoted(spec.ts), n)}, {quoted(c)}, NULL)"
+
     return _as_outputs(
         [
-            Measure(
-                f"{c}_{s}_{n}days",
-                s,
-                F.when(within_days(F.col(NEWEST), F.col(spec.ts), n), F.col(c)),
-                frozenset({NEWEST}),
-            )
+            Measure(f"{c}_{s}_{n}days", s, recent(c, n), frozenset({NEWEST}))
             for n in periods
             for c in spec.numeric_columns(panel)
             for s in stats
@@ -77,29 +76,25 @@ def max_min_diff_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     columns = spec.numeric_columns(panel)
     outputs = {}
     for c in columns:
-        last, low, high = (F.col(f"{c}_{s}") for s in ("last", "min", "max"))
-        outputs[f"{c}_last_min_diff"] = last - low
-        outputs[f"{c}_last_max_diff"] = last - high
-        outputs[f"{c}_max_min_diff"] = high - low
-    return _recipe([_stat(c, s) for c in columns for s in ("last", "min", "max")], outputs)
+        last, low, high = _of(c, "last", "min", "max")
+        outputs[f"{c}_last_min_diff"] = f"{last} - {low}"
+        outputs[f"{c}_last_max_diff"] = f"{last} - {high}"
+        outputs[f"{c}_max_min_diff"] = f"{high} - {low}"
+    return Recipe([_stat(c, s) for c in columns for s in ("last", "min", "max")], outputs)
 
 
 def last_mean_diff_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     columns = spec.numeric_columns(panel)
-    return _recipe(
+    return Recipe(
         [_stat(c, s) for c in columns for s in ("last", "mean")],
-        {f"{c}_last_mean_diff": F.col(f"{c}_last") - F.col(f"{c}_mean") for c in columns},
+        {f"{c}_last_mean_diff": " - ".join(_of(c, "last", "mean")) for c in columns},
     )
 
 
 def _last_before(column: str, k: int) -> Measure:
     """Last known value of the column shifted by k rows: the newest k rows are left out."""
     return Measure(
-        f"{column}_shift{k}_last",
-        "last",
-        F.when(F.col(AGE) > k, F.col(column)),
-        frozenset({AGE}),
-        older_than=k,
+        f"{column}_shift{k}_last", "last", f"IF({AGE} > {k}, {quoted(column)}, NULL)", frozenset({AGE}), older_than=k
     )
 
 
@@ -108,35 +103,35 @@ def div_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     columns = spec.numeric_columns(panel)
     outputs = {}
     for c in columns:
-        last = F.col(f"{c}_last")
-        outputs[f"{c}_div_first_last"] = ratio(F.col(f"{c}_first"), last)
-        outputs[f"{c}_div_mean_last"] = ratio(F.col(f"{c}_mean"), last)
-        outputs[f"{c}_div_last1_last"] = ratio(F.col(f"{c}_shift1_last"), last)
+        first, last, mean, previous = _of(c, "first", "last", "mean", "shift1_last")
+        outputs[f"{c}_div_first_last"] = ratio_sql(first, last)
+        outputs[f"{c}_div_mean_last"] = ratio_sql(mean, last)
+        outputs[f"{c}_div_last1_last"] = ratio_sql(previous, last)
     measures = [_stat(c, s) for c in columns for s in ("first", "last", "mean")]
-    return _recipe(measures + [_last_before(c, 1) for c in columns], outputs)
+    return Recipe(measures + [_last_before(c, 1) for c in columns], outputs)
 
 
 def div_min_max_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     columns = spec.numeric_columns(panel)
     outputs = {}
     for c in columns:
-        last, low, high = (F.col(f"{c}_{s}") for s in ("last", "min", "max"))
-        outputs[f"{c}_div_min_last"] = ratio(low, last)
-        outputs[f"{c}_div_max_last"] = ratio(high, last)
-        outputs[f"{c}_div_min_max"] = ratio(low, high)
-    return _recipe([_stat(c, s) for c in columns for s in ("last", "min", "max")], outputs)
+        last, low, high = _of(c, "last", "min", "max")
+        outputs[f"{c}_div_min_last"] = ratio_sql(low, last)
+        outputs[f"{c}_div_max_last"] = ratio_sql(high, last)
+        outputs[f"{c}_div_min_max"] = ratio_sql(low, high)
+    return Recipe([_stat(c, s) for c in columns for s in ("last", "min", "max")], outputs)
 
 
 def date_gaps_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     """Statistics of the whole days between consecutive rows, and days from first to last row."""
     gaps = [
-        Measure(f"diff_days_{s}", s, F.col(GAP), frozenset({GAP}))
+        Measure(f"diff_days_{s}", s, GAP, frozenset({GAP}))
         for s in ("mean", "std", "min", "max", "sum", "median")
     ]
-    ends = [Measure("_ts_min", "min", F.col(spec.ts)), Measure("_ts_max", "max", F.col(spec.ts))]
-    outputs = {m.name: F.col(m.name) for m in gaps}
-    outputs["diff_first_last_day"] = F.extract(F.lit("DAY"), F.col("_ts_max") - F.col("_ts_min")).cast("int")
-    return _recipe(gaps + ends, outputs)
+    ends = [Measure(f"_ts_{s}", s, quoted(spec.ts)) for s in ("min", "max")]
+    outputs = {m.name: m.name for m in gaps}
+    outputs["diff_first_last_day"] = day_gap_sql("_ts_max", "_ts_min")
+    return Recipe(gaps + ends, outputs)
 
 
 def shift_recipe(panel: DataFrame, spec: PanelSpec, lags: Sequence[int] = LAGS) -> Recipe:
@@ -153,31 +148,31 @@ def lag_diff_recipe(
     depth = 1 + max(lags)
 
     def at(c: str, age: int) -> Measure:
-        value = F.when(F.col(AGE) == age, F.col(c))
+        value = f"IF({AGE} = {age}, {quoted(c)}, NULL)"
         return Measure(f"{c}_age{age}", "max", value, frozenset({AGE}), newest=depth, older_than=depth - 1)
 
     outputs = {}
     for k in lags:
         for c in columns:
-            diff = F.col(f"{c}_age1") - F.col(f"{c}_age{1 + k}")
-            outputs[f"{c}_diff{k}"] = diff.cast("float") if as_float else diff
-    return _recipe([at(c, a) for c in columns for a in sorted({1, *[1 + k for k in lags]})], outputs)
+            diff = " - ".join(_of(c, "age1", f"age{1 + k}"))
+            outputs[f"{c}_diff{k}"] = f"CAST({diff} AS FLOAT)" if as_float else diff
+    return Recipe([at(c, a) for c in columns for a in sorted({1, *[1 + k for k in lags]})], outputs)
 
 
 def important_double_recipe(panel: DataFrame, spec: PanelSpec, columns: Sequence[str]) -> Recipe:
     """Squares of std, min, max and last of chosen columns."""
-    stats = ("std", "min", "max", "last")
-    return _recipe(
-        [_stat(c, s) for c in columns for s in stats],
-        {f"{c}_{s}_double": F.col(f"{c}_{s}") * F.col(f"{c}_{s}") for c in columns for s in stats},
-    )
+    measures = [_stat(c, s) for c in columns for s in ("std", "min", "max", "last")]
+    return Recipe(measures, {f"{m.name}_double": f"{quoted(m.name)} * {quoted(m.name)}" for m in measures})
 
 
 def important_cross_recipe(panel: DataFrame, spec: PanelSpec, columns: Sequence[str]) -> Recipe:
     """Product of the last values of every pair of chosen columns, in list order."""
-    return _recipe(
+    return Recipe(
         [_stat(c, "last") for c in columns],
-        {f"cross_{a}_{b}": F.col(f"{a}_last") * F.col(f"{b}_last") for a, b in combinations(columns, 2)},
+        {
+            f"cross_{a}_{b}": f"{quoted(a + '_last')} * {quoted(b + '_last')}"
+            for a, b in combinations(columns, 2)
+        },
     )
 
 
@@ -191,10 +186,10 @@ def important_mix_recipe(
     panel: DataFrame, spec: PanelSpec, columns: Sequence[str], seed: int = MIX_SEEDS[0]
 ) -> Recipe:
     """Weighted sum of the last values of every pair of chosen columns."""
-    return _recipe(
+    return Recipe(
         [_stat(c, "last") for c in columns],
         {
-            f"mix_{a}_{b}_{seed}": F.col(f"{a}_last") * F.lit(r) + F.col(f"{b}_last") * F.lit(1 - r)
+            f"mix_{a}_{b}_{seed}": f"{quoted(a + '_last')} * {r}D + {quoted(b + '_last')} * {1 - r}D"
             for (a, b), r in mix_ratios(columns, seed).items()
         },
     )
@@ -209,9 +204,9 @@ def avg_max_last_recipe(
 ) -> Recipe:
     """Chosen averages and maxima, and chosen columns of the newest row (NULL stays NULL)."""
     return _as_outputs(
-        [Measure(f"{c}_last", "last_row", F.col(c)) for c in last]
-        + [Measure(f"{c}_max", "max", F.col(c)) for c in max]
-        + [Measure(f"{c}_avg", "mean", F.col(c)) for c in avg]
+        [Measure(f"{c}_last", "last_row", quoted(c)) for c in last]
+        + [Measure(f"{c}_max", "max", quoted(c)) for c in max]
+        + [Measure(f"{c}_avg", "mean", quoted(c)) for c in avg]
     )
 
 
@@ -258,10 +253,10 @@ def build(
 def last_mean_from_columns(features: DataFrame) -> DataFrame:
     """Add ``X_last_mean_diff`` for every X that has both ``X_last`` and ``X_mean`` in the table."""
     stems = [c.removesuffix("_last") for c in features.columns if c.endswith("_last")]
-    return features.select(
+    return features.selectExpr(
         "*",
         *[
-            (F.col(f"{x}_last") - F.col(f"{x}_mean")).alias(f"{x}_last_mean_diff")
+            f"{' - '.join(_of(x, 'last', 'mean'))} AS {quoted(x + '_last_mean_diff')}"
             for x in stems
             if f"{x}_mean" in features.columns
         ],

@@ -4,21 +4,24 @@ A family is a ``Recipe``: the measures it needs per key and the output columns c
 ``reduce_panel`` merges the measures of all recipes and picks the cheapest plan that is safe when one
 key holds a large share of the rows:
 
-* only measures that combine map-side: a plain ``groupBy(key)``;
-* only measures over the newest rows of each key: a per-key top-n (cut map-side) and a ``groupBy``;
+* only measures that combine map-side: a plain ``GROUP BY key``;
+* only measures over the newest rows of each key: a per-key top-n (cut map-side) and a ``GROUP BY``;
 * otherwise rows are shuffled by key once, one window annotates them and one aggregate reduces them;
   keys with more rows than fit one task are kept out of that shuffle and reduced by ``_reduce_hot``.
+
+Measures and outputs are SQL expressions, not Column objects: a wide panel has thousands of them, and
+one SQL statement is much cheaper to build than as many Column calls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from panelwise.functions.scalar import day_gap
+from panelwise.functions.scalar import day_gap, quoted
 from panelwise.plans.skew import HotKeys, consecutive_gaps, find_hot_keys
 from panelwise.spec import PanelSpec
 
@@ -28,13 +31,26 @@ NEWEST = "_newest"  # ts of the key's newest row
 GAP = "_gap"  # whole days since the key's previous row
 
 COMBINING = {"mean", "std", "min", "max", "sum", "count", "first", "last", "last_row"}
-HOLISTIC = {"median", "nunique"}
-PANEL_STATS = COMBINING | HOLISTIC
+
+# SQL per statistic; {o} is the row order. first and last skip NULL values, last_row does not.
+SQL = {
+    "mean": "avg({x})",
+    "std": "stddev_samp({x})",
+    "min": "min({x})",
+    "max": "max({x})",
+    "sum": "coalesce(sum({x}), 0)",
+    "count": "count({x})",
+    "first": "min_by({x}, IF({x} IS NOT NULL, {o}, NULL))",
+    "last": "max_by({x}, IF({x} IS NOT NULL, {o}, NULL))",
+    "last_row": "max_by({x}, {o})",
+    "median": "median({x})",
+    "nunique": "CAST(size(collect_set({x})) AS BIGINT)",
+}
 
 
 @dataclass(frozen=True)
 class Measure:
-    """One aggregate per key: ``stat`` over the row expression ``value``.
+    """One aggregate per key: ``stat`` over the SQL expression ``value`` of a row.
 
     ``reads`` names the annotations used by ``value``; ``newest`` is set when the measure looks only
     at that many newest rows; ``older_than`` is set when it skips that many newest rows.
@@ -42,35 +58,19 @@ class Measure:
 
     name: str
     stat: str
-    value: Column
+    value: str
     reads: frozenset[str] = frozenset()
     newest: int | None = None
     older_than: int = 0
 
+    def sql(self, order: str) -> str:
+        return f"{SQL[self.stat].format(x=self.value, o=order)} AS {quoted(self.name)}"
+
 
 @dataclass
 class Recipe:
     measures: list[Measure]
-    outputs: list[Column]
-    names: list[str] = field(default_factory=list)
-
-
-def aggregate(stat: str, x: Column, order: Column) -> Column:
-    """``first`` and ``last`` skip NULL values, ``last_row`` takes the newest row even if NULL."""
-    known = F.when(x.isNotNull(), order)
-    return {
-        "mean": lambda: F.avg(x),
-        "std": lambda: F.stddev_samp(x),
-        "min": lambda: F.min(x),
-        "max": lambda: F.max(x),
-        "sum": lambda: F.coalesce(F.sum(x), F.lit(0)),
-        "count": lambda: F.count(x),
-        "first": lambda: F.min_by(x, known),
-        "last": lambda: F.max_by(x, known),
-        "last_row": lambda: F.max_by(x, order),
-        "median": lambda: F.median(x),
-        "nunique": lambda: F.size(F.collect_set(x)).cast("long"),
-    }[stat]()
+    outputs: dict[str, str]  # column name -> SQL over measure names
 
 
 def reduce_panel(
@@ -78,19 +78,25 @@ def reduce_panel(
 ) -> DataFrame:
     """One row per key with the outputs of all recipes (a repeated output name is kept once)."""
     measures = list({m.name: m for r in recipes for m in r.measures}.values())
-    outputs = {n: c for r in recipes for n, c in zip(r.names, r.outputs)}
+    outputs = {n: e for r in recipes for n, e in r.outputs.items()}
     rows = spec.prepare(panel)
     if all(m.newest for m in measures):
-        reduced = _reduce_newest(rows, spec, measures)
+        kept = newest_rows(rows, spec, max((m.newest for m in measures), default=1))
+        reduced = _grouped(kept, spec.key, measures, f"-{AGE}")
     elif all(m.stat in COMBINING and not m.reads for m in measures):
-        reduced = rows.groupBy(spec.key).agg(*_aggregates(measures, spec.order_struct()))
+        reduced = _grouped(rows, spec.key, measures, _order(spec))
     else:
         reduced = _reduce_any(rows, spec, measures, rows_per_key)
-    return reduced.select(spec.key, *[c.alias(n) for n, c in outputs.items()])
+    return reduced.selectExpr(quoted(spec.key), *[f"{e} AS {quoted(n)}" for n, e in outputs.items()])
+
+
+def _order(spec: PanelSpec) -> str:
+    return f"struct({', '.join(quoted(c) for c in spec.order)})"
 
 
-def _aggregates(measures: Iterable[Measure], order: Column) -> list[Column]:
-    return [aggregate(m.stat, m.value, order).alias(m.name) for m in measures]
+def _grouped(rows: DataFrame, key: str, measures: Iterable[Measure], order: str) -> DataFrame:
+    columns = ",\n".join([quoted(key), *[m.sql(order) for m in measures]])
+    return rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} GROUP BY {quoted(key)}", rows=rows)
 
 
 def _newest_first(spec: PanelSpec):
@@ -102,11 +108,6 @@ def newest_rows(rows: DataFrame, spec: PanelSpec, n: int) -> DataFrame:
     return rows.withColumn(AGE, F.row_number().over(_newest_first(spec))).where(F.col(AGE) <= n)
 
 
-def _reduce_newest(rows: DataFrame, spec: PanelSpec, measures: list[Measure]) -> DataFrame:
-    kept = newest_rows(rows, spec, max(m.newest for m in measures))
-    return kept.groupBy(spec.key).agg(*_aggregates(measures, -F.col(AGE)))
-
-
 def _reduce_any(
     rows: DataFrame, spec: PanelSpec, measures: list[Measure], rows_per_key: int | None
 ) -> DataFrame:
@@ -120,7 +121,7 @@ def _reduce_any(
         GAP: lambda: day_gap(F.col(spec.ts), F.lead(spec.ts).over(w)),
     }
     annotated = ordinary.select("*", *[notes[n]().alias(n) for n in notes if n == AGE or n in reads])
-    reduced = annotated.groupBy(spec.key).agg(*_aggregates(measures, -F.col(AGE)))
+    reduced = _grouped(annotated, spec.key, measures, f"-{AGE}")
     if crowded is None:
         return reduced
     return reduced.unionByName(_reduce_hot(crowded, spec, measures, reads, hot))
@@ -160,10 +161,9 @@ def _reduce_hot(
         annotated = annotated.withColumn(GAP, F.lit(None).cast("int")).unionByName(
             gaps, allowMissingColumns=True
         )
-    # NULL order on gap rows keeps them out of first, last and last_row
-    result = annotated.groupBy(spec.key).agg(
-        *_aggregates([m for m in measures if m.stat in COMBINING], F.when(order[spec.ts].isNotNull(), order))
-    )
+    # a NULL order keeps gap rows out of first, last and last_row
+    known_order = f"IF({quoted(spec.ts)} IS NOT NULL, {_order(spec)}, NULL)"
+    result = _grouped(annotated, spec.key, [m for m in measures if m.stat in COMBINING], known_order)
     medians = [m for m in measures if m.stat == "median"]
     if medians:
         result = result.join(hot.hint(_spread_medians(annotated, spec.key, medians, hot)), spec.key, "left")
@@ -176,7 +176,7 @@ def _reduce_hot(
 
 
 def _spread_nunique(rows: DataFrame, key: str, m: Measure) -> DataFrame:
-    values = rows.select(key, m.value.alias("_v")).where(F.col("_v").isNotNull())
+    values = rows.select(key, F.expr(m.value).alias("_v")).where(F.col("_v").isNotNull())
     return values.distinct().groupBy(key).agg(F.count(F.lit(1)).alias(m.name))
 
 
@@ -188,60 +188,49 @@ def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: Hot
     off. Pass 3 counts equal values of that part and walks them in order.
     """
     names = [m.name for m in measures]
-    wide = rows.select(key, *[m.value.cast("double").alias(m.name) for m in measures])
     accuracy = 10_000
-    margin = 2 / accuracy
+    around = f"array(0.5 - {2 / accuracy}, 0.5 + {2 / accuracy})"
+    wide = rows.selectExpr(quoted(key), *[f"CAST({m.value} AS DOUBLE) AS {quoted(m.name)}" for m in measures])
     brackets = wide.groupBy(key).agg(
-        *[
-            F.percentile_approx(n, [0.5 - margin, 0.5 + margin], accuracy).alias(f"_b_{n}")
-            for n in names
-        ]
+        *[F.expr(f"percentile_approx({quoted(n)}, {around}, {accuracy}) AS {quoted('_b_' + n)}") for n in names]
     )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("name"),
-                F.col(n).alias("v"),
-                F.col(f"_b_{n}")[0].alias("lo"),
-                F.col(f"_b_{n}")[1].alias("hi"),
-            )
-            for n in names
-        ]
+    cells = ", ".join(
+        f"named_struct('name', '{n}', 'v', {quoted(n)}, 'lo', {quoted('_b_' + n)}[0], 'hi', {quoted('_b_' + n)}[1])"
+        for n in names
     )
-    part = F.when(F.col("v") < F.col("lo"), 0).when(F.col("v") <= F.col("hi"), 1).otherwise(2)
     long = (
         wide.join(hot.hint(brackets), key)
-        .select(key, F.inline(entries))
-        .where(F.col("v").isNotNull())
-        .select(key, "name", "v", part.alias("part"))
+        .selectExpr(quoted(key), f"inline(array({cells}))")
+        .where("v IS NOT NULL")
+        .selectExpr(quoted(key), "name", "v", "CASE WHEN v < lo THEN 0 WHEN v <= hi THEN 1 ELSE 2 END AS part")
     )
-    sizes = long.groupBy(key, "name").agg(
-        *[F.count(F.when(F.col("part") == p, 1)).alias(f"n{p}") for p in range(3)]
-    )
-    n = F.col("n0") + F.col("n1") + F.col("n2")
-    low, high = F.expr("(n0 + n1 + n2 - 1) div 2"), F.expr("(n0 + n1 + n2) div 2")
-    start = F.when(F.col("part") == 0, 0).when(F.col("part") == 1, F.col("n0")).otherwise(
-        F.col("n0") + F.col("n1")
-    )
-    length = F.when(F.col("part") == 0, F.col("n0")).when(F.col("part") == 1, F.col("n1")).otherwise(
-        F.col("n2")
+    # place of the first value of every part, and the (0-based) places of the two middle values
+    parts = long.groupBy(key, "name").agg(
+        *[F.expr(f"count_if(part < {p}) AS start{p}") for p in range(4)],
+        F.expr("(count(*) - 1) div 2 AS low"),
+        F.expr("count(*) div 2 AS high"),
     )
     middle = (
-        long.join(hot.hint(sizes), [key, "name"])
-        .select(key, "name", "v", "part", start.alias("start"), (start + length).alias("end"),
-                low.alias("low"), high.alias("high"))
-        .where((F.col("low") < F.col("end")) & (F.col("high") >= F.col("start")))
-    )
-    counted = middle.groupBy(key, "name", "part", "v", "start", "low", "high").agg(
-        F.count(F.lit(1)).alias("n")
+        long.join(hot.hint(parts), [key, "name"])
+        .selectExpr(
+            quoted(key), "name", "v", "part", "low", "high",
+            "element_at(array(start0, start1, start2), part + 1) AS start",
+            "element_at(array(start1, start2, start3), part + 1) AS stop",
+        )
+        .where("low < stop AND high >= start")
     )
-    upto = F.col("start") + F.sum("n").over(
+    counted = middle.groupBy(key, "name", "part", "v", "start", "low", "high").agg(F.expr("count(*) AS n"))
+    upto = F.sum("n").over(
         Window.partitionBy(key, "name", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     )
-    spans = counted.select(key, "name", "v", "low", "high", upto.alias("upto"), (upto - F.col("n")).alias("from"))
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("from") <= F.col(rank)) & (F.col(rank) < F.col("upto")), F.col("v")))
-
-    medians = spans.groupBy(key, "name").agg(((at("low") + at("high")) / 2).alias("median"))
+    medians = (
+        counted.withColumn("upto", F.col("start") + upto)
+        .groupBy(key, "name")
+        .agg(
+            F.expr(
+                "(max(CASE WHEN upto - n <= low AND low < upto THEN v END)"
+                " + max(CASE WHEN upto - n <= high AND high < upto THEN v END)) / 2 AS median"
+            )
+        )
+    )
     return medians.groupBy(key).pivot("name", names).agg(F.first("median"))

@@ -42,12 +42,13 @@ class HotKeys:
 def find_hot_keys(rows: DataFrame, key: str, rows_per_key: int | None = None) -> HotKeys:
     """One narrow job: count rows per key (combined map-side) and keep the keys above the limit."""
     limit = ROWS_PER_KEY if rows_per_key is None else rows_per_key
-    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(key)
-    found = hot.limit(BROADCAST_ROWS + 1).collect()
-    if not found:
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    number = counts.agg(F.count_if(F.col("_n") > limit)).first()[0]
+    if number == 0:
         return HotKeys(None, True)
-    if len(found) <= BROADCAST_ROWS:
-        return HotKeys(rows.sparkSession.createDataFrame(found, hot.schema), True)
+    hot = counts.where(F.col("_n") > limit).select(key)
+    if number <= BROADCAST_ROWS:
+        return HotKeys(rows.sparkSession.createDataFrame(hot.collect(), hot.schema), True)
     return HotKeys(hot.persist(), False)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwise.functions.scalar import sigmoid
+from panelwise.functions.scalar import sigmoid, within_days_sql
 from panelwise.operators import blend, drift, encode, families as fam, folds, metrics, profile, pseudo, selection
 from panelwise.plans.ordering import order_statistics
 from panelwise.sources import store, tables
@@ -92,13 +92,11 @@ def role_split(spark, sf_dir):
 
 def period_rows(spark, sf_dir):
     """Rows of the last 100 days of each customer."""
-    from panelwise.functions.scalar import within_days
-
     panel = table(spark, sf_dir, "orders")
     newest = panel.groupBy("o_custkey").agg(F.max("o_orderdate").alias("newest"))
     return (
         panel.join(newest, "o_custkey")
-        .where(within_days(F.col("newest"), F.col("o_orderdate"), 100))
+        .where(within_days_sql("newest", "o_orderdate", 100))
         .select("o_custkey", "o_orderkey")
     )
 
