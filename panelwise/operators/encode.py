@@ -85,8 +85,7 @@ def fit_labels(df: DataFrame, columns: Sequence[str]) -> LabelMap:
             own.sort(key=lambda r: (r["txt"] is None, r["num"] or 0.0, r["txt"] or ""))
             codes += [(c, r["txt"], i) for i, r in enumerate(own)]
         return LabelMap(df.sparkSession.createDataFrame(codes, "name string, txt string, code int"), True)
-    missing = F.col("txt").isNull().cast("int")
-    order = [F.col("name"), missing, F.coalesce("num", F.lit(0.0)), F.coalesce("txt", F.lit(""))]
+    order = ["name", "IF(txt IS NULL, 1, 0)", "coalesce(num, 0)", "coalesce(txt, '')"]
     placed = with_position(values, order)
     starts = placed.groupBy("name").agg(F.min("position").alias("start"))
     # one start per encoded column

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwise.functions.scalar import quoted
 from panelwise.plans.ordering import with_position
 
 MAX_CLASSES = 1000
@@ -44,16 +45,17 @@ def _per_class(classes: list[_Class], target: str, of) -> Column:
     return choice
 
 
-def shuffle_key(key: str, seed: int) -> Column:
+def shuffle_key(key: str, seed: int) -> str:
     """A repeatable pseudo-random sort value per key."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    return f"md5(concat('{seed}:', CAST({quoted(key)} AS STRING)))"
 
 
 def _place_in_class(df: DataFrame, classes: list[_Class], target: str, key: str, seed: int | None) -> DataFrame:
     code = _per_class(classes, target, lambda c: F.lit(classes.index(c)))
     start = _per_class(classes, target, lambda c: F.lit(c.start).cast("long"))
     mixed = [] if seed is None else [shuffle_key(key, seed)]
-    placed = with_position(df, [code, *mixed, F.col(key)], "_place").drop("_place_total")
+    coded = df.withColumn("_class", code)
+    placed = with_position(coded, ["_class", *mixed, quoted(key)], "_place").drop("_place_total", "_class")
     return placed.withColumn("_place", F.col("_place") - start)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelwise.functions.scalar import above, sigmoid
+from panelwise.functions.scalar import above, quoted, sigmoid
 from panelwise.plans.ordering import quantiles, with_position, with_running
 
 # Fixed values of the capture-and-gini metric and the reported thresholds.
@@ -15,24 +15,24 @@ CAPTURE_SHARE = 0.04
 THRESHOLDS = (0.9, 0.8, 0.7, 0.6, 0.5)
 
 
-def row_weight(target: Column) -> Column:
+def row_weight(target: str) -> str:
     """Each negative stands for twenty rows: they were sampled down by that factor."""
-    return F.when(target == 1, 1).otherwise(NEGATIVE_WEIGHT)
+    return f"IF({target} = 1, 1, {NEGATIVE_WEIGHT})"
 
 
 def _cumulated(scored: DataFrame, target: str, score: str, key: str) -> DataFrame:
-    rows = scored.select(
-        F.col(key).alias("key"), F.col(target).cast("long").alias("t"), F.col(score).alias("s")
-    ).withColumn("w", row_weight(F.col("t")))
-    return with_running(rows, [-F.col("s"), F.col("key")], {"cum_w": F.col("w"), "cum_t": F.col("t")})
+    rows = scored.selectExpr(
+        f"{quoted(key)} AS key", f"CAST({quoted(target)} AS BIGINT) AS t", f"{quoted(score)} AS s"
+    ).selectExpr("*", f"{row_weight('t')} AS w")
+    return with_running(rows, ["-s", "key"], {"cum_w": "w", "cum_t": "t"})
 
 
 def lorenz_curve(scored: DataFrame, target: str, score: str, key: str) -> DataFrame:
     """Per row, by descending score: share of weight and share of positives seen so far."""
-    return _cumulated(scored, target, score, key).select(
-        F.col("key").alias(key),
-        (F.col("cum_w") / F.col("cum_w_total")).alias("weight_share"),
-        F.try_divide("cum_t", "cum_t_total").alias("positive_share"),
+    return _cumulated(scored, target, score, key).selectExpr(
+        f"key AS {quoted(key)}",
+        "cum_w / cum_w_total AS weight_share",
+        "try_divide(cum_t, cum_t_total) AS positive_share",
     )
 
 
@@ -45,43 +45,40 @@ def default_metric(
     4 % of the total cut to a whole number. Ties in the score are ordered by key. NULL if only one
     class is present.
     """
-    rows = _cumulated(scored, target, score, key)
-    share = F.col("cum_w") / F.col("cum_w_total")
-    top = (
-        share <= CAPTURE_SHARE
-        if cutoff == "norm"
-        else F.col("cum_w") <= F.floor(F.lit(CAPTURE_SHARE) * F.col("cum_w_total"))
+    top = {
+        "norm": f"cum_w / cum_w_total <= {CAPTURE_SHARE}D",
+        "int": f"cum_w <= floor({CAPTURE_SHARE}D * cum_w_total)",
+    }[cutoff]
+    sums = (
+        _cumulated(scored, target, score, key)
+        .selectExpr(
+            "cum_t_total AS p", "cum_w_total AS w", f"IF({top}, t, 0) AS captured",
+            "(try_divide(cum_t, cum_t_total) - cum_w / cum_w_total) * w AS area",
+        )
+        .selectExpr("max(p) AS p", "max(w) AS w", "sum(captured) AS captured", "sum(area) AS area")
     )
-    sums = rows.agg(
-        F.max("cum_t_total").alias("p"),
-        F.max("cum_w_total").alias("w"),
-        F.sum(F.when(top, F.col("t")).otherwise(0)).alias("captured"),
-        F.sum((F.try_divide("cum_t", "cum_t_total") - share) * F.col("w")).alias("area"),
-    ).withColumn("n", (F.col("w") - F.col("p")) / NEGATIVE_WEIGHT)
-    best = NEGATIVE_WEIGHT / 2 * F.col("n") * (1 - (NEGATIVE_WEIGHT - 1) / F.col("w"))
-    return sums.select(
-        F.try_divide("area", best).alias("gini"), F.try_divide("captured", "p").alias("capture")
-    ).select(((F.col("gini") + F.col("capture")) / 2).alias("metric"), "gini", "capture")
+    best = f"{NEGATIVE_WEIGHT / 2} * (w - p) / {NEGATIVE_WEIGHT} * (1 - {NEGATIVE_WEIGHT - 1}D / w)"
+    return sums.selectExpr(
+        f"try_divide(area, CAST({best} AS DOUBLE)) AS gini", "try_divide(captured, p) AS capture"
+    ).selectExpr("(gini + capture) / 2 AS metric", "gini", "capture")
 
 
 def score_rank(scored: DataFrame, score: str, key: str) -> DataFrame:
     """Rows with their 0-based place by descending score; equal scores are ordered by key."""
-    return with_position(scored, [-F.col(score), F.col(key)], "place").drop("place_total")
+    return with_position(scored, [f"-{quoted(score)}", quoted(key)], "place").drop("place_total")
 
 
 def roc_auc(scored: DataFrame, target: str, score: str) -> DataFrame:
     """Exact area under the ROC curve; a tie counts one half. NULL if only one class is present."""
-    per_score = scored.groupBy(F.col(score).alias("s")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(target).cast("long")).alias("p")
+    per_score = (
+        scored.groupBy(F.expr(f"{quoted(score)} AS s"))
+        .agg(F.expr("count(*) AS n"), F.expr(f"sum(CAST({quoted(target)} AS BIGINT)) AS pos"))
+        .selectExpr("s", "pos", "n - pos AS neg")
     )
-    negatives = F.col("n") - F.col("p")
-    ranked = with_running(per_score, [F.col("s")], {"cum_neg": negatives, "cum_pos": F.col("p")})
-    below = F.col("cum_neg") - negatives
-    return ranked.agg(
-        F.try_divide(
-            F.sum(F.col("p") * (below + negatives / 2)),
-            F.max("cum_pos_total").cast("double") * F.max("cum_neg_total"),
-        ).alias("auc")
+    # equal scores are one row now, so the score alone orders them
+    ranked = with_running(per_score, ["s"], {"cum_neg": "neg", "cum_pos": "pos"})
+    return ranked.selectExpr(
+        "try_divide(sum(pos * (cum_neg - neg / 2)), CAST(max(cum_pos_total) AS DOUBLE) * max(cum_neg_total)) AS auc"
     )
 
 

@@ -5,17 +5,20 @@ explicit split points (read from a small sample, so they only affect balance, ne
 bucket is a pure function of the row, which keeps it stable when a lost task is computed again.
 Totals per bucket give each bucket its offset, and only rows of one bucket are sorted together.
 
-``order`` is always a list of ascending, non-null sort columns that is unique per row; sort a number
-in descending order by passing its negative. Equal scores are cut by the later columns, so a score
+``order`` is always a list of SQL expressions sorted ascending, unique per row as a whole; sort a
+number in descending order by its negative. Equal scores are cut by the later columns, so a score
 shared by a third of the rows still spreads over many buckets.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from panelwise.functions.scalar import quoted
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 8
@@ -32,33 +35,54 @@ class SplitPoints:
     types: list[str]
     total: int  # rows of the table
 
-    def bucket(self, order: list[Column]) -> Column:
+    def add_bucket(self, df: DataFrame, order: list[str]) -> DataFrame:
+        """Two short searches (group of splits, then split in the group) instead of one long one."""
         if not self.splits:
-            return F.lit(0)
-        row = self._struct(order)
+            return df.selectExpr("*", f"0 AS {BUCKET}")
         stride = math.isqrt(len(self.splits)) + 1
         groups = [self.splits[i : i + stride] for i in range(0, len(self.splits), stride)]
-        heads = F.array(*[self._literal(g[0]) for g in groups])
-        coarse = F.size(F.filter(heads, lambda s: s <= row))
-        members = F.array(*[F.array(*[self._literal(s) for s in g]) for g in groups])
-        fine = F.size(F.filter(F.element_at(members, coarse), lambda s: s <= row))
-        return F.when(coarse == 0, 0).otherwise((coarse - 1) * stride + fine)
+        struct = "struct<" + ",".join(f"o{i}:{t}" for i, t in enumerate(self.types)) + ">"
+        row = "named_struct(" + ", ".join(
+            f"'o{i}', CAST({o} AS {t})" for i, (o, t) in enumerate(zip(order, self.types))
+        ) + ")"
+        heads = _literal([g[0] for g in groups], f"array<{struct}>")
+        members = _literal(groups, f"array<array<{struct}>>")
+        return (
+            df.selectExpr("*", f"{row} AS _row")
+            .selectExpr("*", f"size(filter({heads}, s -> s <= _row)) AS _group")
+            .selectExpr(
+                "*",
+                f"CASE WHEN _group = 0 THEN 0 ELSE (_group - 1) * {stride}"
+                f" + size(filter(element_at({members}, _group), s -> s <= _row)) END AS {BUCKET}",
+            )
+            .drop("_row", "_group")
+        )
+
 
-    def _struct(self, order: list[Column]) -> Column:
-        return F.struct(*[c.cast(t).alias(f"o{i}") for i, (c, t) in enumerate(zip(order, self.types))])
+def _literal(splits: list, kind: str) -> str:
+    """Split points as a constant. A value that does not survive as JSON fails, it never becomes NULL."""
 
-    def _literal(self, split: tuple) -> Column:
-        return self._struct([F.lit(v) for v in split])
+    def plain(v):
+        if isinstance(v, tuple):
+            return {f"o{i}": x for i, x in enumerate(v)}
+        if isinstance(v, list):
+            return [plain(x) for x in v]
+        return v
+
+    text = json.dumps(
+        plain(splits), default=lambda v: v.isoformat() if hasattr(v, "isoformat") else str(v)
+    ).replace("'", "\\u0027")
+    return f"from_json(r'{text}', '{kind}', map('mode', 'FAILFAST'))"
 
 
 def split_points(
     df: DataFrame,
-    order: list[Column],
+    order: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
 ) -> SplitPoints:
     """Sample ``order`` and return about one split per bucket (at most ``max_buckets`` - 1)."""
-    cols = df.select(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    cols = df.selectExpr(*[f"{o} AS o{i}" for i, o in enumerate(order)])
     types = [f.dataType.simpleString() for f in cols.schema.fields]
     total = cols.count()
     buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(total / rows_per_bucket)))
@@ -66,16 +90,13 @@ def split_points(
         return SplitPoints([], types, total)
     want = buckets * SAMPLE_PER_BUCKET
     sample = cols if total <= 2 * want else cols.sample(fraction=want / total, seed=17)
-    step = max(1, (total if total <= 2 * want else want) // buckets)
     ranked = sorted(tuple(r) for r in sample.na.drop().collect())
-    return SplitPoints(sorted(set(ranked[step::step]))[: max_buckets - 1], types, total)
+    step = max(1, math.ceil(len(ranked) / buckets))
+    return SplitPoints(sorted(set(ranked[step::step])), types, total)
 
 
 def with_running(
-    df: DataFrame,
-    order: list[Column],
-    sums: dict[str, Column],
-    points: SplitPoints | None = None,
+    df: DataFrame, order: list[str], sums: dict[str, str], points: SplitPoints | None = None
 ) -> DataFrame:
     """Add running totals in ``order``.
 
@@ -83,39 +104,41 @@ def with_running(
     ``name_total`` (sum over all rows).
     """
     points = points or split_points(df, order)
-    bucketed = df.withColumn(BUCKET, points.bucket(order))
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bucketed = points.add_bucket(df, order)
     offsets = (
         bucketed.groupBy(BUCKET)
-        .agg(*[F.sum(v).alias(n) for n, v in sums.items()])
-        .select(
+        .agg(*[F.expr(f"sum({v}) AS {n}") for n, v in sums.items()])
+        .selectExpr(
             BUCKET,
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums],
-            *[F.sum(n).over(everything).alias(f"{n}_total") for n in sums],
+            *[
+                f"coalesce(sum({n}) OVER (ORDER BY {BUCKET} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+                f" AS {n}_before"
+                for n in sums
+            ],
+            *[f"sum({n}) OVER () AS {n}_total" for n in sums],
         )
     )
-    inside = Window.partitionBy(BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = f"(PARTITION BY {BUCKET} ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING)"
     # the offset table has at most MAX_BUCKETS rows
-    return bucketed.join(F.broadcast(offsets), BUCKET).select(
-        *[c for c in df.columns if c not in sums],
-        *[(F.sum(v).over(inside) + F.col(f"{n}_before")).alias(n) for n, v in sums.items()],
+    return bucketed.join(F.broadcast(offsets), BUCKET).selectExpr(
+        *[quoted(c) for c in df.columns if c not in sums],
+        *[f"sum({v}) OVER {inside} + {n}_before AS {n}" for n, v in sums.items()],
         *[f"{n}_total" for n in sums],
     )
 
 
 def with_position(
-    df: DataFrame, order: list[Column], name: str = "position", points: SplitPoints | None = None
+    df: DataFrame, order: list[str], name: str = "position", points: SplitPoints | None = None
 ) -> DataFrame:
     """Add the 0-based position of each row in ``order`` and the row count as ``{name}_total``."""
-    ranked = with_running(df, order, {name: F.lit(1)}, points)
-    return ranked.withColumn(name, F.col(name) - 1)
+    ranked = with_running(df, order, {name: "1"}, points)
+    return ranked.selectExpr(*[quoted(c) for c in df.columns if c != name], f"{name} - 1 AS {name}", f"{name}_total")
 
 
 def _values_at(rows: DataFrame, positions: list[int], points: SplitPoints) -> dict[int, float]:
     asked = sorted(set(positions))
     found = (
-        with_position(rows, [F.col("_v"), F.col("_k")], points=points)
+        with_position(rows, ["_v", "_k"], points=points)
         .where(F.col("position").isin(asked))
         .select("position", "_v")
         .collect()
@@ -128,8 +151,8 @@ def _values_at(rows: DataFrame, positions: list[int], points: SplitPoints) -> di
 
 
 def _known(df: DataFrame, value: str, key: str) -> tuple[DataFrame, SplitPoints]:
-    rows = df.where(F.col(value).isNotNull()).select(F.col(value).alias("_v"), F.col(key).alias("_k"))
-    return rows, split_points(rows, [F.col("_v"), F.col("_k")])
+    rows = df.selectExpr(f"{quoted(value)} AS _v", f"{quoted(key)} AS _k").where("_v IS NOT NULL")
+    return rows, split_points(rows, ["_v", "_k"])
 
 
 def order_statistics(df: DataFrame, value: str, key: str, positions: list[int]) -> dict[int, float]:

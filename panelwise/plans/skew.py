@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from panelwise.functions.scalar import day_gap
+from panelwise.functions.scalar import day_gap_sql, quoted
 from panelwise.plans.ordering import BUCKET, split_points
 from panelwise.spec import PanelSpec
 
@@ -42,13 +41,14 @@ class HotKeys:
 def find_hot_keys(rows: DataFrame, key: str, rows_per_key: int | None = None) -> HotKeys:
     """One narrow job: count rows per key (combined map-side) and keep the keys above the limit."""
     limit = ROWS_PER_KEY if rows_per_key is None else rows_per_key
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    number = counts.agg(F.count_if(F.col("_n") > limit)).first()[0]
+    spark, k = rows.sparkSession, quoted(key)
+    counts = f"SELECT {k}, count(*) AS _n FROM {{rows}} GROUP BY {k}"
+    number = spark.sql(f"SELECT count_if(_n > {limit}) FROM ({counts})", rows=rows).first()[0]
     if number == 0:
         return HotKeys(None, True)
-    hot = counts.where(F.col("_n") > limit).select(key)
+    hot = spark.sql(f"SELECT {k} FROM ({counts}) WHERE _n > {limit}", rows=rows)
     if number <= BROADCAST_ROWS:
-        return HotKeys(rows.sparkSession.createDataFrame(hot.collect(), hot.schema), True)
+        return HotKeys(spark.createDataFrame(hot.collect(), hot.schema), True)
     return HotKeys(hot.persist(), False)
 
 
@@ -58,22 +58,18 @@ def consecutive_gaps(rows: DataFrame, spec: PanelSpec, name: str) -> DataFrame:
     Works on any distribution of keys: rows are cut into buckets of the order ``(key, ts, tiebreak)``
     and the row before the first row of a bucket is taken from the bucket ends.
     """
-    cols = [spec.key, *spec.order]
-    order = [F.col(c) for c in cols]
-    narrow = rows.select(*cols)
-    cut = narrow.withColumn(BUCKET, split_points(narrow, order).bucket(order))
-    ends = cut.groupBy(BUCKET).agg(F.max(F.struct(*cols)).alias("_end"))
+    cols = [quoted(c) for c in (spec.key, *spec.order)]
+    narrow = rows.selectExpr(*cols)
+    cut = split_points(narrow, cols).add_bucket(narrow, cols)
+    row = f"named_struct('k', {cols[0]}, 't', {cols[1]})"
+    ends = cut.groupBy(BUCKET).agg(F.expr(f"max_by({row}, struct({', '.join(cols)})) AS _end"))
     # one row per bucket: the last row of the nearest earlier bucket that has rows
-    carried = ends.select(BUCKET, F.lag("_end").over(Window.orderBy(BUCKET)).alias("_carry"))
-    inside = Window.partitionBy(BUCKET).orderBy(*cols)
-    before = F.coalesce(F.lag(F.struct(*cols)).over(inside), F.col("_carry"))
+    carried = ends.selectExpr(BUCKET, f"lag(_end) OVER (ORDER BY {BUCKET}) AS _carry")
     return (
         cut.join(F.broadcast(carried), BUCKET)
-        .withColumn("_before", before)
-        .select(*cols, _gap_if_same_key(spec).alias(name))
+        .selectExpr(
+            *cols,
+            f"coalesce(lag({row}) OVER (PARTITION BY {BUCKET} ORDER BY {', '.join(cols)}), _carry) AS _before",
+        )
+        .selectExpr(*cols, f"IF(_before.k = {cols[0]}, {day_gap_sql(cols[1], '_before.t')}, NULL) AS {quoted(name)}")
     )
-
-
-def _gap_if_same_key(spec: PanelSpec) -> Column:
-    previous = F.col("_before")
-    return F.when(previous[spec.key] == F.col(spec.key), day_gap(F.col(spec.ts), previous[spec.ts]))

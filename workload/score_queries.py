@@ -244,7 +244,9 @@ def label_scan(spark, sf_dir):
 def _store(spark, sf_dir):
     """Three families written for the train and the test split."""
     root = fresh_folder(spark, "store")
-    for split, rows in by_split(spark, sf_dir, statements(spark, sf_dir)).items():
+    tables.write_wide(statements(spark, sf_dir), f"{root}/panel")
+    panel = tables.read_panel(spark, f"{root}/panel")
+    for split, rows in by_split(spark, sf_dir, panel).items():
         store.write_family(
             fam.family("basic_stat", rows, STATEMENTS, stats=fam.FIVE_STATS), root, "basic_stat", split
         )
