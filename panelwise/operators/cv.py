@@ -47,6 +47,12 @@ class CrossValidation:
     scores: DataFrame  # fold, metric
     importances: DataFrame  # fold, feature, importance
     models: list[Model]
+    cached: list[DataFrame]
+
+    def release(self) -> None:
+        """Free the cached fold predictions; ``oof`` is then computed again if used."""
+        for part in self.cached:
+            part.unpersist()
 
     def mean_score(self) -> float:
         return self.scores.agg(F.avg("metric")).first()[0]
@@ -91,10 +97,12 @@ def cross_validate(
         else:
             tree = _estimator(target, params).fit(data.where(~held_out))
         part = tree.transform(data.where(held_out)).select(key, target, _probability().alias("predicted"), "fold")
+        part.persist()  # four narrow columns, read several times by the score
         scores.append((i, score(part, target, "predicted", key).first()[0]))
         importances += [(i, f, float(v)) for f, v in zip(features, tree.featureImportances.toArray())]
         parts.append(part)
         models.append(Model(tree, features, sentinels))
+    data.unpersist()
     spark = df.sparkSession
     oof = threshold_flags(reduce(DataFrame.unionByName, parts), "predicted")
     return CrossValidation(
@@ -102,6 +110,7 @@ def cross_validate(
         spark.createDataFrame(scores, "fold int, metric double"),
         spark.createDataFrame(importances, "fold int, feature string, importance double"),
         models,
+        parts,
     )
 
 
@@ -181,4 +190,5 @@ def random_search(
         drawn = {**(fixed or {}), **_draw(rng, space or DEFAULT_SPACE)}
         cv = cross_validate(df, features, target, key, k, drawn, first_fold_only=first_fold_only)
         results.append({"trial": t, "score": cv.mean_score(), "params": drawn})
+        cv.release()
     return max(results, key=lambda r: r["score"])["params"], results

@@ -56,6 +56,22 @@ def _auc(part: DataFrame, target: str, score: str, key: str) -> DataFrame:
     return roc_auc(part, target, score)
 
 
+@dataclass
+class _Round:
+    score: float
+    importances: DataFrame
+
+
+def _told_apart(
+    rows: DataFrame, features: list[str], target: str, key: str, params: dict | None, first_fold_only: bool
+) -> _Round | None:
+    """How well two-fold models tell the classes apart; None if a fold holds one class only."""
+    cv = cross_validate(rows, features, target, key, 2, params, first_fold_only=first_fold_only, score=_auc)
+    mean = cv.mean_score()
+    cv.release()
+    return None if mean is None else _Round(mean, cv.importances)
+
+
 def drift_features(
     df: DataFrame,
     features: Sequence[str],
@@ -70,27 +86,27 @@ def drift_features(
     """Drop the most telling features until two-fold AUC is no longer above the threshold.
 
     Features go ``step`` at a time. Once the AUC has fallen, the last batch is put back and the search
-    goes on one feature at a time. Importance is the mean over folds. Ends at the latest when no
-    feature is left.
+    goes on one feature at a time. Importance is the mean over folds. No features at all count as an
+    AUC that has fallen, so the search ends after at most two passes over the features.
     """
     rows = stratified_sample(df, target, key, rate) if rate < 1.0 else df
     kept, drifting, batch, log = list(features), [], [], []
     round_no = 0
-    while kept:
-        cv = cross_validate(rows, kept, target, key, 2, params, first_fold_only=first_fold_only, score=_auc)
-        auc = cv.mean_score()
-        if auc is not None and auc > threshold:
-            batch = top_features(cv.importances, min(step, len(kept)))
+    while True:
+        told = _told_apart(rows, kept, target, key, params, first_fold_only) if kept else None
+        score = told.score if told else None
+        if told and told.score > threshold:
+            batch = top_features(told.importances, min(step, len(kept)))
             drifting += batch
             kept = [f for f in kept if f not in batch]
-            log += [(round_no, auc, f, "dropped") for f in batch]
+            log += [(round_no, score, f, "dropped") for f in batch]
         elif len(batch) > 1:
             drifting = [f for f in drifting if f not in batch]
             kept += batch
-            log += [(round_no, auc, f, "restored") for f in batch]
+            log += [(round_no, score, f, "restored") for f in batch]
             batch, step = [], 1
         else:
-            log.append((round_no, auc, None, "done"))
+            log.append((round_no, score, None, "done"))
             break
         round_no += 1
     report = df.sparkSession.createDataFrame(log, "round int, auc double, feature string, status string")

@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions.scalar import quoted
 
-ROWS_PER_BUCKET = 1_000_000
-MIN_BUCKETS = 8
+ROWS_PER_BUCKET = 250_000  # a table of at most this many rows is one bucket
 MAX_BUCKETS = 4096  # bounds the offset table that is broadcast
 SAMPLE_PER_BUCKET = 20
 BUCKET = "_bucket"
@@ -75,18 +74,13 @@ def _literal(splits: list, kind: str) -> str:
     return f"from_json(r'{text}', '{kind}', map('mode', 'FAILFAST'))"
 
 
-def split_points(
-    df: DataFrame,
-    order: list[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
-) -> SplitPoints:
-    """Sample ``order`` and return about one split per bucket (at most ``max_buckets`` - 1)."""
+def split_points(df: DataFrame, order: list[str], rows_per_bucket: int | None = None) -> SplitPoints:
+    """Count the rows, sample ``order`` and return one split per bucket after the first."""
     cols = df.selectExpr(*[f"{o} AS o{i}" for i, o in enumerate(order)])
     types = [f.dataType.simpleString() for f in cols.schema.fields]
     total = cols.count()
-    buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(total / rows_per_bucket)))
-    if total <= buckets:
+    buckets = min(MAX_BUCKETS, math.ceil(total / (rows_per_bucket or ROWS_PER_BUCKET)))
+    if buckets <= 1:
         return SplitPoints([], types, total)
     want = buckets * SAMPLE_PER_BUCKET
     sample = cols if total <= 2 * want else cols.sample(fraction=want / total, seed=17)
