@@ -47,6 +47,15 @@ SQL = {
     "nunique": "CAST(size(collect_set({x})) AS BIGINT)",
 }
 
+# The same from a key's sorted known values {s} and their sum {d}; only for keys of limited size.
+FROM_SORTED = {
+    "mean": "try_divide({d}, size({s}))",
+    "std": "IF(size({s}) > 1, sqrt(aggregate({s}, 0D, (a, x) -> a + pow(x - {d} / size({s}), 2)) / (size({s}) - 1)), NULL)",
+    "min": "get({s}, 0)",
+    "max": "get({s}, size({s}) - 1)",
+    "median": "(CAST(get({s}, CAST((size({s}) - 1) div 2 AS INT)) AS DOUBLE) + get({s}, CAST(size({s}) div 2 AS INT))) / 2",
+}
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -84,7 +93,8 @@ def reduce_panel(
         kept = newest_rows(rows, spec, max((m.newest for m in measures), default=1))
         reduced = _grouped(kept, spec.key, measures, f"-{AGE}")
     elif all(m.stat in COMBINING and not m.reads for m in measures):
-        reduced = _grouped(rows, spec.key, measures, _order(spec))
+        # the order is built once per row, not once per measure
+        reduced = _grouped(rows.selectExpr("*", f"{_order(spec)} AS _order"), spec.key, measures, "_order")
     else:
         reduced = _reduce_any(rows, spec, measures, rows_per_key)
     return reduced.selectExpr(quoted(spec.key), *[f"{e} AS {quoted(n)}" for n, e in outputs.items()])
@@ -99,6 +109,32 @@ def _grouped(rows: DataFrame, key: str, measures: Iterable[Measure], order: str)
     return rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} GROUP BY {quoted(key)}", rows=rows)
 
 
+def _grouped_in_memory(rows: DataFrame, key: str, measures: list[Measure], order: str) -> DataFrame:
+    """Like ``_grouped`` for keys of limited size.
+
+    A column with a median keeps its values per key anyway; its other statistics are read off that
+    sorted list. On wide panels this is several times faster than one aggregate per statistic.
+    """
+    listed = {m.value: i for i, m in enumerate(measures) if m.stat == "median"}
+    derived = {m.name: listed[m.value] for m in measures if m.value in listed and m.stat in FROM_SORTED}
+    direct = [m.sql(order) for m in measures if m.name not in derived]
+    lists = [
+        c
+        for v, i in listed.items()
+        for c in (f"sort_array(collect_list({v})) AS _s{i}", f"sum(CAST({v} AS DOUBLE)) AS _d{i}")
+    ]
+    columns = ",\n".join([quoted(key), *direct, *lists])
+    grouped = rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} GROUP BY {quoted(key)}", rows=rows)
+
+    def column(m: Measure) -> str:
+        if m.name not in derived:
+            return quoted(m.name)
+        i = derived[m.name]
+        return f"{FROM_SORTED[m.stat].format(s=f'_s{i}', d=f'_d{i}')} AS {quoted(m.name)}"
+
+    return grouped.selectExpr(quoted(key), *[column(m) for m in measures]) if listed else grouped
+
+
 def _newest_first(spec: PanelSpec):
     return Window.partitionBy(spec.key).orderBy(*[F.col(c).desc() for c in spec.order])
 
@@ -121,7 +157,7 @@ def _reduce_any(
         GAP: lambda: day_gap(F.col(spec.ts), F.lead(spec.ts).over(w)),
     }
     annotated = ordinary.select("*", *[notes[n]().alias(n) for n in notes if n == AGE or n in reads])
-    reduced = _grouped(annotated, spec.key, measures, f"-{AGE}")
+    reduced = _grouped_in_memory(annotated, spec.key, measures, f"-{AGE}")
     if crowded is None:
         return reduced
     return reduced.unionByName(_reduce_hot(crowded, spec, measures, reads, hot))

@@ -78,7 +78,7 @@ def last_row(spark, sf_dir):
     return out.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
-def all_families(spark, sf_dir):
+def all_families(spark, sf_dir, rows_per_key=None):
     """Several families in one plan: one shuffle by key serves them all."""
     out = fam.build(
         statements(spark, sf_dir),
@@ -90,11 +90,17 @@ def all_families(spark, sf_dir):
             ("shift", {"lags": (1,)}),
             "date_gaps",
         ],
+        rows_per_key,
     )
     dropped = [f"diff_days_{s}" for s in ("std", "min", "max", "sum")] + ["diff_first_last_day"]
     return as_float(out.drop(*dropped))
 
 
+def all_families_split_keys(spark, sf_dir):
+    """The same with every customer of more than 12 orders treated as too large for one task."""
+    return all_families(spark, sf_dir, rows_per_key=12)
+
+
 def queries() -> dict:
     q = {n: _family(n) for n in ("basic_stat", "period_stat", "max_min_diff", "last_mean_diff", "div", "div_min_max", "shift")}
     q |= {
@@ -110,6 +116,7 @@ def queries() -> dict:
         "avg_max_last": avg_max_last,
         "last_row": last_row,
         "all_families": all_families,
+        "all_families_split_keys": all_families_split_keys,
         "event_gaps": event_gaps,
         "event_stat": event_stat,
     }

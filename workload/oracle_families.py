@@ -197,6 +197,7 @@ FROM r WHERE age = 1"""
         "g",
         f"{AGED},\ng AS (SELECT *, {days} g FROM r)",
     )
+    q["all_families_split_keys"] = q["all_families"]
     q["event_gaps"] = """WITH r AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) previous FROM events),
 g AS (SELECT *, CAST(floor(date_diff('microsecond', previous, ts) / 86400000000.0) AS INTEGER) g FROM r)
 SELECT user_id, CAST(round(avg(g), 9) AS FLOAT) AS diff_days_mean, CAST(round(stddev_samp(g), 9) AS FLOAT) AS diff_days_std,

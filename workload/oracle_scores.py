@@ -105,6 +105,7 @@ SELECT {single("avg(-(target * (1 - p) ** 2 * ln(p) * 0.25 + p ** 2 * (1 - targe
 SELECT {single("avg(-(target * (1 - p) ** 2 * ln(p) + p ** 2 * (1 - target) * ln(1 - p)))")} AS focal_loss FROM x"""
     q["probability"] = f"WITH {ODDS}\nSELECT key, {single('p')} AS p FROM x"
     q["score_rank"] = f"WITH {SCORED}\nSELECT key, row_number() OVER (ORDER BY score_b DESC, key) - 1 AS place FROM s"
+    q["score_rank_buckets"] = q["score_rank"]
     q["order_statistic"] = """WITH r AS (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS place,
   count(*) OVER () AS n FROM orders)
 SELECT place, o_totalprice FROM r WHERE place IN (SELECT i * (n - 1) // 10 FROM range(11) t(i), (SELECT any_value(n) AS n FROM r))"""

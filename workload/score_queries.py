@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwise.functions.scalar import sigmoid, within_days_sql
 from panelwise.operators import blend, drift, encode, families as fam, folds, metrics, profile, pseudo, selection
-from panelwise.plans.ordering import order_statistics
+from panelwise.plans.ordering import order_statistics, split_points, with_position
 from panelwise.sources import store, tables
 from panelwise.sources.workdir import fresh_folder
 from workload.fixtures import EVENTS, STATEMENTS, as_float, by_split, scored, statements, table
@@ -46,6 +46,13 @@ def score_rank(spark, sf_dir):
     return metrics.score_rank(scored(spark, sf_dir), "score_b", KEY).select(KEY, "place")
 
 
+def score_rank_buckets(spark, sf_dir):
+    """The same over many buckets of the order, however small the table."""
+    rows, order = scored(spark, sf_dir), ["-score_b", "key"]
+    points = split_points(rows, order, rows_per_bucket=100)
+    return with_position(rows, order, "place", points).select(KEY, "place")
+
+
 def order_statistic(spark, sf_dir):
     """Median and deciles of order totals by place, exact."""
     orders = table(spark, sf_dir, "orders")
@@ -328,7 +335,7 @@ def queries() -> dict:
         "seed_blend": _ensemble("avg"),
     }
     for f in (
-        log_loss, focal_loss, focal_loss_unbalanced, probability, score_rank, order_statistic, target_profile,
+        log_loss, focal_loss, focal_loss_unbalanced, probability, score_rank, score_rank_buckets, order_statistic, target_profile,
         value_counts, value_counts_events, rows_per_key_hist, rows_per_date, role_split, period_rows, mode_impute,
         label_encode, round_last, downcast_plan, downcast, fixed_downcast, threshold_flags, stratified_sample,
         fold_mean, pseudo_label, month_flag, tagged_union, corr_pairs, panel_scan, pruned_scan, label_scan,
