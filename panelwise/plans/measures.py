@@ -4,7 +4,9 @@ A family is a ``Recipe``: the measures it needs per key and the output columns c
 ``reduce_panel`` merges the measures of all recipes and picks the cheapest plan that is safe when one
 key holds a large share of the rows:
 
-* only measures that combine map-side: a plain ``GROUP BY key``;
+* only measures with small, order-free states (sums, extremes): a plain ``GROUP BY key``, combined
+  map-side. States that carry the row order are several times larger than the value they stand for and
+  force a map-side sort, so with them it is cheaper to ship the rows of ordinary keys themselves;
 * only measures over the newest rows of each key: a per-key top-n (cut map-side) and a ``GROUP BY``;
 * otherwise rows are shuffled by key once, one window annotates them and one aggregate reduces them;
   keys with more rows than fit one task are kept out of that shuffle and reduced by ``_reduce_hot``.
@@ -30,7 +32,8 @@ AGE = "_age"  # 1 for the newest row of a key, 2 for the one before, ...
 NEWEST = "_newest"  # ts of the key's newest row
 GAP = "_gap"  # whole days since the key's previous row
 
-COMBINING = {"mean", "std", "min", "max", "sum", "count", "first", "last", "last_row"}
+ORDER_FREE = {"mean", "std", "min", "max", "sum", "count"}
+COMBINING = ORDER_FREE | {"first", "last", "last_row"}
 
 # SQL per statistic; {o} is the row order. first and last skip NULL values, last_row does not.
 SQL = {
@@ -92,9 +95,8 @@ def reduce_panel(
     if all(m.newest for m in measures):
         kept = newest_rows(rows, spec, max((m.newest for m in measures), default=1))
         reduced = _grouped(kept, spec.key, measures, f"-{AGE}")
-    elif all(m.stat in COMBINING and not m.reads for m in measures):
-        # the order is built once per row, not once per measure
-        reduced = _grouped(rows.selectExpr("*", f"{_order(spec)} AS _order"), spec.key, measures, "_order")
+    elif all(m.stat in ORDER_FREE and not m.reads for m in measures):
+        reduced = _grouped(rows, spec.key, measures, _order(spec))
     else:
         reduced = _reduce_any(rows, spec, measures, rows_per_key)
     return reduced.selectExpr(quoted(spec.key), *[f"{e} AS {quoted(n)}" for n, e in outputs.items()])

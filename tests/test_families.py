@@ -163,11 +163,17 @@ def test_all_families_share_one_shuffle(spark):
     assert text.count("- Window ") == 1
 
 
-def test_combining_families_aggregate_before_the_shuffle(spark):
-    text = plan(fam.build(panel(spark, NULLS), SPEC, ["max_min_diff", "last_mean_diff", "div_min_max"]))
+def test_order_free_statistics_aggregate_before_the_shuffle(spark):
+    options = {"stats": ("mean", "std", "min", "max", "sum"), "categorical_stats": ("count",)}
+    text = plan(fam.build(panel(spark, NULLS), SPEC, [("basic_stat", options), ("avg_max_last", {"max": ["x"]})]))
     assert "partial_max" in text and "Window" not in text and text.count("Exchange") == 1
 
 
+def test_differences_share_one_shuffle(spark):
+    text = plan(fam.build(panel(spark, NULLS), SPEC, ["max_min_diff", "last_mean_diff", "div_min_max", "div"]))
+    assert text.count("Exchange") == 1 and text.count("- Window ") == 1
+
+
 def test_newest_rows_are_cut_before_the_shuffle(spark):
     text = plan(fam.family("lag_diff", panel(spark, NULLS), SPEC))
     below_shuffle = text[text.index("Exchange") :]
