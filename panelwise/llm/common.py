@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +38,33 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a small file below the shared folder; its path. ``addFile`` then takes it to every executor."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(content)
+    out.close()
+    return place.toString()
+
+
+_SHIPPED: set[str] = set()
+
+
+def in_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, after sending this package to the executors (once per application)."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parent.parent
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for module in sorted([root / "__init__.py", *root.glob("llm/*.py")]):
+                z.write(module, f"{root.name}/{module.relative_to(root)}")
+        spark.sparkContext.addPyFile(put(spark, f"panelwise-{uuid.uuid4().hex}.zip", packed.getvalue()))
+        _SHIPPED.add(app)
+    return df.mapInArrow(task, schema)
+
+
 def text_of(name: str = "text") -> Column:
     """A text column, null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, mixing, oracle
+from panelwise.llm import bpe, chat, mixing, oracle
 from panelwise.llm.common import table
 
 
@@ -16,8 +17,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict:
-    named = (op2_mixing, op3_chat)
+    named = (op2_mixing, op3_chat, op6_bpe)
     return {f.__name__: f for f in named}
 
 
