@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import bpe, chat, mixing, oracle
+from panelwise.llm import bpe, chat, mixing, oracle, toxicity
 from panelwise.llm.common import table
 
 
@@ -21,8 +21,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    named = (op2_mixing, op3_chat, op6_bpe)
+    named = (op2_mixing, op3_chat, op6_bpe, op10_toxicity)
     return {f.__name__: f for f in named}
 
 
