@@ -76,7 +76,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         filled = 1
         while filled < len(known):
             more = min(filled, len(known) - filled)
-            known[filled : filled + more] = known[:more] * (known[filled - 1] * base)
+            known[filled : filled + more] = known[:more] * np.uint64(int(known[filled - 1]) * int(base) % (1 << 64))
             filled += more
         if len(known) <= 4 * TEXT_BYTES:
             _POWERS[int(base)] = known

@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import bpe, chat, mixing, oracle, toxicity
+from panelwise.llm import bpe, chat, lines, mixing, oracle, superminhash, toxicity
 from panelwise.llm.common import table
 
 
+def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -21,12 +25,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict:
-    named = (op2_mixing, op3_chat, op6_bpe, op10_toxicity)
+    named = (op1_superminhash, op2_mixing, op3_chat, op6_bpe, op9_lines, op10_toxicity)
     return {f.__name__: f for f in named}
 
 
