@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import bpe, chat, lines, mixing, oracle, superminhash, toxicity
+from panelwise.llm import bpe, chat, lines, mixing, oracle, repeats, superminhash, toxicity
 from panelwise.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -34,7 +38,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (op1_superminhash, op2_mixing, op3_chat, op6_bpe, op9_lines, op10_toxicity)
+    named = (op1_superminhash, op2_mixing, op3_chat, op6_bpe, op8_suffixes, op9_lines, op10_toxicity)
     return {f.__name__: f for f in named}
 
 
