@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.llm.batches import pieces, spread
-from panelwise.llm.common import in_arrow, put
+from panelwise.llm.common import in_arrow, put, settled
 
 #: Words compiled into the automaton.
 LEXICON_WORDS = 1 << 16
@@ -415,12 +415,28 @@ def word_counts(docs: DataFrame, pattern: str, specials: dict[str, int], text_co
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, words: int) -> DataFrame:
+    """At most ``words`` of the most frequent words, cut at a step of a fine logarithmic scale of frequencies.
+
+    A cut by frequency leaves the choice to each task; a global top-k would send that many words from every task.
+    """
+    step = F.floor(F.log2("n") * 16).cast("int")
+    scale = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    least, total = 0, 0
+    for row in sorted(scale, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > words:
+            least = row["step"] + 1
+            break
+    return counts.filter(step >= least).select("word")
+
+
 def compiled(docs: DataFrame, path: str, words: int = LEXICON_WORDS, text_col: str = "text") -> str:
     """Compile the most frequent words of ``docs`` and hand the lexicon file to the executors; its name."""
     spark = docs.sparkSession
     rules = Rules(path)
-    top = word_counts(docs, rules.pattern, rules.specials, text_col).orderBy(F.desc("n"), "word").limit(words)
-    chosen = sorted(r["word"].encode() for r in top.select("word").collect())
+    counts = settled(word_counts(docs, rules.pattern, rules.specials, text_col), "word-counts")
+    chosen = sorted(r["word"].encode() for r in most_frequent(counts, words).collect())
     merger = Merger(rules.keys, rules.ranks, rules.made, rules.first, rules.last)
     at = np.concatenate([[0], np.cumsum([len(w) for w in chosen])]).astype(np.int64)
     ids, ids_at = merger.merge(np.frombuffer(b"".join(chosen), np.uint8), at)
@@ -461,8 +477,8 @@ def decoded(df: DataFrame, lexicon: str, ids_col: str = "ids") -> DataFrame:
     return in_arrow(df.select("doc_id", F.col(ids_col).alias("ids")), decode, f"doc_id {kind}, text string")
 
 
-def digest(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded in one pass."""
+def digest(docs: DataFrame, path: str, words: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text, encoded and decoded in one pass, and ``ids`` if kept."""
     lexicon = compiled(docs, path, words)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -472,10 +488,12 @@ def digest(docs: DataFrame, path: str, words: int = LEXICON_WORDS) -> DataFrame:
             raw = ids.astype("<u4")
             parts = [hashlib.sha256(raw[b:e].tobytes()).hexdigest() for b, e in zip(at[:-1].tolist(), at[1:].tolist())]
             texts = [hashlib.sha256(t).hexdigest() for t in codec.decode(ids, at)]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(parts), pa.array(texts)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [piece.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(parts, pa.string()), pa.array(texts, pa.string())]
+            if keep_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_arrow(docs.select("doc_id", "text"), digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    return in_arrow(docs.select("doc_id", "text"), digests, schema)

@@ -150,3 +150,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
         F.sum("part").alias("taken"), F.min(F.when(F.col("part") > 0, F.col("slot"))).alias("first_slot")
     )
     return per_doc.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The documents themselves, each as often as the mix takes it, to the nearest whole number (rows of one id alike)."""
+    got = mix(docs, **options).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    times = got.select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_times"))
+    joined = docs.join(times.filter("_times > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)
