@@ -4,24 +4,27 @@
 per id combine map-side, and every step is a plain join that adaptive execution can split, so one id may have any
 number of links.
 
-``grouped`` finds the components of "linked" among rows that share a bucket without forming all pairs of a bucket.
-In each round a few members of each bucket become centres and are compared with the members that are not yet in
-their component; then a centre has been compared with, or is connected to, everyone and leaves the bucket. Members
-of small components are chosen first. A bucket is done when all its members are connected or it has no two left.
-For a bucket whose members are all alike this ends after one or two rounds; nothing is skipped, whatever the size.
+``grouped`` finds the components of "linked" among rows that share a bucket without testing all pairs of a bucket.
+First every bucket's member that shares most buckets with most others becomes its centre and is tested against the
+rest: in a group of copies of one original that is the original, and nearly all are connected at once. Buckets whose
+members are then connected are done. In the others, members of different components are compared by small sketches
+inside tasks, a block of a bucket against a block at a time, so that a bucket of any size is spread over many tasks; only
+pairs whose sketches are close enough, each once, are tested. Pairs within a component are never looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import settled
+from panelwise.llm.common import in_arrow, settled
 
-#: Centres per bucket in the first rounds; the last number holds for all further rounds.
-CENTRES = (1, 4, 16)
+#: Members of a bucket that meet in one task at once, about.
+BLOCK = 1024
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -51,35 +54,81 @@ def several(members: DataFrame) -> DataFrame:
     return members.join(full, "bucket", "left_semi")
 
 
-def grouped(members: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``id, root`` of all ids with a link, from distinct ``bucket, id`` and a test that keeps the linked pairs ``a < b``."""
-    open_ = settled(members, "members")
-    links = tested = labels = None
-    step = 0
-    while not open_.isEmpty():
-        now = open_.select("bucket", "id", F.col("id").alias("root"))
-        if labels is not None:
-            now = open_.join(labels, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-        now = settled(now, "rooted")
-        per_root = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("one"))
-        count = CENTRES[min(step, len(CENTRES) - 1)]
-        chosen = [F.min(F.struct("n", F.xxhash64("one", F.lit(k)), F.col("one").alias("centre"), F.col("root").alias("home"))) for k in range(count)]
-        centres = per_root.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.array_distinct(F.array(*chosen)).alias("c"))
-        centres = centres.filter("roots > 1").select("bucket", F.inline("c")).select("bucket", "centre", "home")
-        centres = settled(centres, "centres")
-        pairs = now.join(centres, "bucket").filter("root <> home")
-        pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs, "pairs")
-        found = settled(link(pairs).select("a", "b").distinct(), "found")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = settled(components(links if labels is None else labels.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found)), "labels")
-        rest = open_.join(centres.select("bucket").distinct(), "bucket", "left_semi")
-        rest = rest.join(centres.select("bucket", F.col("centre").alias("id")), ["bucket", "id"], "left_anti")
-        open_ = settled(several(rest), "open")
-        step += 1
-    if labels is None:
-        labels = members.select("id", F.col("id").alias("root")).limit(0)
-    return labels
+def grouped(members: DataFrame, link: Callable[[DataFrame], DataFrame], sketches: DataFrame, likely: Callable) -> DataFrame:
+    """``id, root`` of all ids with a link.
+
+    ``members`` are distinct ``bucket, id``; ``link`` keeps the linked pairs of ``a < b``; ``sketches`` has ``id, sketch,
+    keys`` (bytes): what ``likely`` compares, and the low 32 bits of all buckets of the id, in the same places for
+    every id. ``likely`` takes two arrays of sketches, one sketch a row, and says for all pairs whether to test them.
+    """
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    degrees = members.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("degree"))
+    ranked = settled(members.join(degrees, "id").select("bucket", "id", "degree"), "members")
+    best = F.max(F.struct("degree", F.xxhash64("id").alias("h"), "id"))["id"]
+    centres = ranked.groupBy("bucket").agg(best.alias("centre"))
+    stars = _tested(ranked.join(centres, "bucket").filter("id <> centre").select("id", "centre"), link)
+    labels = settled(components(stars), "labels")
+    now = ranked.join(labels, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+    now = settled(now, "rooted")
+    split = now.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    split = split.filter("low < high").select("bucket", "n")
+    pairs = _close(now.join(split, "bucket").join(sketches, "id"), likely)
+    found = _tested(pairs.select(F.col("a").alias("id"), F.col("b").alias("centre")), link)
+    return components(labels.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(found))
+
+
+def _tested(pairs: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    once = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    return settled(link(settled(once, "pairs")).select("a", "b").distinct(), "found")
+
+
+def _close(rows: DataFrame, likely: Callable) -> DataFrame:
+    """The pairs ``a, b`` of one bucket and different roots with close sketches, in the first bucket they share."""
+    spread = rows.withColumn("blocks", F.expr(f"cast((n + {BLOCK - 1}) div {BLOCK} AS int)"))
+    spread = spread.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    spread = spread.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "root", "sketch", "keys")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, i, j, group in _runs(batches):
+            column = {c: np.concatenate([g[c] for g in group]) for c in group[0]}
+            left = np.flatnonzero(column["block"] == i)
+            right = left if i == j else np.flatnonzero(column["block"] == j)
+            for rows_ in np.array_split(left, max(1, len(left) * len(right) >> 17)):
+                ok = column["root"][rows_][:, None] != column["root"][right][None, :]
+                if i == j:
+                    ok &= rows_[:, None] < right[None, :]
+                if not ok.any():
+                    continue
+                ok &= likely(column["sketch"][rows_], column["sketch"][right])
+                x, y = np.nonzero(ok)
+                x, y = rows_[x], right[y]
+                same = column["keys"][x] == column["keys"][y]
+                first = np.where(same, column["keys"][x], np.uint32(0xFFFFFFFF)).min(axis=1, initial=0xFFFFFFFF)
+                here = first == np.uint32(bucket & 0xFFFFFFFF)
+                yield pa.RecordBatch.from_arrays([pa.array(column["id"][z[here]]) for z in (x, y)], ["a", "b"])
+
+    parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = spread.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return in_arrow(dealt, compare, "a long, b long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, list[dict]]]:
+    """Consecutive rows of equal ``bucket, i, j`` as arrays, from any number of batches."""
+    held, group = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = {c: batch.column(c).to_numpy() for c in ("bucket", "i", "j", "block", "id", "root")}
+        column["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+        column["keys"] = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+        change = np.flatnonzero(np.any([column[c][1:] != column[c][:-1] for c in ("bucket", "i", "j")], axis=0)) + 1
+        for begin, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
+            key = tuple(int(column[c][begin]) for c in ("bucket", "i", "j"))
+            if held is not None and key != held:
+                yield *held, group
+                group = []
+            held = key
+            group.append({c: v[begin:end] for c, v in column.items()})
+    if held is not None:
+        yield *held, group

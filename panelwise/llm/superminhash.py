@@ -5,8 +5,9 @@ random value in ``[level, level + 1)`` for it; a place keeps its smallest value.
 level that leaves no place empty, since later values are larger: that is the early stop. Documents of a batch go
 through the levels together, as arrays.
 
-``BANDS`` bands of ``ROWS`` places make two documents candidates; at a similarity of 0.8 a pair is missed with a
-probability below 1e-7. Documents with equal shingle sets are one node first (any number of exact copies costs one
+``BANDS`` bands of ``ROWS`` places, the first half of ``PLACES``, make two documents candidates; at a similarity of 0.8 a
+pair is missed with a probability below 1e-7. Within large buckets a pair is verified if it agrees in ``CLOSE`` of all
+places, almost five standard deviations below 0.8. Documents with equal shingle sets are one node first (any number of exact copies costs one
 row per copy); nodes that share a band are compared by ``components.grouped`` on the full shingle sets of their
 texts. Shingles are compared by 64-bit hashes.
 
@@ -29,6 +30,8 @@ from panelwise.llm.common import in_arrow, settled
 from panelwise.llm.components import grouped, several
 
 BANDS, ROWS = 32, 4
+PLACES = 256
+CLOSE = 0.68
 #: Shingles that go through the levels at once.
 AT_ONCE = 1 << 17
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -116,23 +119,35 @@ def bands(signature: np.ndarray, number: int, rows: int) -> np.ndarray:
     return key
 
 
-def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, node, bands``: ``node`` is a hash of the shingle set, null if it is empty."""
+def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, places: int = PLACES) -> DataFrame:
+    """``doc_id, n_shingles, node, bands, sketch``: ``node`` is a hash of the shingle set, null if it is empty.
+
+    ``sketch`` has eight bits of each place of the signature.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             grams, at = shingles(*flat_text(piece.column("text")), size)
             node = set_hashes(grams, at)
             count = np.diff(at)
-            key = bands(signatures(grams, at, number * rows), number, rows)[count > 0]
+            signature = signatures(grams, at, places)
+            key = bands(np.ascontiguousarray(signature[:, : number * rows]), number, rows)[count > 0]
+            bits = (mixed(signature.view(np.uint64)) & np.uint64(255)).astype(np.uint8)
+            sketch = pa.array([row.tobytes() for row in bits], pa.binary())
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum((count > 0) * number)]), pa.int32()), pa.array(key.reshape(-1).view(np.int64))
             )
-            columns = [piece.column("doc_id"), pa.array(count), pa.array(node, mask=count == 0), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands"])
+            columns = [piece.column("doc_id"), pa.array(count), pa.array(node, mask=count == 0), lists, sketch]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, n_shingles long, node long, bands array<long>")
+    return in_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, n_shingles long, node long, bands array<long>, sketch binary")
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether each sketch of ``a`` agrees with each of ``b`` in ``CLOSE`` of its places."""
+    least = CLOSE * a.shape[1]
+    return np.stack([np.count_nonzero(b == row, axis=1) >= least for row in a])
 
 
 def set_hashes(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -177,13 +192,14 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, number: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: the smallest id of each document's group, and whether it is the document's own."""
     made = settled(records(docs, size, number, rows), "superminhash")
-    nodes = made.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("one"), F.first("bands").alias("bands"))
+    nodes = made.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("one"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = settled(nodes, "nodes")
     members = settled(several(nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id")).distinct()), "buckets")
     wanted = members.select(F.col("id").alias("node")).distinct().join(nodes.select("node", F.col("one").alias("doc_id")), "node")
     texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(wanted, "doc_id")
     texts = settled(_own(texts, size), "texts")
-    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent))
+    sketches = in_arrow(nodes.select("node", "bands", "sketch"), _keys, "id long, sketch binary, keys binary")
+    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike)
     named = nodes.select("node", "one").join(roots.withColumnRenamed("id", "node"), "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("one").alias("component_id"))
@@ -193,6 +209,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, number: i
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        flat = batch.column("bands").flatten().to_numpy()
+        keys = flat.view(np.uint64).astype(np.uint32).reshape(batch.num_rows, -1) if batch.num_rows else []
+        columns = [batch.column("node"), batch.column("sketch"), pa.array([k.tobytes() for k in keys], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "sketch", "keys"])
+
+
 def _own(texts: DataFrame, size: int) -> DataFrame:
     """``node, text`` where the text has the node's set: one id may stand on rows of different texts."""
 
