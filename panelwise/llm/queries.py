@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import bpe, chat, lines, mixing, oracle, repeats, superminhash, toxicity
+from panelwise.llm import bpe, chat, lines, mixing, oracle, repeats, sampling, superminhash, toxicity
 from panelwise.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(table(spark, sf_dir, "conversations"))
 
 
+def op4_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -38,7 +42,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (op1_superminhash, op2_mixing, op3_chat, op6_bpe, op8_suffixes, op9_lines, op10_toxicity)
+    named = (op1_superminhash, op2_mixing, op3_chat, op4_sampling, op6_bpe, op8_suffixes, op9_lines, op10_toxicity)
     return {f.__name__: f for f in named}
 
 

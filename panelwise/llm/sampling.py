@@ -4,8 +4,7 @@ A document's terms are its words (A-Z and other letters lowered, split at ASCII
 occur. For each of ``SAMPLES`` places every term draws, from a hash of term and place, two gamma(2, 1) variates ``r`` and
 ``c`` and a uniform ``b``; with ``t = floor(ln w / r + b)`` its draw is ``ln a = ln c - r (t - b) - r``, and the place takes
 the term, with its ``t``, of the smallest draw. Two documents agree in a place with a probability equal to the generalised
-Jaccard similarity ``sum(min(w, w')) / sum(max(w, w'))``. Gamma variates come from tables of quantiles, so all draws
-are the same on every machine.
+Jaccard similarity ``sum(min(w, w')) / sum(max(w, w'))``. A gamma variate is ``-ln(u v)`` of two uniforms.
 
 Word counts of a document are runs of its sorted word hashes, so no row of a word leaves its task: places are minima,
 kept per document next to where its text was read. Hashes are 64 bits of a word, 32 bits of a place in the fingerprint.
@@ -21,56 +20,43 @@ itself; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.llm.common import settled, text_of
 
-SAMPLES = 64
-#: Bits that choose a quantile of c and of r.
-C_BITS, R_BITS = 14, 12
-
-
-def gamma_quantiles(bits: int) -> np.ndarray:
-    """Quantiles of the gamma(2, 1) law at the middles of ``2**bits`` equal steps, by bisection."""
-    u = (np.arange(1 << bits) + 0.5) / (1 << bits)
-    low, high = np.zeros(len(u)), np.full(len(u), 64.0)
-    for _ in range(70):
-        middle = (low + high) / 2
-        below = 1 - np.exp(-middle) * (1 + middle) < u
-        low, high = np.where(below, middle, low), np.where(below, high, middle)
-    return (low + high) / 2
-
-
-def _listed(values: np.ndarray):
-    """A constant array, folded into one literal by the optimizer."""
-    return F.split(F.lit(",".join(f"{v:.12f}" for v in values)), ",").cast("array<double>")
+SAMPLES = 32
+#: Draws that one pass over a document's terms makes.
+TOGETHER = 4
 
 
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``places``, an array of ``samples`` numbers, for each row of ``keys, text`` (keys are unique)."""
+    """``keys`` and ``places``, an array of ``samples`` numbers, for each row of ``keys, text`` (keys are unique, and not wide)."""
     hashed = F.transform(F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
     terms = texts.select(*keys, F.sort_array(hashed).alias("_s"))
-    ends = F.expr("filter(sequence(0, size(_s) - 1), i -> i = size(_s) - 1 OR _s[i] <> _s[i + 1])")
-    ends = F.when(F.size("_s") > 0, ends).otherwise(F.expr("array(-1)"))
-    terms = terms.select(*keys, "_s", ends.alias("_e")).select(*keys, "_s", "_e", F.posexplode("_e").alias("_i", "_last"))
-    weight = F.col("_last") - F.when(F.col("_i") > 0, F.expr("get(_e, _i - 1)")).otherwise(-1)
-    word = F.expr("if(_last < 0, NULL, get(_s, _last))")
-    terms = terms.select(*keys, word.alias("_w"), F.log(F.greatest(weight, F.lit(1)).cast("double")).alias("_lw"))
-    terms = terms.withColumns({"_lc": _listed(np.log(gamma_quantiles(C_BITS))), "_rs": _listed(gamma_quantiles(R_BITS))})
-    smallest = []
-    for k in range(samples):
-        bits = f"xxhash64(_w, {k})"
-        r = f"get(_rs, cast(shiftright({bits}, {64 - C_BITS - R_BITS}) & {(1 << R_BITS) - 1} AS int))"
-        c = f"get(_lc, cast(shiftrightunsigned({bits}, {64 - C_BITS}) AS int))"
-        b = f"(cast(shiftright({bits}, 18) & 1048575 AS double) / 1048576D)"
-        t = f"floor(_lw / {r} + {b})"
-        draw = f"cast(({c} - {r} * ({t} - {b}) - {r} + 64D) * 67108864D AS long)"
-        smallest.append(F.expr(f"min(if(_w IS NULL, NULL, shiftleft({draw}, 26) | shiftleft({bits} & 262143L, 8) | ({t} & 255L)))").alias(f"_m{k}"))
-    places = F.array(*(F.coalesce(F.hash(F.lit(k), F.col(f"_m{k}")), F.lit(0)) for k in range(samples)))
-    return terms.groupBy(*keys).agg(*smallest).select(*keys, places.alias("places"))
+    ends = F.expr("if(size(_s) > 0, filter(sequence(0, size(_s) - 1), i -> i = size(_s) - 1 OR _s[i] <> _s[i + 1]), array())")
+    terms = terms.select(*keys, "_s", ends.alias("_e"))
+    runs = F.expr("transform(_e, (e, j) -> struct(_s[e] AS _w, e - if(j = 0, -1, _e[j - 1]) AS _n))")
+    # outer: an inner generator would have its input filtered first, working the arrays out twice
+    terms = terms.select(*keys, F.inline_outer(runs)).select(*keys, "_w", F.log(F.coalesce("_n", F.lit(1)).cast("double")).alias("_lw"))
+    terms = terms.withColumn("_g", F.explode(F.expr(f"sequence(0, {-(-samples // TOGETHER) - 1})")))
+    each = range(TOGETHER)
+    # one step a projection: every value is worked out once, in methods short enough to be compiled
+    terms = terms.select(*keys, "_g", "_lw", *(F.expr(f"xxhash64(_w, _g * {TOGETHER} + {k}, '{side}')").alias(f"_{side}{k}") for side in "ab" for k in each), F.col("_w").isNull().alias("_none"))
+    steps = (
+        ("r", "-ln(((_a{k} & 2097151) + 0.5D) * ((shiftrightunsigned(_a{k}, 21) & 2097151) + 0.5D) / 4398046511104D)"),
+        ("u", "shiftrightunsigned(_a{k}, 42) / 2097152D"),
+        ("c", "ln(-ln(((_b{k} & 4294967295) + 0.5D) * (shiftrightunsigned(_b{k}, 32) + 0.5D) / 18446744073709551616D))"),
+    )
+    drawn = terms.select(*keys, "_g", "_lw", "_none", *(F.expr(e.format(k=k)).alias(f"_{n}{k}") for n, e in steps for k in each), *(F.expr(f"_b{k} & 262143L").alias(f"_x{k}") for k in each))
+    drawn = drawn.select("*", *(F.expr(f"floor(_lw / _r{k} + _u{k})").alias(f"_t{k}") for k in each))
+    place = "if(_none, NULL, shiftleft(cast((_c{k} - _r{k} * (_t{k} - _u{k} + 1) + 64D) * 67108864D AS long), 26) | shiftleft(_x{k}, 8) | (_t{k} & 255L))"
+    smallest = [F.min(F.expr(place.format(k=k))).alias(f"_m{k}") for k in each]
+    found = F.array(*(F.coalesce(F.hash(F.col("_g"), F.col(f"_m{k}")), F.lit(0)) for k in range(TOGETHER)))
+    parts = drawn.groupBy(*keys, "_g").agg(*smallest).select(*keys, F.struct("_g", found.alias("p")).alias("part"))
+    whole = parts.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return whole.select(*keys, F.slice(F.flatten("parts.p"), 1, samples).alias("places"))
 
 
 def likeness(a, b, samples: int = SAMPLES):
@@ -132,16 +118,17 @@ def digest(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     gift = whole.select(F.col("prev_id").alias("to_id"), F.col("prev_h").alias("to_h"), F.expr("substr(text, 1, cast(prev_n div 2 AS int))").alias("gift"))
     pairs = whole.join(gift, _same(whole, gift, [("doc_id", "to_id"), ("h", "to_h")]))
     edited = F.concat(F.expr("substr(text, 1, cast(n - n div 2 AS int))"), F.expr("substr(gift, 1, cast(n div 2 AS int))"))
-    keys = ["doc_id", "h", "n", "next_id", "next_h", "edited_sha256"]
-    both = pairs.withColumn("edited", edited).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    both = pairs.withColumn("edited", edited)
+    sums = settled(both.select("doc_id", "h", "n", "next_id", "next_h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")), "sampling-sums")
     versions = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
-    both = both.select(*keys, versions.alias("v")).select(*keys, "v.kind", "v.text")
-    prints = settled(fingerprints(both, [*keys, "kind"], samples), "sampling-prints")
-    plain = prints.filter("kind = 0").drop("kind")
+    both = both.select("doc_id", "h", versions.alias("v")).select("doc_id", "h", "v.kind", "v.text")
+    prints = settled(fingerprints(both, ["doc_id", "h", "kind"], samples), "sampling-prints")
+    plain = prints.filter("kind = 0").select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "places")
     other = prints.filter("kind = 1").select(F.col("doc_id").alias("e_id"), F.col("h").alias("e_h"), F.col("places").alias("e_places"))
     after = prints.filter("kind = 0").select(F.col("doc_id").alias("n_id"), F.col("h").alias("n_h"), F.col("places").alias("n_places"))
     times = found.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "times")
-    out = plain.join(other, _same(plain, other, [("doc_id", "e_id"), ("h", "e_h")]))
+    out = sums.join(plain, _same(sums, plain, [("doc_id", "p_id"), ("h", "p_h")]))
+    out = out.join(other, _same(out, other, [("doc_id", "e_id"), ("h", "e_h")]))
     out = out.join(times, _same(out, times, [("doc_id", "t_id"), ("h", "t_h")]))
     out = out.join(after, _same(out, after, [("next_id", "n_id"), ("next_h", "n_h")]))
     out = out.select(
