@@ -7,7 +7,7 @@ through the levels together, as arrays.
 
 ``BANDS`` bands of ``ROWS`` places, the first half of ``PLACES``, make two documents candidates; at a similarity of 0.8 a
 pair is missed with a probability below 1e-7. Within large buckets a pair is verified if it agrees in ``CLOSE`` of all
-places, almost five standard deviations below 0.8. Documents with equal shingle sets are one node first (any number of exact copies costs one
+places, four standard deviations below 0.8, and if the sizes of the sets allow the similarity. Documents with equal shingle sets are one node first (any number of exact copies costs one
 row per copy); nodes that share a band are compared by ``components.grouped`` on the full shingle sets of their
 texts. Shingles are compared by 64-bit hashes.
 
@@ -31,7 +31,7 @@ from panelwise.llm.components import grouped, several
 
 BANDS, ROWS = 32, 4
 PLACES = 256
-CLOSE = 0.68
+CLOSE = 0.7
 #: Shingles that go through the levels at once.
 AT_ONCE = 1 << 17
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], np.uint64)
@@ -122,7 +122,7 @@ def bands(signature: np.ndarray, number: int, rows: int) -> np.ndarray:
 def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, places: int = PLACES) -> DataFrame:
     """``doc_id, n_shingles, node, bands, sketch``: ``node`` is a hash of the shingle set, null if it is empty.
 
-    ``sketch`` has eight bits of each place of the signature.
+    ``sketch`` has eight bits of each place of the signature, and the size of the set.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +133,7 @@ def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, p
             signature = signatures(grams, at, places)
             key = bands(np.ascontiguousarray(signature[:, : number * rows]), number, rows)[count > 0]
             bits = (mixed(signature.view(np.uint64)) & np.uint64(255)).astype(np.uint8)
-            sketch = pa.array([row.tobytes() for row in bits], pa.binary())
+            sketch = pa.array([row.tobytes() + n.tobytes() for row, n in zip(bits, count.astype(np.uint32))], pa.binary())
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum((count > 0) * number)]), pa.int32()), pa.array(key.reshape(-1).view(np.int64))
             )
@@ -144,10 +144,16 @@ def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, p
     return in_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, n_shingles long, node long, bands array<long>, sketch binary")
 
 
-def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether each sketch of ``a`` agrees with each of ``b`` in ``CLOSE`` of its places."""
-    least = CLOSE * a.shape[1]
-    return np.stack([np.count_nonzero(b == row, axis=1) >= least for row in a])
+def alike(percent: int):
+    """A test whether sketches agree in ``CLOSE`` of their places, and sizes (the last four bytes) in ``percent`` of the larger."""
+
+    def test(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        least = CLOSE * (a.shape[1] - 4)
+        left, right = (np.ascontiguousarray(x[:, -4:]).view(np.uint32).reshape(-1).astype(np.int64) for x in (a, b))
+        sizes = 100 * np.minimum(left[:, None], right) >= percent * np.maximum(left[:, None], right)
+        return sizes & np.stack([np.count_nonzero(b[:, :-4] == row[:-4], axis=1) >= least for row in a])
+
+    return test
 
 
 def set_hashes(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -199,7 +205,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, number: i
     texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(wanted, "doc_id")
     texts = settled(_own(texts, size), "texts")
     sketches = in_arrow(nodes.select("node", "bands", "sketch"), _keys, "id long, sketch binary, keys binary")
-    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike)
+    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike(percent))
     named = nodes.select("node", "one").join(roots.withColumnRenamed("id", "node"), "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("one").alias("component_id"))
