@@ -6,7 +6,7 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a docu
 1. Of each window the smallest hash of its ``GRAM``-byte grams is its anchor; windows next to each other with one anchor
    form a stretch. Equal windows have equal anchors, so only stretches whose anchor occurs in two documents matter.
 2. Stretches with such anchors are dealt out by anchor, each distinct one once per task with the smallest id that has
-   it. Every shard's distinct stretches are concatenated; the suffix array (``suffixes``) and its permuted common
+   it. An anchor with one distinct stretch has no other to compare. The rest of every shard is concatenated; the suffix array (``suffixes``) and its permuted common
    prefixes bring equal windows together, and each window learns the smallest id of all stretches that hold it.
 3. Each stretch then has an owner (the smallest id that holds all of it) and the windows that an even smaller id has.
    Every occurrence of the stretch meets them in a join: in documents other than the owner all its windows go.
@@ -40,7 +40,7 @@ from panelwise.llm.suffixes import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 20
 #: Bytes of stretches in one suffix array, and wanted in one task.
-SHARD_BYTES, TASK_BYTES = 2 << 20, 6 << 20
+SHARD_BYTES, TASK_BYTES = 1 << 18, 6 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -195,7 +195,7 @@ def earlier_windows(data: np.ndarray, at: np.ndarray, owner: np.ndarray, length:
     order = order[whole[order]]
     who = np.repeat(owner, count + 1)
     who = np.append(who, NO_ID)[order]
-    fresh = shared[order] < length
+    fresh = ~shared[order]
     if len(fresh):
         fresh[0] = True
     groups = np.flatnonzero(fresh)
@@ -214,9 +214,15 @@ def judged(stretches: DataFrame, shards: int) -> DataFrame:
         new[1:] = g[order][1:] != g[order][:-1]
         one = order[new]
         times = np.add.reduceat(n[order], np.flatnonzero(new))
-        texts = [parts[i] for i in one.tolist()]
-        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        early = earlier_windows(np.frombuffer(b"".join(texts), np.uint8), at, ids[one])
+        _, which, many = np.unique(h[one], return_inverse=True, return_counts=True)
+        compared = many[which] > 1
+        size = np.array([len(parts[i]) for i in one.tolist()], np.int64)
+        at = np.concatenate([[0], np.cumsum(size)])
+        early = np.zeros(at[-1], bool)
+        if compared.any():
+            texts = [parts[i] for i in one[compared].tolist()]
+            found = earlier_windows(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum(size[compared])]), ids[one[compared]])
+            early[np.repeat(compared, size)] = found
         step = np.diff(np.concatenate([[0], early.astype(np.int8), [0]]))
         up, down = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         holder = np.searchsorted(at, up, side="right") - 1

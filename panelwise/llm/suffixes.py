@@ -113,21 +113,20 @@ def words_at(data: np.ndarray) -> np.ndarray:
 
 
 def permuted_prefixes(data: np.ndarray, order: np.ndarray, wanted: np.ndarray, most: int) -> np.ndarray:
-    """In text order: how many bytes (at most ``most``) each wanted suffix shares with the one before it in ``order``.
+    """In text order: whether each wanted suffix shares its first ``most`` bytes with the one before it in ``order``.
 
-    Positions not wanted have 0. ``wanted`` suffixes and their neighbours must be ``most`` bytes long to count that far.
+    Compared are eight bytes at a time, the last ones first, as neighbours mostly differ there. ``wanted`` suffixes are
+    at least ``most`` (8 or more) bytes long.
     """
     before = np.full(len(order), -1, np.int64)
     before[order[1:]] = order[:-1]
     words = words_at(data)
-    shared = np.zeros(len(order), np.int16)
     live = np.flatnonzero(wanted & (before >= 0))
-    for offset in range(0, most, 8):
+    for offset in sorted({most - 8, *range(0, most - 7, 8)}, reverse=True):
         a, b = live + offset, before[live] + offset
-        inside = np.maximum(a, b) < len(words)
-        live, a, b = live[inside], a[inside], b[inside]
-        differ = words[a] ^ words[b]
-        equal = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3
-        shared[live] = np.minimum(most, offset + equal)
-        live = live[equal == 8]
+        inside = b < len(words)
+        live = live[inside]
+        live = live[words[a[inside]] == words[b[inside]]]
+    shared = np.zeros(len(order), bool)
+    shared[live] = True
     return shared
