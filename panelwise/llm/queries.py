@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, chat, lines, mixing, oracle, repeats, sampling, superminhash, toxicity
+from panelwise.llm import bpe, chat, edits, lines, mixing, oracle, repeats, sampling, search, superminhash, toxicity
 from panelwise.llm.common import table
 
 
@@ -25,10 +26,20 @@ def op4_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = edits.edited(table(spark, sf_dir, "documents"))
+    return edits.counted(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return search.search(docs, docs.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
 
@@ -42,7 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = (op1_superminhash, op2_mixing, op3_chat, op4_sampling, op6_bpe, op8_suffixes, op9_lines, op10_toxicity)
+    named = (op1_superminhash, op2_mixing, op3_chat, op4_sampling, op5_edits, op6_bpe, op7_search, op8_suffixes, op9_lines, op10_toxicity)
     return {f.__name__: f for f in named}
 
 
