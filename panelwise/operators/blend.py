@@ -11,9 +11,9 @@ from panelwise.functions.scalar import row_mean
 
 
 def align(predictions: dict[str, DataFrame], key: str, value: str = "prediction") -> DataFrame:
-    """One column per model, joined by key."""
+    """One column per model, joined by key; NULL where a model has no row for a key."""
     named = [p.select(key, F.col(value).alias(n)) for n, p in predictions.items()]
-    return reduce(lambda a, b: a.join(b, key), named)
+    return reduce(lambda a, b: a.join(b, key, "full"), named)
 
 
 def ensemble(

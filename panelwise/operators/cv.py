@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwise.functions.scalar import nan_to_null
 from panelwise.operators.blend import mean_prediction
 from panelwise.operators.folds import stratified_folds
 from panelwise.operators.metrics import default_metric, threshold_flags
@@ -85,6 +86,7 @@ def cross_validate(
     whose first column is the score.
     """
     features = list(features)
+    df = nan_to_null(df, features)
     sentinels = fit_sentinels(df, features)
     folded = stratified_folds(df.select(key, target, *features), target, key, k, seed)
     data = vectorize(folded, features, sentinels, [key, target, "fold"]).persist()

@@ -47,7 +47,8 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Mode]:
     counts = (
         _long(df, columns).where(F.col("txt").isNotNull()).groupBy("name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
     )
-    whole = F.col("num").isNotNull() | F.col("txt").rlike(r"^\s*[+-]?\d+\s*$")
+    digits = F.col("txt").rlike(r"^\s*[+-]?\d+\s*$") & F.expr("try_cast(trim(txt) AS bigint) IS NOT NULL")
+    whole = F.col("num").isNotNull() | digits
     found = {
         r["name"]: Mode(r["value"], r["whole"])
         for r in counts.groupBy("name")
@@ -58,12 +59,12 @@ def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, Mode]:
 
 
 def impute_modes(df: DataFrame, modes: dict[str, Mode]) -> DataFrame:
-    """Fill NULL with the mode; columns of whole numbers become integers."""
+    """Fill NULL with the mode; columns of whole numbers become 64-bit integers."""
 
     def filled(c: str) -> Column:
         kind = df.schema[c].dataType
         x = F.coalesce(F.col(c), F.lit(modes[c].value).cast(kind))
-        return x.cast("int") if modes[c].to_int else x
+        return x.cast("bigint") if modes[c].to_int else x
 
     return df.select(*[filled(c).alias(c) if c in modes else F.col(c) for c in df.columns])
 

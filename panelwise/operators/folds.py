@@ -3,46 +3,19 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions.scalar import quoted
-from panelwise.plans.ordering import with_position
+from panelwise.plans.ordering import with_position, with_running
 
-MAX_CLASSES = 1000
 
-
-@dataclass(frozen=True)
-class _Class:
-    value: object
-    start: int  # place of the class in the order (class, ...)
-    rows: int
-
-
-def _classes(df: DataFrame, target: str, key: str) -> list[_Class]:
-    """Classes in order of their smallest key."""
-    found = (
-        df.groupBy(F.col(target).alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("first"))
-        .orderBy("first")
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} values")
-    out, start = [], 0
-    for r in found:
-        out.append(_Class(r["value"], start, r["rows"]))
-        start += r["rows"]
-    return out
-
-
-def _per_class(classes: list[_Class], target: str, of) -> Column:
-    choice = F.lit(None)
-    for c in classes:
-        choice = F.when(F.col(target).eqNullSafe(F.lit(c.value)), of(c)).otherwise(choice)
-    return choice
+def _classes(df: DataFrame, target: str, key: str) -> DataFrame:
+    """``(_class, _rows, _first, _start)``: each class, its size, its smallest key, and its place in the order of these keys."""
+    sizes = df.groupBy(F.col(target).alias("_class")).agg(F.count(F.lit(1)).alias("_rows"), F.min(key).alias("_first"))
+    placed = with_running(sizes, ["_first"], {"_end": "_rows"})
+    return placed.select("_class", "_rows", "_first", (F.col("_end") - F.col("_rows")).alias("_start"))
 
 
 def shuffle_key(key: str, seed: int) -> str:
@@ -50,47 +23,38 @@ def shuffle_key(key: str, seed: int) -> str:
     return f"md5(concat('{seed}:', CAST({quoted(key)} AS STRING)))"
 
 
-def _place_in_class(df: DataFrame, classes: list[_Class], target: str, key: str, seed: int | None) -> DataFrame:
-    code = _per_class(classes, target, lambda c: F.lit(classes.index(c)))
-    start = _per_class(classes, target, lambda c: F.lit(c.start).cast("long"))
+def _place_in_class(df: DataFrame, classes: DataFrame, target: str, key: str, seed: int | None) -> DataFrame:
+    """``df`` with the columns of its class and ``_place``, the 0-based place of the row in its class."""
     mixed = [] if seed is None else [shuffle_key(key, seed)]
-    coded = df.withColumn("_class", code)
-    placed = with_position(coded, ["_class", *mixed, quoted(key)], "_place").drop("_place_total", "_class")
-    return placed.withColumn("_place", F.col("_place") - start)
-
-
-def _fold_ends(c: _Class, k: int) -> list[int]:
-    """Rows of the class in folds 0..i: class rows are dealt to folds by their global place modulo k."""
-    sizes = [len(range(c.start + (i - c.start) % k, c.start + c.rows, k)) for i in range(k)]
-    return [sum(sizes[: i + 1]) for i in range(k)]
+    joined = df.join(classes, F.col(target).eqNullSafe(F.col("_class")))
+    placed = with_position(joined, ["_first", *mixed, quoted(key)], "_place")
+    return placed.withColumn("_place", F.col("_place") - F.col("_start"))
 
 
 def stratified_folds(df: DataFrame, target: str, key: str, k: int, seed: int | None = None) -> DataFrame:
-    """Add ``fold`` (0..k-1) with equal class shares.
+    """Add ``fold`` (0..k-1) with equal class shares, for any number of classes.
 
     Without a seed, each class is cut into consecutive blocks in key order. With a seed, the rows of a
     class are put into a repeatable random order first.
     """
-    classes = _classes(df, target, key)
-    placed = _place_in_class(df, classes, target, key, seed)
-
-    def fold(c: _Class) -> Column:
-        ends = F.array(*[F.lit(e).cast("long") for e in _fold_ends(c, k)])
-        return F.size(F.filter(ends, lambda e: e <= F.col("_place")))
-
-    return placed.withColumn("fold", _per_class(classes, target, fold)).drop("_place")
+    placed = _place_in_class(df, _classes(df, target, key), target, key, seed)
+    # class rows are dealt to folds by their global place modulo k: rows of the class in folds 0..i
+    sizes = [f"greatest(0L, (_rows - pmod({i} - _start, {k}) + {k - 1}) div {k})" for i in range(k)]
+    before = [F.expr(" + ".join(sizes[: i + 1])) for i in range(k)]
+    fold = reduce(lambda a, b: a + b, [F.when(end <= F.col("_place"), 1).otherwise(0) for end in before])
+    return placed.withColumn("fold", fold).select(*df.columns, "fold")
 
 
 def stratified_sample(df: DataFrame, target: str, key: str, rate: float, seed: int = 42) -> DataFrame:
     """Keep ``floor(rate * n)`` rows with class shares kept as closely as whole rows allow."""
     classes = _classes(df, target, key)
-    total = sum(c.rows for c in classes)
+    total = classes.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     keep = math.floor(rate * total)
-    exact = [c.rows * keep / total if total else 0 for c in classes]
-    quota = [math.floor(e) for e in exact]
-    by_rest = sorted(range(len(classes)), key=lambda i: (quota[i] - exact[i], i))
-    for i in by_rest[: keep - sum(quota)]:
-        quota[i] += 1
-    placed = _place_in_class(df, classes, target, key, seed)
-    limit = _per_class(classes, target, lambda c: F.lit(quota[classes.index(c)]).cast("long"))
-    return placed.where(F.col("_place") < limit).drop("_place")
+    shares = classes.withColumn("_exact", F.col("_rows") * F.lit(float(keep)) / F.lit(float(max(1, total))))
+    shares = shares.withColumn("_quota", F.floor("_exact"))
+    given = shares.agg(F.coalesce(F.sum("_quota"), F.lit(0))).first()[0]
+    ranked = with_position(shares, ["_quota - _exact", "_first"], "_rank")
+    quotas = ranked.withColumn("_quota", F.col("_quota") + (F.col("_rank") < keep - given).cast("long"))
+    quotas = quotas.select("_class", "_rows", "_first", "_start", "_quota")
+    placed = _place_in_class(df, quotas, target, key, seed)
+    return placed.where(F.col("_place") < F.col("_quota")).select(*df.columns)

@@ -126,10 +126,13 @@ def threshold_counts(df: DataFrame, score: str, thresholds: Sequence[float] = TH
 
 
 def prediction_histogram(df: DataFrame, target: str, score: str, bins: int = 20) -> DataFrame:
-    """``(target, bin, n, density)`` over equal bins of [0, 1]; the last bin is closed, empty bins stay."""
+    """``(target, bin, n, density)`` over equal bins of [0, 1]; the last bin is closed, empty bins stay.
+
+    Scores outside [0, 1] count nowhere.
+    """
     place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1))
     counts = df.groupBy(target).agg(
-        F.count(score).alias("total"), *[F.count(F.when(place == i, 1)).alias(f"n{i}") for i in range(bins)]
+        F.count(F.when(F.col(score).between(0, 1), 1)).alias("total"), *[F.count(F.when(place == i, 1)).alias(f"n{i}") for i in range(bins)]
     )
     rows = [
         F.struct(
@@ -143,7 +146,8 @@ def prediction_histogram(df: DataFrame, target: str, score: str, bins: int = 20)
 
 
 def calibration(df: DataFrame, target: str, score: str, key: str, bins: int = 50) -> DataFrame:
-    """``(bin, n, mean_predicted, observed_rate)`` over exact quantile bins, open on the left."""
+    """``(bin, n, mean_predicted, observed_rate)`` over exact quantile bins of known scores, open on the left."""
+    df = df.where(F.col(score).isNotNull())
     edges = quantiles(df, score, key, [i / bins for i in range(1, bins)])
     inner = F.array(*[F.lit(float(e)) for e in edges])
     place = F.size(F.filter(inner, lambda e: e < F.col(score)))

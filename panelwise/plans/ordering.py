@@ -84,9 +84,14 @@ def split_points(df: DataFrame, order: list[str], rows_per_bucket: int | None =
         return SplitPoints([], types, total)
     want = buckets * SAMPLE_PER_BUCKET
     sample = cols if total <= 2 * want else cols.sample(fraction=want / total, seed=17)
-    ranked = sorted(tuple(r) for r in sample.na.drop().collect())
+    # NULL sorts first, as in SQL, and is cut by the later columns like any other value
+    ranked = sorted((tuple(r) for r in sample.collect()), key=_nulls_first)
     step = max(1, math.ceil(len(ranked) / buckets))
-    return SplitPoints(sorted(set(ranked[step::step])), types, total)
+    return SplitPoints(sorted(set(ranked[step::step]), key=_nulls_first), types, total)
+
+
+def _nulls_first(row: tuple) -> tuple:
+    return tuple((v is not None, v) for v in row)
 
 
 def with_running(
@@ -99,6 +104,13 @@ def with_running(
     """
     points = points or split_points(df, order)
     bucketed = points.add_bucket(df, order)
+    if not points.splits:  # one bucket: no offsets to join
+        ordered = f"(ORDER BY {', '.join(order)} ROWS UNBOUNDED PRECEDING)"
+        return bucketed.selectExpr(
+            *[quoted(c) for c in df.columns if c not in sums],
+            *[f"sum({v}) OVER {ordered} AS {n}" for n, v in sums.items()],
+            *[f"sum({v}) OVER () AS {n}_total" for n, v in sums.items()],
+        )
     offsets = (
         bucketed.groupBy(BUCKET)
         .agg(*[F.expr(f"sum({v}) AS {n}") for n, v in sums.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions.scalar import day_gap_sql, quoted
 from panelwise.plans.ordering import BUCKET, split_points
+from panelwise.sources.workdir import fresh_folder
 from panelwise.spec import PanelSpec
 
 ROWS_PER_KEY = 100_000  # a key with more rows than this is split
@@ -49,7 +50,9 @@ def find_hot_keys(rows: DataFrame, key: str, rows_per_key: int | None = None) ->
     hot = spark.sql(f"SELECT {k} FROM ({counts}) WHERE _n > {limit}", rows=rows)
     if number <= BROADCAST_ROWS:
         return HotKeys(spark.createDataFrame(hot.collect(), hot.schema), True)
-    return HotKeys(hot.persist(), False)
+    path = fresh_folder(spark, "hot-keys")
+    hot.write.parquet(path)
+    return HotKeys(spark.read.schema(hot.schema).parquet(path), False)
 
 
 def consecutive_gaps(rows: DataFrame, spec: PanelSpec, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ shuffle.
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,13 +23,16 @@ def _path(root: str, family: str, split: str) -> str:
 
 
 def _table_name(root: str, family: str, split: str) -> str:
-    return re.sub(r"\W+", "_", _path(root, family, split)).strip("_").lower()
+    """A catalog name for exactly this path."""
+    return "panelwise_" + hashlib.sha256(_path(root, family, split).encode()).hexdigest()[:32]
 
 
 def write_family(
     df: DataFrame, root: str, family: str, split: str, key: str | None = None, buckets: int | None = None
 ) -> None:
     path = _path(root, family, split)
+    # a catalog entry of an earlier write may have other columns or buckets; dropping it keeps the files
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {_table_name(root, family, split)}")
     if buckets is None:
         df.write.mode("overwrite").parquet(path)
         return
@@ -63,9 +66,16 @@ def open_bucketed(spark: SparkSession, root: str, family: str, split: str, key:
 
 
 def read_group(spark: SparkSession, groups: str, family: str, name: str) -> list[str]:
-    """Column names of a group file, in file order."""
-    lines = spark.read.text(f"{groups}/{family}/{name}.txt", wholetext=True).first()
-    return [line.strip() for line in lines["value"].splitlines() if line.strip()] if lines else []
+    """Column names of a group, in file order; the part files of a folder follow each other by name."""
+    parts = spark.read.text(f"{groups}/{family}/{name}.txt", wholetext=True)
+    found = parts.select("value", F.col("_metadata.file_name").alias("file")).orderBy("file").collect()
+    return [line.strip() for part in found for line in part["value"].splitlines() if line.strip()]
+
+
+def write_group(spark: SparkSession, groups: str, family: str, name: str, columns: Sequence[str]) -> None:
+    """A group of column names, to be read by ``read_group`` in the same order."""
+    rows = spark.createDataFrame([(c,) for c in columns], "value string").coalesce(1)
+    rows.write.mode("overwrite").text(f"{groups}/{family}/{name}.txt")
 
 
 def resolved_features(
@@ -89,7 +99,8 @@ def assemble(
 ) -> DataFrame:
     """Chosen columns of several families side by side, joined by key.
 
-    If two families bring the same column name, the later family wins, as when files are overwritten.
+    If two families bring the same column name, the later family wins, as when files are overwritten. A key that
+    some family lacks stays, with NULL in that family's columns.
     """
     names = resolved_features(spark, root, split, selection, key, groups)
     owner = {n: family for family, columns in names.items() for n in columns}
@@ -97,12 +108,16 @@ def assemble(
         read_family(spark, root, family, split).select(key, *[n for n in dict.fromkeys(columns) if owner[n] == family])
         for family, columns in names.items()
     ]
-    return join_on_key(parts, key).select(key, *owner)
+    return join_on_key(parts, key, "full").select(key, *owner)
 
 
-def consolidate(spark: SparkSession, root: str, families: Sequence[str], split: str, key: str, name: str = "all_features") -> None:
-    """Store all columns of the families as one more family."""
-    write_family(assemble(spark, root, split, {f: "all" for f in families}, key), root, name, split)
+def consolidate(
+    spark: SparkSession, root: str, families: Sequence[str], split: str, key: str, name: str = "all_features",
+    buckets: int | None = None,
+) -> None:
+    """Store all columns of the families as one more family, bucketed by key if ``buckets`` is given."""
+    whole = assemble(spark, root, split, {f: "all" for f in families}, key)
+    write_family(whole, root, name, split, key, buckets)
 
 
 def feature_record(spark: SparkSession, names: dict[str, list[str]]) -> DataFrame:

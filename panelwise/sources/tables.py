@@ -24,8 +24,17 @@ def read_labels(spark: SparkSession, path: str, key: str, key_type: str = "strin
 
 
 def attach_labels(features: DataFrame, labels: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join labels by key. Both sides have one row per key."""
-    return features.join(labels, key, how)
+    """Join labels by key. A key with several label rows is an error, raised when the rows are computed."""
+    names = [c for c in labels.columns if c != key]
+    one = labels.groupBy(key).agg(F.count(F.lit(1)).alias("_labels"), *[F.first(c).alias(c) for c in names])
+    joined = features.join(one, key, how)
+    several = F.raise_error(F.concat(F.lit("several labels for key "), F.col(key).cast("string")))
+    checked = [
+        F.when(F.col("_labels") > 1, several.cast(labels.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in names else F.col(c)
+        for c in joined.columns
+        if c != "_labels"
+    ]
+    return joined.select(*checked)
 
 
 def join_on_key(tables: Sequence[DataFrame], key: str, how: str = "inner") -> DataFrame:

@@ -161,7 +161,7 @@ def test_mode_takes_the_smallest_on_a_tie(spark):
     modes = encode.fit_modes(df, ["c", "d", "e"])
     assert {c: m.value for c, m in modes.items()} == {"c": "a", "d": "10", "e": "1.0"}
     out = encode.impute_modes(df, modes)
-    assert dict(out.dtypes) == {"c": "string", "d": "int", "e": "int"}
+    assert dict(out.dtypes) == {"c": "string", "d": "bigint", "e": "bigint"}
     assert out.where("c IS NULL OR d IS NULL OR e IS NULL").count() == 0
 
 
@@ -300,3 +300,65 @@ def test_correlated_columns_are_dropped(spark):
     assert selection.correlation_filter(df, ["a", "b", "c"]) == ["a", "c"]
     out = selection.pca(df, ["a", "b", "c"], "id", 2)
     assert out.columns == ["id", "pca_0", "pca_1"] and out.count() == 50
+
+
+def test_whole_numbers_beyond_32_bits_are_kept(spark):
+    df = spark.createDataFrame([("3000000000", "99999999999999999999"), (None, None), ("7", "1")], "a string, b string")
+    out = encode.impute_modes(df, encode.fit_modes(df, ["a", "b"]))
+    assert dict(out.dtypes) == {"a": "bigint", "b": "string"}
+    assert {r.a for r in out.collect()} == {3000000000, 7}
+
+
+def test_calibration_counts_only_known_scores(spark):
+    df = spark.createDataFrame([(i, 0, i / 10) for i in range(10)] + [(100 + i, 1, None) for i in range(4)], "k int, y int, s double")
+    out = metrics.calibration(df, "y", "s", "k", bins=2).collect()
+    assert sum(r.n for r in out) == 10 and all(r.observed_rate == 0 for r in out)
+
+
+def test_any_number_of_classes(spark):
+    df = spark.createDataFrame([(i, i % 1500) for i in range(4500)], "k int, y int")
+    out = folds.stratified_folds(df, "y", "k", 3)
+    assert {r["count"] for r in out.groupBy("fold").count().collect()} == {1500}
+    assert out.groupBy("y").agg({"fold": "count"}).count() == 1500
+
+
+def test_null_scores_spread_over_buckets(spark):
+    from panelwise.plans import ordering
+
+    df = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, NULL, id) AS s")
+    points = ordering.split_points(df, ["s", "id"], rows_per_bucket=300)
+    largest = points.add_bucket(df, ["s", "id"]).groupBy(ordering.BUCKET).count().agg({"count": "max"}).first()[0]
+    assert largest < 900
+    ranked = ordering.with_position(df, ["s", "id"], points=points)
+    assert sorted(r.position for r in ranked.collect()) == list(range(3000))
+
+
+def test_a_key_with_several_labels_is_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    from panelwise.sources import tables
+
+    features = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int")
+    good = spark.createDataFrame([("a", 1)], "k string, target int")
+    assert {(r.k, r.target) for r in tables.attach_labels(features, good, "k").collect()} == {("a", 1), ("b", None)}
+    with pytest.raises(PySparkException):
+        tables.attach_labels(features, good.union(good), "k").collect()
+
+
+def test_store_keeps_paths_keys_and_parts_apart(spark, tmp_path):
+    from panelwise.sources import store
+
+    first, second = f"{tmp_path}/st-one", f"{tmp_path}/st_one"
+    store.write_family(spark.range(5).withColumnRenamed("id", "k"), first, "f", "train", "k", 2)
+    store.write_family(spark.range(7).withColumnRenamed("id", "k"), second, "f", "train", "k", 2)
+    assert (store.read_family(spark, first, "f", "train").count(), store.read_family(spark, second, "f", "train").count()) == (5, 7)
+    store.write_family(spark.range(3).selectExpr("id AS k", "id AS extra"), first, "f", "train")
+    assert store.read_family(spark, first, "f", "train").groupBy("extra").count().count() == 3
+    store.write_family(spark.range(9).selectExpr("id AS k", "-id AS other"), first, "g", "train")
+    both = store.assemble(spark, first, "train", {"f": "all", "g": "all"}, "k")
+    assert both.count() == 9 and both.where("extra IS NULL").count() == 6
+    names = [f"c{i}" for i in range(8)]
+    spark.createDataFrame([(n,) for n in names], "value string").repartitionByRange(4, "value").write.text(f"{tmp_path}/g/f/all.txt")
+    assert store.read_group(spark, f"{tmp_path}/g", "f", "all") == names
+    store.write_group(spark, f"{tmp_path}/g", "f", "few", ["z", "a"])
+    assert store.read_group(spark, f"{tmp_path}/g", "f", "few") == ["z", "a"]
