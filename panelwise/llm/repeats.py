@@ -33,7 +33,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.batches import flat_text, mixed, pieces, powers, run_hashes, spread
+from panelwise.llm.batches import flat_text, mixed, pieces, powers, spread
 from panelwise.llm.common import in_arrow, settled, text_of
 from panelwise.llm.sieve import passes, sieve
 from panelwise.llm.suffixes import permuted_prefixes, suffix_array
@@ -42,6 +42,9 @@ LENGTH, GRAM = 50, 20
 #: Bytes of stretches in one suffix array, and wanted in one task.
 SHARD_BYTES, TASK_BYTES = 1 << 18, 6 << 20
 NO_ID = (1 << 63) - 1
+#: An odd base of polynomial hashes modulo 2^64, and its inverse.
+BASE = np.uint64(0x9E3779B97F4A7C55)
+BACK = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 
 
 class Stretches:
@@ -54,7 +57,8 @@ class Stretches:
         self.anchor = np.zeros(0, np.int64)
         if len(data) < length:
             return
-        low = _anchors(data, length, gram)
+        self.sums = _sums(data)
+        low = _anchors(self.sums, length, gram)
         fits = np.zeros(len(low) + 1, np.int8)  # windows that end inside their row
         room = np.flatnonzero(np.diff(at) >= length)
         fits[at[room]] = 1
@@ -72,16 +76,20 @@ class Stretches:
 
     def hashes(self, chosen: np.ndarray) -> np.ndarray:
         begin = self.start[chosen]
-        return run_hashes(self.data, begin, begin + self.windows[chosen] + self.length - 1).view(np.int64)
+        size = self.windows[chosen] + self.length - 1
+        return mixed((self.sums[begin + size] - self.sums[begin]) * powers(BACK, len(self.sums))[begin] + size.astype(np.uint64)).view(np.int64)
 
 
-def _anchors(data: np.ndarray, length: int, gram: int) -> np.ndarray:
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of ``(byte + 1) * BASE^position``: with a power of ``BACK``, the hash of any run of bytes."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
+    return sums
+
+
+def _anchors(sums: np.ndarray, length: int, gram: int) -> np.ndarray:
     """The smallest gram hash of the window at each position."""
-    n = len(data)
-    odd = 0x9E3779B97F4A7C55
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(np.uint64(odd), n), out=sums[1:])
-    low = mixed((sums[gram:] - sums[:-gram]) * powers(np.uint64(pow(odd, -1, 1 << 64)), n - gram + 1))
+    low = mixed((sums[gram:] - sums[:-gram]) * powers(BACK, len(sums) - gram))
     wide, span = length - gram + 1, 1
     while span * 2 <= wide:
         low = np.minimum(low[:-span], low[span:])
@@ -144,14 +152,13 @@ def shared_anchors(corpus: Corpus) -> DataFrame:
             owner = ids[found.row]
             order = np.lexsort((owner, found.anchor))
             h, d = found.anchor[order], owner[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-            return _table(h=h[new], id=d[new])
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else order
+            return _table(h=h[first], least=d[first], most=d[np.append(first[1:], len(h)) - 1] if len(h) else d)
 
         return task
 
-    seen = corpus.each(make, "h long, id long")
-    return seen.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("h")
+    seen = corpus.each(make, "h long, least long, most long")
+    return seen.groupBy("h").agg(F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most").select("h")
 
 
 def distinct_stretches(corpus: Corpus, kept: Broadcast) -> DataFrame:
@@ -160,7 +167,7 @@ def distinct_stretches(corpus: Corpus, kept: Broadcast) -> DataFrame:
     def make():
         def task(ids: np.ndarray, rows: np.ndarray, found: Stretches) -> pa.RecordBatch:
             chosen = np.flatnonzero(passes(kept.value, found.anchor)) if len(found.anchor) else found.row
-            g = found.hashes(chosen) if len(chosen) else found.anchor
+            g = found.hashes(chosen) if len(chosen) else found.anchor[:0]
             owner = ids[found.row[chosen]]
             order = np.lexsort((owner, g))
             new = np.ones(len(g), bool)
@@ -253,16 +260,18 @@ def judged(stretches: DataFrame, shards: int) -> DataFrame:
     return in_arrow(stretches.repartition(shards, "h"), work, "g long, owner long, earlier array<int>")
 
 
-def occurrences(corpus: Corpus, kept: Broadcast) -> DataFrame:
+def occurrences(corpus: Corpus, shared: Broadcast, kept: Broadcast) -> DataFrame:
     """``g, id, row, start, windows`` of the stretches that may have been judged."""
 
     def make():
         def task(ids: np.ndarray, rows: np.ndarray, found: Stretches) -> pa.RecordBatch:
-            g = found.hashes(np.arange(len(found.start))) if len(found.start) else found.anchor
-            chosen = np.flatnonzero(passes(kept.value, g)) if len(g) else found.row
+            chosen = np.flatnonzero(passes(shared.value, found.anchor)) if len(found.anchor) else found.row
+            g = found.hashes(chosen) if len(chosen) else found.anchor[:0]
+            judged_ = passes(kept.value, g) if len(g) else np.zeros(0, bool)
+            chosen, g = chosen[judged_], g[judged_]
             begin = (found.start - found.at[found.row])[chosen] if len(chosen) else chosen
             row = found.row[chosen]
-            return _table(g=g[chosen], id=ids[row], row=rows[row], start=begin.astype(np.int32), windows=found.windows[chosen].astype(np.int32))
+            return _table(g=g, id=ids[row], row=rows[row], start=begin.astype(np.int32), windows=found.windows[chosen].astype(np.int32))
 
         return task
 
@@ -276,9 +285,10 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     corpus = Corpus(rows, gone)
     anchors = settled(shared_anchors(corpus), "repeats-anchors")
     number = anchors.count()
-    found = distinct_stretches(corpus, sieve(anchors, "h"))
+    shared = sieve(anchors, "h")
+    found = distinct_stretches(corpus, shared)
     known = settled(judged(found, max(4, -(-number * 4 * LENGTH // TASK_BYTES))), "repeats-judged")
-    met = occurrences(corpus, sieve(known, "g")).join(known, "g")
+    met = occurrences(corpus, shared, sieve(known, "g")).join(known, "g")
     late = met.filter("id > owner").select("row", "start", (F.col("start") + F.col("windows") + LENGTH - 1).alias("end"))
     own = met.filter("id = owner AND size(earlier) > 0").withColumn("k", F.explode(F.expr("sequence(0, size(earlier) - 1, 2)")))
     own = own.select("row", F.expr("start + earlier[k]").alias("start"), F.expr(f"start + earlier[k + 1] + {LENGTH - 1}").alias("end"))
@@ -286,43 +296,47 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     return rows, gone, settled(cuts, "repeats-cuts")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row; ``kept`` are the bytes that stay."""
-    rows, gone, cuts = spans(docs, id_col, text_col)
+def _changed(rows: DataFrame, gone: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``row, removed, runs, kept`` of the documents that lose bytes, repeated rows repeatedly."""
     marks = cuts.select("row", "cuts", F.lit(False).alias("whole")).unionByName(
         gone.select("row", F.lit(None).cast(cuts.schema["cuts"].dataType).alias("cuts"), F.lit(True).alias("whole"))
     )
     touched = sieve(marks, "row")
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
-
-    def split(want: bool):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(passes(touched.value, batch.column("row").to_numpy()) == want))
 
-        return in_arrow(rows.select("doc_id", "row", "text"), work, f"doc_id {kind}, row long, text string")
+    def those(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(passes(touched.value, batch.column("row").to_numpy())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             out = []
             for text, pairs, whole in zip(*(piece.column(c).to_pylist() for c in ("text", "cuts", "whole"))):
                 raw = text.encode()
-                if whole:
-                    out.append((len(raw), len(raw), 1, b""))
-                    continue
                 stay, at, runs, removed = [], 0, 0, 0
-                for begin, end in merged(pairs or []):
+                for begin, end in [(0, len(raw))] if whole else merged(pairs or []):
                     stay.append(raw[at:begin])
                     at, runs, removed = end, runs + 1, removed + end - begin
-                out.append((len(raw), removed, runs, b"".join([*stay, raw[at:]])))
-            columns = [pa.array([o[k] for o in out], pa.int64()) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns, pa.array([o[3] for o in out], pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                out.append((removed, runs, b"".join([*stay, raw[at:]])))
+            columns = [*(pa.array([o[k] for o in out], pa.int64()) for k in range(2)), pa.array([o[2] for o in out], pa.binary())]
+            yield pa.RecordBatch.from_arrays([piece.column("row"), *columns], ["row", "removed", "runs", "kept"])
+
+    once = in_arrow(rows.select("row", "text"), those, "row long, text string").join(marks, "row")
+    return in_arrow(once, cut, "row long, removed long, runs long, kept binary")
+
+
+def _sized(rows: DataFrame, *more) -> DataFrame:
+    return rows.select("doc_id", "row", F.octet_length("text").cast("long").alias("n_bytes"), *more)
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row; ``kept`` are the bytes that stay."""
+    rows, gone, cuts = spans(docs, id_col, text_col)
+    joined = _sized(rows, F.col("text").cast("binary").alias("whole")).join(_changed(rows, gone, cuts).dropDuplicates(["row"]), "row", "left")
+    return joined.select("doc_id", "n_bytes", *_counts(), F.coalesce("kept", "whole").alias("kept"))
+
 
-    changed = in_arrow(split(True).join(marks, "row", "left").select("doc_id", "text", "cuts", F.coalesce("whole", F.lit(False)).alias("whole")), cut, schema)
-    zero = F.lit(0).cast("long")
-    same = split(False).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-    return changed.unionByName(same)
+def _counts() -> list:
+    return [F.coalesce(c, F.lit(0)).cast("long").alias(n) for c, n in (("removed", "n_removed"), ("runs", "n_spans"))]
 
 
 def merged(pairs: list[dict]) -> list[tuple[int, int]]:
@@ -337,5 +351,8 @@ def merged(pairs: list[dict]) -> list[tuple[int, int]]:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    return deduplicated(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, with digests instead of texts in the last join."""
+    rows, gone, cuts = spans(docs)
+    changed = _changed(rows, gone, cuts).select("row", "removed", "runs", F.sha2("kept", 256).alias("new")).dropDuplicates(["row"])
+    joined = _sized(rows, F.sha2(F.col("text").cast("binary"), 256).alias("old")).join(changed, "row", "left")
+    return joined.select("doc_id", "n_bytes", *_counts(), F.coalesce("new", "old").alias("kept_sha256"))
