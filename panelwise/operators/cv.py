@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelwise.functions.scalar import nan_to_null
 from panelwise.operators.blend import mean_prediction
@@ -42,6 +42,25 @@ class Model:
     sentinels: dict[str, float]
 
 
+def save_models(spark: SparkSession, models: Sequence[Model], path: str) -> None:
+    """Write fold models, and next to them the record of the features each was trained on, with their sentinels."""
+    rows = [(i, p, f, float(m.sentinels[f])) for i, m in enumerate(models) for p, f in enumerate(m.features)]
+    record = spark.createDataFrame(rows, "fold int, position int, feature string, sentinel double")
+    record.write.mode("overwrite").parquet(f"{path}/features")
+    for i, m in enumerate(models):
+        m.tree.write().overwrite().save(f"{path}/fold_{i}")
+
+
+def load_models(spark: SparkSession, path: str) -> list[Model]:
+    """The fold models of ``save_models``, in another session too (one row per fold and feature is read)."""
+    folds: dict[int, list] = {}
+    for r in spark.read.parquet(f"{path}/features").orderBy("fold", "position").collect():
+        folds.setdefault(r["fold"], []).append((r["feature"], r["sentinel"]))
+    return [
+        Model(GBTClassificationModel.load(f"{path}/fold_{i}"), [f for f, _ in found], dict(found)) for i, found in sorted(folds.items())
+    ]
+
+
 @dataclass
 class CrossValidation:
     oof: DataFrame  # key, target, predicted, predicted_09 ..., fold

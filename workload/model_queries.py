@@ -55,7 +55,8 @@ def cv_coverage(spark, sf_dir):
     """Every training row is predicted once, by the model that did not see its fold."""
     oof = _validated(spark, sf_dir, k=5).oof
     inside = F.col("predicted").between(0, 1).cast("int")
-    return oof.select(KEY, "target", "fold", inside.alias("is_probability"))
+    flags = [(F.col(f"predicted_0{d}") == (F.col("predicted") > d / 10).cast("int")).cast("int").alias(f"flag_0{d}_follows") for d in (9, 8, 7, 6, 5)]
+    return oof.select(KEY, "target", "fold", inside.alias("is_probability"), *flags)
 
 
 def cv_scores(spark, sf_dir):
@@ -96,6 +97,20 @@ def fold_mean_predict(spark, sf_dir):
     return prob.join(odds, KEY)
 
 
+def saved_models(spark, sf_dir):
+    """Models written, read again and asked for every customer: the same scores as from memory, fold by fold."""
+    table, names = training_table(spark, sf_dir)
+    fitted = cv.cross_validate(table, names, "target", KEY, 2, TREES)
+    path = fresh_folder(spark, "models")
+    cv.save_models(spark, fitted.models, path)
+    before = cv.predict(table, fitted.models, KEY)
+    after = cv.predict_mean(table, cv.load_models(spark, path), KEY)
+    both = before.join(after.select(KEY, *[F.col(f"prediction_{i}").alias(f"loaded_{i}") for i in range(2)], "prediction"), KEY)
+    same = F.forall(F.array(*[F.col(f"prediction_{i}") == F.col(f"loaded_{i}") for i in range(2)]), lambda x: x)
+    mean = F.abs(F.col("prediction") - (F.col("loaded_0") + F.col("loaded_1")) / 2) < 1e-12
+    return both.select(KEY, same.cast("int").alias("is_same"), mean.cast("int").alias("is_fold_mean"))
+
+
 def random_search(spark, sf_dir):
     table, names = training_table(spark, sf_dir)
     space = {"maxDepth": ("int", 1, 3), "stepSize": ("log", 0.05, 0.5)}
@@ -134,6 +149,6 @@ def pca(spark, sf_dir):
 def queries() -> dict:
     found = (
         cv_oof, cv_coverage, cv_scores, cv_early_stopping, feature_importance, top_features, fold_mean_predict,
-        random_search, drift_features, corr_filter, pca,
+        saved_models, random_search, drift_features, corr_filter, pca,
     )
     return {f.__name__: f for f in found}

@@ -127,8 +127,11 @@ FROM s, (VALUES (0.9::DOUBLE), (0.8::DOUBLE), (0.7::DOUBLE), (0.6::DOUBLE), (0.5
         q[name] = _folds(k)
     # every training row predicted once, in its stratified fold; rows are the customers with statements
     q["cv_coverage"] = _folds(5, "(SELECT * FROM s WHERE key IN (SELECT o_custkey FROM orders))").replace(
-        "SELECT p.key, p.target, CAST", "SELECT p.key AS o_custkey, p.target, 1 AS is_probability, CAST"
+        "SELECT p.key, p.target, CAST",
+        "SELECT p.key AS o_custkey, p.target, 1 AS is_probability, "
+        + "".join(f"1 AS flag_0{d}_follows, " for d in (9, 8, 7, 6, 5)) + "CAST",
     )
+    q["saved_models"] = f"WITH {SCORED}\nSELECT key AS o_custkey, 1 AS is_same, 1 AS is_fold_mean FROM s WHERE key IN (SELECT o_custkey FROM orders)"
     q["shuffled_folds"] = _shuffled(5, 42)
     q["stratified_sample"] = f"""WITH {SCORED},
 c AS (SELECT target, min(key) AS first, count(*) AS n FROM s GROUP BY target),
@@ -200,8 +203,8 @@ SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n"""
     )
     q["downcast"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity,
   CAST(l_discount AS FLOAT) AS l_discount FROM lineitem"""
-    q["fixed_downcast"] = """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
-  CAST(o_totalprice AS FLOAT) AS o_totalprice FROM orders"""
+    q["fixed_downcast"] = """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+  CAST(o_totalprice AS FLOAT) AS o_totalprice) FROM orders"""
     flags = ", ".join(f"CAST(score_b > {t}::DOUBLE AS INTEGER) AS predicted_0{str(t)[2:]}" for t in (0.9, 0.8, 0.7, 0.6, 0.5))
     q["threshold_flags"] = f"WITH {SCORED}\nSELECT key, {flags} FROM s"
     q["month_flag"] = """WITH d AS (SELECT o_custkey, CAST(month(max(o_orderdate)) AS INTEGER) AS month FROM orders GROUP BY o_custkey)

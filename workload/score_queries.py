@@ -152,8 +152,7 @@ def downcast(spark, sf_dir):
 
 
 def fixed_downcast(spark, sf_dir):
-    out = encode.fixed_downcast(table(spark, sf_dir, "orders"))
-    return out.select("o_orderkey", "o_custkey", "o_totalprice")
+    return encode.fixed_downcast(table(spark, sf_dir, "orders"))
 
 
 def threshold_flags(spark, sf_dir):
