@@ -71,70 +71,57 @@ def written(places):
 
 
 def ordered(documents: DataFrame) -> DataFrame:
-    """``doc_id, h, n, next_id, next_h, prev_id, prev_h, prev_n`` of distinct documents, the last followed by the first."""
+    """``k, n, next_k, prev_k, prev_n`` of ``k, doc_id, h, n``: documents in order, the last followed by the first."""
     parts = max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = documents.repartitionByRange(parts, F.col("doc_id").asc_nulls_last(), "h").withColumn("p", F.spark_partition_id())
     ranged = settled(ranged, "sampling-order")
-    this = F.struct("doc_id", "h", "n")
-    order = [F.col("doc_id").asc_nulls_last(), F.col("h")]
-    inside = W.partitionBy("p").orderBy(*order)
-    chained = ranged.select("p", "doc_id", "h", "n", F.lead(this).over(inside).alias("after"), F.lag(this).over(inside).alias("before"))
+    this = F.struct("k", "n")
+    inside = W.partitionBy("p").orderBy(F.col("doc_id").asc_nulls_last(), "h")
+    chained = ranged.select("p", "k", "n", F.lead(this).over(inside).alias("after"), F.lag(this).over(inside).alias("before"))
     chained = settled(chained, "sampling-chain")
     heads = chained.filter("before IS NULL").select("p", this.alias("head"))
     tails = chained.filter("after IS NULL").select("p", this.alias("tail"))
     around = W.orderBy("p")  # one row per partition
     whole = around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ends = heads.join(tails, "p")
-    ends = ends.select(
+    ends = heads.join(tails, "p").select(
         "p",
         F.coalesce(F.lead("head").over(around), F.first("head").over(whole)).alias("next_head"),
         F.coalesce(F.lag("tail").over(around), F.last("tail").over(whole)).alias("prev_tail"),
     )
-    joined = chained.join(ends, "p")
     after, before = F.coalesce("after", "next_head"), F.coalesce("before", "prev_tail")
-    return joined.select(
-        "doc_id", "h", "n", after["doc_id"].alias("next_id"), after["h"].alias("next_h"),
-        before["doc_id"].alias("prev_id"), before["h"].alias("prev_h"), before["n"].alias("prev_n"),
-    )
-
-
-def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]):
-    condition = F.lit(True)
-    for a, b in pairs:
-        condition = condition & left[a].eqNullSafe(right[b])
-    return condition
+    return chained.join(ends, "p").select("k", "n", after["k"].alias("next_k"), before["k"].alias("prev_k"), before["n"].alias("prev_n"))
 
 
 def digest(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row."""
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row.
+
+    Documents are joined by ``k``, a hash of id and text; all draws of a document are made where its text arrives.
+    """
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("h", F.xxhash64("text"))
-    found = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("times"), F.max(F.char_length("text")).cast("long").alias("n"))
+    rows = rows.withColumn("k", F.xxhash64("doc_id", "h"))
+    found = rows.groupBy("k").agg(
+        F.max("doc_id").alias("doc_id"), F.max("h").alias("h"), F.count(F.lit(1)).alias("times"), F.max(F.char_length("text")).cast("long").alias("n")
+    )
     found = settled(found, "sampling-documents")
     chain = settled(ordered(found.drop("times")), "sampling-neighbours")
     if found.agg(F.max("times")).first()[0] not in (None, 1):
-        rows = rows.dropDuplicates(["doc_id", "h"])
-    chain = chain.withColumnsRenamed({"doc_id": "id", "h": "hash"})
-    whole = rows.join(chain, _same(rows, chain, [("doc_id", "id"), ("h", "hash")])).drop("id", "hash")
-    gift = whole.select(F.col("prev_id").alias("to_id"), F.col("prev_h").alias("to_h"), F.expr("substr(text, 1, cast(prev_n div 2 AS int))").alias("gift"))
-    pairs = whole.join(gift, _same(whole, gift, [("doc_id", "to_id"), ("h", "to_h")]))
+        rows = rows.dropDuplicates(["k"])
+    whole = rows.select("k", "text").join(chain, "k")
+    gift = whole.select(F.col("prev_k").alias("k"), F.expr("substr(text, 1, cast(prev_n div 2 AS int))").alias("gift"))
     edited = F.concat(F.expr("substr(text, 1, cast(n - n div 2 AS int))"), F.expr("substr(gift, 1, cast(n div 2 AS int))"))
-    both = pairs.withColumn("edited", edited)
-    sums = settled(both.select("doc_id", "h", "n", "next_id", "next_h", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")), "sampling-sums")
+    both = whole.join(gift, "k").withColumn("edited", edited)
+    both = both.withColumn("sum", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     versions = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
-    both = both.select("doc_id", "h", versions.alias("v")).select("doc_id", "h", "v.kind", "v.text")
-    prints = settled(fingerprints(both, ["doc_id", "h", "kind"], samples), "sampling-prints")
-    plain = prints.filter("kind = 0").select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "places")
-    other = prints.filter("kind = 1").select(F.col("doc_id").alias("e_id"), F.col("h").alias("e_h"), F.col("places").alias("e_places"))
-    after = prints.filter("kind = 0").select(F.col("doc_id").alias("n_id"), F.col("h").alias("n_h"), F.col("places").alias("n_places"))
-    times = found.select(F.col("doc_id").alias("t_id"), F.col("h").alias("t_h"), "times")
-    out = sums.join(plain, _same(sums, plain, [("doc_id", "p_id"), ("h", "p_h")]))
-    out = out.join(other, _same(out, other, [("doc_id", "e_id"), ("h", "e_h")]))
-    out = out.join(times, _same(out, times, [("doc_id", "t_id"), ("h", "t_h")]))
-    out = out.join(after, _same(out, after, [("next_id", "n_id"), ("next_h", "n_h")]))
+    both = both.select("k", "next_k", "sum", versions.alias("v")).select("k", "next_k", "sum", "v.kind", "v.text")
+    prints = settled(fingerprints(both, ["k", "next_k", "sum", "kind"], samples), "sampling-prints")
+    plain = prints.filter("kind = 0").select("k", "next_k", "places")
+    other = prints.filter("kind = 1").select("k", "sum", F.col("places").alias("e_places"))
+    after = prints.filter("kind = 0").select(F.col("k").alias("next_k"), F.col("places").alias("n_places"))
+    out = plain.join(other, "k").join(found.select("k", "doc_id", "n", "times"), "k").join(after, "next_k")
     out = out.select(
         "doc_id",
         F.col("n").alias("n_chars"),
-        "edited_sha256",
+        F.lower(F.hex("sum")).alias("edited_sha256"),
         written(F.col("places")).alias("fingerprint"),
         written(F.col("e_places")).alias("edited_fingerprint"),
         likeness(F.col("places"), F.col("e_places"), samples).alias("near_edited"),
