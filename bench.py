@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -31,6 +32,7 @@ def main(names: list[str]) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "1"))
+    shared = tempfile.TemporaryDirectory(prefix="panelwise-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("panelwise-bench")
@@ -38,6 +40,7 @@ def main(names: list[str]) -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared.name)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -69,6 +72,7 @@ def main(names: list[str]) -> None:
         )
     )
     spark.stop()
+    shared.cleanup()
 
 
 if __name__ == "__main__":

@@ -8,12 +8,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("panelwise-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
