@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text handled at once inside a task.
-TEXT_BYTES = 4 << 20
+#: Bytes of text handled at once inside a task; arrays made of them take many times as much.
+TEXT_BYTES = 1 << 20
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = TEXT_BYTES) -> Iterator[pa.RecordBatch]:
@@ -78,6 +78,6 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
             more = min(filled, len(known) - filled)
             known[filled : filled + more] = known[:more] * np.uint64(int(known[filled - 1]) * int(base) % (1 << 64))
             filled += more
-        if len(known) <= 4 * TEXT_BYTES:
+        if len(known) <= 8 * TEXT_BYTES:
             _POWERS[int(base)] = known
     return known[:n]

@@ -41,6 +41,8 @@ from panelwise.llm.suffixes import permuted_prefixes, suffix_array
 LENGTH, GRAM = 50, 20
 #: Bytes of stretches in one suffix array, and wanted in one task.
 SHARD_BYTES, TASK_BYTES = 1 << 18, 6 << 20
+#: Bytes of text in which a stretch travels once.
+PIECE_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1
 #: An odd base of polynomial hashes modulo 2^64, and its inverse.
 BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -133,7 +135,7 @@ class Corpus:
             for batch in batches:
                 if screen:
                     batch = batch.filter(pa.array(~passes(bitmap.value, batch.column("row").to_numpy())))
-                for piece in pieces([batch]):
+                for piece in pieces([batch], most=PIECE_BYTES):
                     yield task(piece.column("id").to_numpy(), piece.column("row").to_numpy(), Stretches(*flat_text(piece.column("text"))))
 
         most = in_arrow(self.rows.select("id", "text", "row"), lambda b: over(b, True), schema)
