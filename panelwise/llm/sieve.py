@@ -15,9 +15,9 @@ def sieve(df: DataFrame, column: str) -> Broadcast:
     """A broadcast bitmap that holds every value of a 64-bit hash column."""
     place = F.pmod(F.col(column), F.lit(BITS))
     words = df.select(place.alias("p")).groupBy(F.expr("p div 64").cast("int").alias("w"))
-    rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("bits")).toPandas()
+    rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("bits")).toArrow()
     bitmap = np.zeros(BITS // 64, np.int64)
-    bitmap[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    bitmap[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
     return df.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
 
 
