@@ -128,6 +128,17 @@ def test_lines_stay_once_per_group(docs, rows):
     assert {(r.doc_id, r.text) for r in got.collect()} == thinned(rows)
 
 
+def test_table_rows_with_one_other_cell_are_linked(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(120):
+        cells = [f"c{i}x{rng.randrange(10**6)}" for _ in range(4)]
+        other = [*cells[:3], f"other{i}"]
+        rows += [(2 * i, "| " + " | ".join(cells) + " |"), (2 * i + 1, "| " + " | ".join(other) + " |")]
+    kept = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed = 0")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 240, 2))
+
+
 def test_no_lines(empty):
     assert lines.deduplicated(empty).count() == 0 and lines.thinned(empty).columns == empty.columns
 
