@@ -59,7 +59,8 @@ def grouped(members: DataFrame, link: Callable[[DataFrame], DataFrame], sketches
 
     ``members`` are distinct ``bucket, id``; ``link`` keeps the linked pairs of ``a < b``; ``sketches`` has ``id, sketch,
     keys`` (bytes): what ``likely`` compares, and the low 32 bits of all buckets of the id, in the same places for
-    every id. ``likely`` takes two arrays of sketches, one sketch a row, and says for all pairs whether to test them.
+    every id, or nothing where these places differ; a pair then comes from every bucket it shares, and is tested once all
+    the same. ``likely`` takes two arrays of sketches, one sketch a row, and says for all pairs whether to test them.
     """
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     degrees = members.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("degree"))
@@ -103,9 +104,11 @@ def _close(rows: DataFrame, likely: Callable) -> DataFrame:
                 ok &= likely(column["sketch"][rows_], column["sketch"][right])
                 x, y = np.nonzero(ok)
                 x, y = rows_[x], right[y]
-                same = column["keys"][x] == column["keys"][y]
-                first = np.where(same, column["keys"][x], np.uint32(0xFFFFFFFF)).min(axis=1, initial=0xFFFFFFFF)
-                here = first == np.uint32(bucket & 0xFFFFFFFF)
+                here = np.ones(len(x), bool)
+                if column["keys"].shape[1]:
+                    same = column["keys"][x] == column["keys"][y]
+                    first = np.where(same, column["keys"][x], np.uint32(0xFFFFFFFF)).min(axis=1, initial=0xFFFFFFFF)
+                    here = first == np.uint32(bucket & 0xFFFFFFFF)
                 yield pa.RecordBatch.from_arrays([pa.array(column["id"][z[here]]) for z in (x, y)], ["a", "b"])
 
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -121,7 +124,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, li
             continue
         column = {c: batch.column(c).to_numpy() for c in ("bucket", "i", "j", "block", "id", "root")}
         column["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-        column["keys"] = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+        column["keys"] = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint32)
+        column["keys"] = column["keys"].reshape(batch.num_rows, len(column["keys"]) // batch.num_rows)
         change = np.flatnonzero(np.any([column[c][1:] != column[c][:-1] for c in ("bucket", "i", "j")], axis=0)) + 1
         for begin, end in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
             key = tuple(int(column[c][begin]) for c in ("bucket", "i", "j"))

@@ -139,6 +139,38 @@ def test_table_rows_with_one_other_cell_are_linked(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 240, 2))
 
 
+def edited(rng, line, times):
+    line = list(line)
+    for _ in range(times):
+        at = rng.randrange(len(line))
+        kind = rng.randrange(3)
+        line[at : at + (kind < 2)] = [f"v{rng.randrange(300)}"] * (kind > 0)
+    return line
+
+
+def test_lines_are_linked_by_edit_distance_alone(spark):
+    rng = random.Random(8)
+    kinds = []
+    for size in [*range(4, 31), 50, 80] * 4:
+        base = [f"v{rng.randrange(300)}" for _ in range(size)]
+        kinds += [base, edited(rng, base, size // 5), edited(rng, base, size // 5), edited(rng, base, size // 5 + 1)]
+    order = rng.sample(range(len(kinds)), len(kinds))
+    kinds = [tuple(kinds[i]) for i in order]
+    union = Union(len(kinds))
+    links = 0
+    for (i, a), (j, b) in itertools.combinations(enumerate(kinds), 2):
+        if 5 * abs(len(a) - len(b)) <= max(len(a), len(b)) and 5 * distance(a, b) <= max(len(a), len(b)):
+            union.join(i, j)
+            links += a != b
+    first = {}
+    for i in range(len(kinds)):
+        first.setdefault(union.root(i), i)
+    assert links > 200
+    df = spark.createDataFrame([(i, " ".join(k)) for i, k in enumerate(kinds)], "doc_id long, text string")
+    kept = lines.deduplicated(df).filter("n_removed = 0")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())
+
+
 def test_no_lines(empty):
     assert lines.deduplicated(empty).count() == 0 and lines.thinned(empty).columns == empty.columns
 
