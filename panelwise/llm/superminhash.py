@@ -14,6 +14,8 @@ texts. Shingles are compared by 64-bit hashes.
 Defined results: a document without words has an empty set and is linked with nothing; fewer words than a shingle
 make one shingle of all of them; rows of equal sets are one group, repeated rows too; a row without id takes the
 smallest id of its group and is never kept if it has one; other columns are ignored; an empty table gives no rows.
+Rows are told apart by a hash of id and text, so rows without id, and different texts of one id, are documents of
+their own.
 """
 
 from __future__ import annotations
@@ -119,8 +121,12 @@ def bands(signature: np.ndarray, number: int, rows: int) -> np.ndarray:
     return key
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+
+
 def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, places: int = PLACES) -> DataFrame:
-    """``doc_id, n_shingles, node, bands, sketch``: ``node`` is a hash of the shingle set, null if it is empty.
+    """``doc_id, row, n_shingles, node, bands, sketch``: ``node`` is a hash of the shingle set, null if it is empty.
 
     ``sketch`` has eight bits of each place of the signature, and the size of the set.
     """
@@ -137,11 +143,11 @@ def records(docs: DataFrame, size: int, number: int = BANDS, rows: int = ROWS, p
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum((count > 0) * number)]), pa.int32()), pa.array(key.reshape(-1).view(np.int64))
             )
-            columns = [piece.column("doc_id"), pa.array(count), pa.array(node, mask=count == 0), lists, sketch]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands", "sketch"])
+            columns = [piece.column("doc_id"), piece.column("row"), pa.array(count), pa.array(node, mask=count == 0), lists, sketch]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_shingles", "node", "bands", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_arrow(docs.select("doc_id", "text"), work, f"doc_id {kind}, n_shingles long, node long, bands array<long>, sketch binary")
+    return in_arrow(_keyed(docs), work, f"doc_id {kind}, row long, n_shingles long, node long, bands array<long>, sketch binary")
 
 
 def alike(percent: int):
@@ -197,22 +203,27 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, number: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: the smallest id of each document's group, and whether it is the document's own."""
+    return _rooted(docs, size, percent, number, rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _rooted(docs: DataFrame, size: int, percent: int, number: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``doc_id, row, n_shingles, root, component_id, kept``; ``root`` names the group, null without shingles."""
     made = settled(records(docs, size, number, rows), "superminhash")
-    nodes = made.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("one"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = made.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("one"), F.min("row").alias("row"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     nodes = settled(nodes, "nodes")
     members = settled(several(nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id")).distinct()), "buckets")
-    wanted = members.select(F.col("id").alias("node")).distinct().join(nodes.select("node", F.col("one").alias("doc_id")), "node")
-    texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(wanted, "doc_id")
+    wanted = members.select(F.col("id").alias("node")).distinct().join(nodes.select("node", "row"), "node")
+    texts = _keyed(docs).select("row", "text").join(wanted, "row")
     texts = settled(_own(texts, size), "texts")
     sketches = in_arrow(nodes.select("node", "bands", "sketch"), _keys, "id long, sketch binary, keys binary")
     roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike(percent))
     named = nodes.select("node", "one").join(roots.withColumnRenamed("id", "node"), "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("one").alias("component_id"))
-    named = named.join(smallest, "root").select("node", "component_id")
-    out = made.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    named = named.join(smallest, "root").select("node", "root", "component_id")
+    out = made.select("doc_id", "row", "n_shingles", "node").join(named, "node", "left")
     out = out.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).drop("node")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +235,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _own(texts: DataFrame, size: int) -> DataFrame:
-    """``node, text`` where the text has the node's set: one id may stand on rows of different texts."""
+    """``node, text`` where the text has the node's set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -235,7 +246,13 @@ def _own(texts: DataFrame, size: int) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with its own columns: the one with the smallest id."""
-    kept = near_duplicates(docs, size, percent).filter("kept").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi")
-    return first.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group, with its own columns: the one with the smallest id; of several, one whatever their text.
+
+    Documents without words stay, repeated rows once.
+    """
+    kept = _rooted(docs, size, percent).filter("kept").select("row", "root")
+    single = kept.filter("root IS NULL").select("row")
+    rows = kept.filter("root IS NOT NULL").groupBy("root").agg(F.min("row").alias("row")).select("row").unionByName(single)
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    first = keyed.join(rows.select(F.col("row").alias("_row")), "_row", "left_semi")
+    return first.dropDuplicates(["_row"]).select(*docs.columns)

@@ -72,6 +72,32 @@ def test_one_of_each_group_stays_with_its_columns(docs, rows):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({d for d, _, _, k in groups(rows, 5) if k})
 
 
+def test_rows_without_id_and_texts_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(5)
+    a, b, c, d, e, f = ([f"{k}{rng.randrange(10**6)}" for _ in range(80)] for k in "abcdef")
+    near = lambda w: " ".join([*w[:40], "other", *w[41:]])
+    a, b, c, d, e, f = (" ".join(w) for w in (a, b, c, d, e, f))
+    given = [
+        (None, a), (None, near(b.split())), (4, b), (None, c), (None, near(c.split())), (None, ""), (None, None), (None, " "), (8, ""),
+        (1, d), (1, e), (2, near(e.split())), (2, f), (0, near(d.split())), (3, f), (3, f), (6, near(f.split())),
+    ]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := words(t)) else set() for _, t in given]
+    union = Union(len(given))
+    for i, j in itertools.combinations(range(len(given)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+            union.join(i, j)
+    members = {}
+    for i in range(len(given)):
+        members.setdefault(union.root(i), []).append(i)
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(given)], "doc_id long, text string, n int")
+    kept = [r.n for r in superminhash.deduplicated(df).collect()]
+    assert len(kept) == len(set(kept)) == len(members)
+    for group in members.values():
+        least = min((given[i][0] is None, given[i][0] or 0) for i in group)
+        assert [(given[i][0] is None, given[i][0] or 0) for i in group if i in kept] == [least]
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (800, 200, 200))
