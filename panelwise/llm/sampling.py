@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from panelwise.llm.common import settled, text_of
 
-SAMPLES = 32
+SAMPLES = 64
 #: Draws that one pass over a document's terms makes.
 TOGETHER = 4
 

@@ -108,6 +108,17 @@ def test_fingerprints(docs, rows):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.12
 
 
+def test_likeness_deviates_as_64_places_do(spark):
+    rows = []
+    for i in range(300):
+        own = [[f"{side}{i}x{k}" for k in range(20)] for side in "abc"]
+        rows += [(2 * i, " ".join(own[0] + own[1] + [f"d{i}x{k}" for k in range(20)])), (2 * i + 1, " ".join(own[0] + own[2] + [f"d{i}x{k}" for k in range(20)]))]
+    found = {r.k: r.places for r in sampling.fingerprints(spark.createDataFrame(rows, "k long, text string"), ["k"]).collect()}
+    errors = [np.mean(np.array(found[2 * i]) == np.array(found[2 * i + 1])) - 0.5 for i in range(300)]
+    assert {len(p) for p in found.values()} == {sampling.SAMPLES} and sampling.SAMPLES >= 64
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.075
+
+
 def test_no_fingerprints(empty):
     assert sampling.digest(empty).count() == 0
 
