@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import bpe, chat, edits, lines, mixing, oracle, repeats, sampling, search, superminhash, toxicity
+from panelwise.llm import bpe, chat, edits, lines, mixing, oracle, periodic, pii, repair, repeats, sampling, search, superminhash, toxicity
 from panelwise.llm.common import table
 
 
@@ -52,8 +52,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_skipchain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    named = (op1_superminhash, op2_mixing, op3_chat, op4_sampling, op5_edits, op6_bpe, op7_search, op8_suffixes, op9_lines, op10_toxicity)
+    named = (
+        op1_superminhash, op2_mixing, op3_chat, op4_sampling, op5_edits, op6_bpe, op7_search, op8_suffixes, op9_lines, op10_toxicity,
+        op11_repair, op12_skipchain, op13_runs,
+    )
     return {f.__name__: f for f in named}
 
 
