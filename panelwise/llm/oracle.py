@@ -19,5 +19,111 @@ FROM e GROUP BY conv_id
 """
 
 
+# Damage, faults, the cheapest edits from the last row to the first (cost and audit per grammar state: b start, y after
+# the system row, u after a user row, a after an assistant row), and the walk along each audit that repairs the rows.
+OP11 = r"""
+WITH RECURSIVE table_ AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), faulted AS (
+  SELECT named.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda l: ord(l)::BIGINT)),
+    lambda c, l: xor(c >> 8, crc[1 + (xor(c, l) & 255)])), 4294967295) % 20 AS f FROM named, table_
+), damaged AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role, copy,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM faulted, (VALUES (0), (1)) c(copy) WHERE f <> 0 AND (copy = 0 OR f = 3)
+), placed AS (
+  SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said, left(role, 1) AS i,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 32), md5(text), copy) AS p,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM damaged
+), judged AS MATERIALIZED (
+  SELECT *, CASE WHEN said = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    count(*) OVER (PARTITION BY conv_id) AS n, lag(i) OVER (PARTITION BY conv_id ORDER BY p) || i AS pair FROM placed
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+), best AS (
+  SELECT DISTINCT conv_id, n + 1 AS p, {'c': 0, 'a': ''} AS b, {'c': 4, 'a': 'II'} AS y, {'c': 2, 'a': 'I'} AS u, {'c': 0, 'a': ''} AS a FROM judged
+  UNION ALL
+  SELECT conv_id, p, least(b, {'c': u.c + 2, 'a': 'I' || u.a}), least(y, {'c': u.c + 2, 'a': 'I' || u.a}), u, a FROM (
+    SELECT conv_id, p, b, y, least(u, {'c': a.c + 2, 'a': 'I' || a.a}) AS u, least(a, {'c': u.c + 2, 'a': 'I' || u.a}) AS a FROM (
+      SELECT conv_id, p,
+        least({'c': b.c + 3, 'a': 'D' || b.a}, CASE WHEN k AND i = 'u' THEN {'c': u.c + t, 'a': 'K' || u.a} WHEN k AND i = 's' THEN {'c': y.c + t, 'a': 'K' || y.a} END,
+          CASE WHEN k THEN {'c': u.c + 2 + t, 'a': 'R' || u.a} END) AS b,
+        least({'c': y.c + 3, 'a': 'D' || y.a}, CASE WHEN k AND i = 'u' THEN {'c': u.c + t, 'a': 'K' || u.a} END, CASE WHEN k THEN {'c': u.c + 2 + t, 'a': 'R' || u.a} END) AS y,
+        least({'c': u.c + 3, 'a': 'D' || u.a}, CASE WHEN k AND i = 'a' THEN {'c': a.c + t, 'a': 'K' || a.a} END, CASE WHEN k THEN {'c': a.c + 2 + t, 'a': 'R' || a.a} END) AS u,
+        least({'c': a.c + 3, 'a': 'D' || a.a}, CASE WHEN k AND i = 'u' THEN {'c': u.c + t, 'a': 'K' || u.a} END, CASE WHEN k THEN {'c': u.c + 2 + t, 'a': 'R' || u.a} END) AS a
+      FROM (SELECT best.*, j.i, j.fault NOT IN ('blank', 'duplicate') AS k, CASE j.fault WHEN 'truncated' THEN 1 ELSE 0 END AS t, j.p AS at
+        FROM best JOIN judged j ON j.conv_id IS NOT DISTINCT FROM best.conv_id AND j.p = best.p - 1) SELECTED(conv_id, later, b, y, u, a, i, k, t, p)
+    )
+  )
+), audits AS (
+  SELECT conv_id, b.c AS cost, b.a AS audit FROM best WHERE p = 1
+), walk AS (
+  SELECT conv_id, audit, 1 AS step, 1::BIGINT AS p, '' AS state, []::VARCHAR[] AS kept FROM audits
+  UNION ALL
+  SELECT w.conv_id, audit, step + 1, CASE e WHEN 'I' THEN w.p ELSE w.p + 1 END,
+    CASE e WHEN 'D' THEN state WHEN 'K' THEN j.i ELSE left(need, 1) END,
+    CASE e WHEN 'D' THEN kept WHEN 'I' THEN list_append(kept, need || ':') WHEN 'R' THEN list_append(kept, need || ':' || text) ELSE list_append(kept, role || ':' || text) END
+  FROM (SELECT *, audit[step] AS e, CASE state WHEN 'u' THEN 'assistant' ELSE 'user' END AS need FROM walk WHERE step <= length(audit)) w
+  LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.p = w.p
+), repaired AS (
+  SELECT conv_id, sha256(array_to_string(kept, chr(10))) AS digest FROM walk WHERE step = length(audit) + 1
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+# Equal windows of six words at a distance q are stretches with period q; their islands are runs, unless a run of a
+# smaller period covers them.
+OP13 = r"""
+WITH table_ AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), split_ AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda l: ord(l)::BIGINT)),
+      lambda c, l: xor(c >> 8, crc[1 + (xor(c, l) & 255)])), 4294967295) AS h
+  FROM documents, table_
+), ruled AS (
+  SELECT *, len(words) AS n, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM split_
+), looped AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN words
+    ELSE list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS words FROM ruled
+), word AS MATERIALIZED (
+  SELECT doc_id, n, unnest(range(n)) AS i, unnest(words) AS w FROM looped
+), window_ AS (
+  SELECT doc_id, i, list(w) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS six FROM word
+), twice AS MATERIALIZED (
+  SELECT doc_id, i, md5(six::VARCHAR) AS six FROM window_ WHERE len(six) = 6 QUALIFY count(*) OVER (PARTITION BY doc_id, md5(six::VARCHAR)) > 1
+), pair AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM twice x JOIN twice y ON x.doc_id = y.doc_id AND x.six = y.six AND x.i < y.i
+), island AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM pair
+), stretch AS MATERIALIZED (
+  SELECT doc_id, q AS period, min(i) AS start, count(*) + 5 + q AS length FROM island GROUP BY doc_id, q, part HAVING count(*) + 5 >= q AND count(*) + 5 + q >= 12
+), run AS MATERIALIZED (
+  SELECT * FROM stretch s WHERE NOT EXISTS (SELECT 1 FROM stretch t WHERE t.doc_id = s.doc_id AND t.period < s.period AND t.start <= s.start AND t.start + t.length >= s.start + s.length)
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, arg_min({'s': start, 'l': length, 'p': period}, {'l': -length, 's': start, 'p': period}) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS rest FROM word
+  WHERE NOT EXISTS (SELECT 1 FROM run WHERE run.doc_id = word.doc_id AND word.i >= run.start + run.period AND word.i < run.start + run.length) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period,
+  (1000 * best.l // best.p)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
 def sql() -> dict[str, str]:
-    return {"op3_chat": OP3}
+    return {"op3_chat": OP3, "op11_repair": OP11, "op13_runs": OP13}
