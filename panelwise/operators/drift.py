@@ -52,8 +52,8 @@ class Drift:
     kept: list[str]
 
 
-def _auc(part: DataFrame, target: str, score: str, key: str) -> DataFrame:
-    return roc_auc(part, target, score)
+def _auc(part: DataFrame, target: str, score: str, key: str, by: str | None = None) -> DataFrame:
+    return roc_auc(part, target, score, by)
 
 
 @dataclass

@@ -20,11 +20,18 @@ def row_weight(target: str) -> str:
     return f"IF({target} = 1, 1, {NEGATIVE_WEIGHT})"
 
 
-def _cumulated(scored: DataFrame, target: str, score: str, key: str) -> DataFrame:
+def _cumulated(scored: DataFrame, target: str, score: str, key: str, by: str | None = None) -> DataFrame:
+    named = [f"{quoted(by)} AS by"] if by else []
     rows = scored.selectExpr(
-        f"{quoted(key)} AS key", f"CAST({quoted(target)} AS BIGINT) AS t", f"{quoted(score)} AS s"
+        *named, f"{quoted(key)} AS key", f"CAST({quoted(target)} AS BIGINT) AS t", f"{quoted(score)} AS s"
     ).selectExpr("*", f"{row_weight('t')} AS w")
-    return with_running(rows, ["-s", "key"], {"cum_w": "w", "cum_t": "t"})
+    return with_running(rows, ["-s", "key"], {"cum_w": "w", "cum_t": "t"}, by="by" if by else None)
+
+
+def _summed(rows: DataFrame, by: str | None, **sums: str) -> DataFrame:
+    """One row of aggregates, or one per value of the column ``by``."""
+    columns = [F.expr(f"{e} AS {n}") for n, e in sums.items()]
+    return rows.groupBy(F.col("by").alias(by)).agg(*columns) if by else rows.agg(*columns)
 
 
 def lorenz_curve(scored: DataFrame, target: str, score: str, key: str) -> DataFrame:
@@ -37,30 +44,31 @@ def lorenz_curve(scored: DataFrame, target: str, score: str, key: str) -> DataFr
 
 
 def default_metric(
-    scored: DataFrame, target: str, score: str, key: str, cutoff: str = "norm"
+    scored: DataFrame, target: str, score: str, key: str, cutoff: str = "norm", by: str | None = None
 ) -> DataFrame:
     """One row ``(metric, gini, capture)``: mean of normalised weighted gini and capture in the top 4 %.
 
     ``cutoff="norm"`` compares the weight share with 4 %; ``"int"`` compares the running weight with
     4 % of the total cut to a whole number. Ties in the score are ordered by key. NULL if only one
-    class is present.
+    class is present. With ``by``, one row per value of that column (fold, model, trial), all in one pass.
     """
     top = {
         "norm": f"cum_w / cum_w_total <= {CAPTURE_SHARE}D",
         "int": f"cum_w <= floor({CAPTURE_SHARE}D * cum_w_total)",
     }[cutoff]
-    sums = (
-        _cumulated(scored, target, score, key)
-        .selectExpr(
-            "cum_t_total AS p", "cum_w_total AS w", f"IF({top}, t, 0) AS captured",
-            "(try_divide(cum_t, cum_t_total) - cum_w / cum_w_total) * w AS area",
-        )
-        .selectExpr("max(p) AS p", "max(w) AS w", "sum(captured) AS captured", "sum(area) AS area")
+    sums = _summed(
+        _cumulated(scored, target, score, key, by),
+        by,
+        p="max(cum_t_total)",
+        w="max(cum_w_total)",
+        captured=f"sum(IF({top}, t, 0))",
+        area="sum((try_divide(cum_t, cum_t_total) - cum_w / cum_w_total) * w)",
     )
+    group = [quoted(by)] if by else []
     best = f"{NEGATIVE_WEIGHT / 2} * (w - p) / {NEGATIVE_WEIGHT} * (1 - {NEGATIVE_WEIGHT - 1}D / w)"
     return sums.selectExpr(
-        f"try_divide(area, CAST({best} AS DOUBLE)) AS gini", "try_divide(captured, p) AS capture"
-    ).selectExpr("(gini + capture) / 2 AS metric", "gini", "capture")
+        *group, f"try_divide(area, CAST({best} AS DOUBLE)) AS gini", "try_divide(captured, p) AS capture"
+    ).selectExpr(*group, "(gini + capture) / 2 AS metric", "gini", "capture")
 
 
 def score_rank(scored: DataFrame, score: str, key: str) -> DataFrame:
@@ -68,18 +76,21 @@ def score_rank(scored: DataFrame, score: str, key: str) -> DataFrame:
     return with_position(scored, [f"-{quoted(score)}", quoted(key)], "place").drop("place_total")
 
 
-def roc_auc(scored: DataFrame, target: str, score: str) -> DataFrame:
-    """Exact area under the ROC curve; a tie counts one half. NULL if only one class is present."""
+def roc_auc(scored: DataFrame, target: str, score: str, by: str | None = None) -> DataFrame:
+    """Exact area under the ROC curve; a tie counts one half. NULL if only one class is present.
+
+    With ``by``, one row per value of that column, all in one pass.
+    """
+    groups = [F.expr(f"{quoted(by)} AS by")] if by else []
     per_score = (
-        scored.groupBy(F.expr(f"{quoted(score)} AS s"))
+        scored.groupBy(*groups, F.expr(f"{quoted(score)} AS s"))
         .agg(F.expr("count(*) AS n"), F.expr(f"sum(CAST({quoted(target)} AS BIGINT)) AS pos"))
-        .selectExpr("s", "pos", "n - pos AS neg")
+        .selectExpr(*(["by"] if by else []), "s", "pos", "n - pos AS neg")
     )
     # equal scores are one row now, so the score alone orders them
-    ranked = with_running(per_score, ["s"], {"cum_neg": "neg", "cum_pos": "pos"})
-    return ranked.selectExpr(
-        "try_divide(sum(pos * (cum_neg - neg / 2)), CAST(max(cum_pos_total) AS DOUBLE) * max(cum_neg_total)) AS auc"
-    )
+    ranked = with_running(per_score, ["s"], {"cum_neg": "neg", "cum_pos": "pos"}, by="by" if by else None)
+    area = "try_divide(sum(pos * (cum_neg - neg / 2)), CAST(max(cum_pos_total) AS DOUBLE) * max(cum_neg_total))"
+    return _summed(ranked, by, auc=area)
 
 
 def _softplus(x: Column) -> Column:
@@ -128,11 +139,12 @@ def threshold_counts(df: DataFrame, score: str, thresholds: Sequence[float] = TH
 def prediction_histogram(df: DataFrame, target: str, score: str, bins: int = 20) -> DataFrame:
     """``(target, bin, n, density)`` over equal bins of [0, 1]; the last bin is closed, empty bins stay.
 
-    Scores outside [0, 1] count nowhere.
+    Unknown scores and scores outside [0, 1] count nowhere.
     """
-    place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1))
+    inside = F.col(score).between(0, 1)
+    place = F.when(inside, F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)))
     counts = df.groupBy(target).agg(
-        F.count(F.when(F.col(score).between(0, 1), 1)).alias("total"), *[F.count(F.when(place == i, 1)).alias(f"n{i}") for i in range(bins)]
+        F.count(F.when(inside, 1)).alias("total"), *[F.count(F.when(place == i, 1)).alias(f"n{i}") for i in range(bins)]
     )
     rows = [
         F.struct(

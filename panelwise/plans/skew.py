@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions.scalar import day_gap_sql, quoted
-from panelwise.plans.ordering import BUCKET, split_points
+from panelwise.plans import ordering
+from panelwise.plans.ordering import BUCKET, in_buckets, written
 from panelwise.sources.workdir import fresh_folder
 from panelwise.spec import PanelSpec
 
 ROWS_PER_KEY = 100_000  # a key with more rows than this is split
-BROADCAST_ROWS = 100_000  # key lists up to this many rows are broadcast, longer ones are shuffled
+BROADCAST_ROWS = 100_000  # tables of up to this many values are broadcast, larger ones are shuffled
 
 
 @dataclass
@@ -20,14 +21,14 @@ class HotKeys:
     """Keys with more than the allowed number of rows, and how to join with them."""
 
     table: DataFrame | None
-    broadcastable: bool
+    number: int = 0
 
     def __bool__(self) -> bool:
         return self.table is not None
 
-    def hint(self, small: DataFrame) -> DataFrame:
-        """Broadcast a table of one row per hot key, if the hot keys were counted and are few."""
-        return F.broadcast(small) if self.broadcastable else small
+    def hint(self, small: DataFrame, width: int = 1) -> DataFrame:
+        """Broadcast a table of one row per hot key with ``width`` values, if all its values are few enough."""
+        return F.broadcast(small) if self.number * width <= BROADCAST_ROWS else small
 
     def split(self, rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
         """(rows of ordinary keys, rows of hot keys)."""
@@ -46,30 +47,37 @@ def find_hot_keys(rows: DataFrame, key: str, rows_per_key: int | None = None) ->
     counts = f"SELECT {k}, count(*) AS _n FROM {{rows}} GROUP BY {k}"
     number = spark.sql(f"SELECT count_if(_n > {limit}) FROM ({counts})", rows=rows).first()[0]
     if number == 0:
-        return HotKeys(None, True)
+        return HotKeys(None)
     hot = spark.sql(f"SELECT {k} FROM ({counts}) WHERE _n > {limit}", rows=rows)
     if number <= BROADCAST_ROWS:
-        return HotKeys(spark.createDataFrame(hot.collect(), hot.schema), True)
+        return HotKeys(spark.createDataFrame(hot.collect(), hot.schema), number)
     path = fresh_folder(spark, "hot-keys")
     hot.write.parquet(path)
-    return HotKeys(spark.read.schema(hot.schema).parquet(path), False)
+    return HotKeys(spark.read.schema(hot.schema).parquet(path), number)
 
 
 def consecutive_gaps(rows: DataFrame, spec: PanelSpec, name: str) -> DataFrame:
     """``(key, *order, name)``: whole days since the previous row of the same key.
 
-    Works on any distribution of keys: rows are cut into buckets of the order ``(key, ts, tiebreak)``
+    Works on any distribution of keys: rows are written once, dealt into buckets of the order ``(key, ts, tiebreak)``,
     and the row before the first row of a bucket is taken from the bucket ends.
     """
-    cols = [quoted(c) for c in (spec.key, *spec.order)]
-    narrow = rows.selectExpr(*cols)
-    cut = split_points(narrow, cols).add_bucket(narrow, cols)
+    names = [spec.key, *spec.order]
+    cols = [quoted(c) for c in names]
+    narrow = written(rows.selectExpr(*cols), "gaps")
+    buckets = max(1, -(-narrow.count() // ordering.ROWS_PER_BUCKET))
+    cut = written(in_buckets(narrow, names, buckets), "gaps")
     row = f"named_struct('k', {cols[0]}, 't', {cols[1]})"
     ends = cut.groupBy(BUCKET).agg(F.expr(f"max_by({row}, struct({', '.join(cols)})) AS _end"))
-    # one row per bucket: the last row of the nearest earlier bucket that has rows
-    carried = ends.selectExpr(BUCKET, f"lag(_end) OVER (ORDER BY {BUCKET}) AS _carry")
+    # one row per bucket: the last row of the nearest earlier bucket that has rows; groups of buckets come first
+    grouped = ends.selectExpr("*", f"{BUCKET} div {ordering.GROUP} AS _group")
+    groups = grouped.groupBy("_group").agg(F.expr(f"max_by(_end, {BUCKET}) AS _last"))
+    before = groups.selectExpr("_group", "lag(_last) OVER (ORDER BY _group) AS _earlier")
+    carried = grouped.join(before, "_group").selectExpr(
+        BUCKET, f"coalesce(lag(_end) OVER (PARTITION BY _group ORDER BY {BUCKET}), _earlier) AS _carry"
+    )
     return (
-        cut.join(F.broadcast(carried), BUCKET)
+        cut.join(F.broadcast(carried) if buckets <= BROADCAST_ROWS else carried, BUCKET)
         .selectExpr(
             *cols,
             f"coalesce(lag({row}) OVER (PARTITION BY {BUCKET} ORDER BY {', '.join(cols)}), _carry) AS _before",
