@@ -12,8 +12,9 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from panelwise.functions.scalar import day_gap_sql, quoted, ratio_sql, within_days_sql
-from panelwise.plans.measures import AGE, GAP, NEWEST, Measure, Recipe, newest_rows, reduce_panel
+from panelwise.functions.scalar import day_gap_sql, quoted, ratio_sql
+from panelwise.plans.measures import AGE, GAP, Measure, Recipe, newest_rows, reduce_panel
+from panelwise.plans.segments import RowSet
 from panelwise.spec import PanelSpec
 
 # Statistics, periods, lags and seeds of the families.
@@ -58,13 +59,9 @@ def period_stat_recipe(
     stats: Sequence[str] = PERIOD_STATS,
 ) -> Recipe:
     """``{column}_{stat}_{n}days`` over the rows less than n days older than the key's newest row."""
-
-    def recent(c: str, n: int) -> str:
-        return f"IF({within_days_sql(NEWEST, quoted(spec.ts), n)}, {quoted(c)}, NULL)"
-
     return _as_outputs(
         [
-            Measure(f"{c}_{s}_{n}days", s, recent(c, n), frozenset({NEWEST}))
+            Measure.over(f"{c}_{s}_{n}days", s, quoted(c), RowSet("within", n), spec.ts)
             for n in periods
             for c in spec.numeric_columns(panel)
             for s in stats
@@ -91,11 +88,9 @@ def last_mean_diff_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
     )
 
 
-def _last_before(column: str, k: int) -> Measure:
+def _last_before(column: str, k: int, spec: PanelSpec) -> Measure:
     """Last known value of the column shifted by k rows: the newest k rows are left out."""
-    return Measure(
-        f"{column}_shift{k}_last", "last", f"IF({AGE} > {k}, {quoted(column)}, NULL)", frozenset({AGE}), older_than=k
-    )
+    return Measure.over(f"{column}_shift{k}_last", "last", quoted(column), RowSet("older", k), spec.ts)
 
 
 def div_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
@@ -108,7 +103,7 @@ def div_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
         outputs[f"{c}_div_mean_last"] = ratio_sql(mean, last)
         outputs[f"{c}_div_last1_last"] = ratio_sql(previous, last)
     measures = [_stat(c, s) for c in columns for s in ("first", "last", "mean")]
-    return Recipe(measures + [_last_before(c, 1) for c in columns], outputs)
+    return Recipe(measures + [_last_before(c, 1, spec) for c in columns], outputs)
 
 
 def div_min_max_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
@@ -129,7 +124,7 @@ def date_gaps_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
         for s in ("mean", "std", "min", "max", "sum", "median")
     ]
     ends = [Measure(f"_ts_{s}", s, quoted(spec.ts)) for s in ("min", "max")]
-    outputs = {m.name: m.name for m in gaps}
+    outputs = {m.name: quoted(m.name) for m in gaps}
     outputs["diff_first_last_day"] = day_gap_sql("_ts_max", "_ts_min")
     return Recipe(gaps + ends, outputs)
 
@@ -137,7 +132,7 @@ def date_gaps_recipe(panel: DataFrame, spec: PanelSpec) -> Recipe:
 def shift_recipe(panel: DataFrame, spec: PanelSpec, lags: Sequence[int] = LAGS) -> Recipe:
     """``{column}_shift{k}_last``: last known value of every column after shifting it by k rows."""
     columns = spec.numeric_columns(panel) + spec.categorical_columns(panel)
-    return _as_outputs([_last_before(c, k) for k in lags for c in columns])
+    return _as_outputs([_last_before(c, k, spec) for k in lags for c in columns])
 
 
 def lag_diff_recipe(
@@ -148,8 +143,7 @@ def lag_diff_recipe(
     depth = 1 + max(lags)
 
     def at(c: str, age: int) -> Measure:
-        value = f"IF({AGE} = {age}, {quoted(c)}, NULL)"
-        return Measure(f"{c}_age{age}", "max", value, frozenset({AGE}), newest=depth, older_than=depth - 1)
+        return Measure.over(f"{c}_age{age}", "max", quoted(c), RowSet("at", age), spec.ts, newest=depth)
 
     outputs = {}
     for k in lags:
@@ -201,10 +195,14 @@ def avg_max_last_recipe(
     avg: Sequence[str] = (),
     max: Sequence[str] = (),
     last: Sequence[str] = (),
+    last_suffix: str = "last",
 ) -> Recipe:
-    """Chosen averages and maxima, and chosen columns of the newest row (NULL stays NULL)."""
+    """Chosen averages and maxima, and chosen columns of the newest row (NULL stays NULL).
+
+    Beside a family that has ``{column}_last`` as the last known value, give ``last_suffix`` another name.
+    """
     return _as_outputs(
-        [Measure(f"{c}_last", "last_row", quoted(c)) for c in last]
+        [Measure(f"{c}_{last_suffix}", "last_row", quoted(c)) for c in last]
         + [Measure(f"{c}_max", "max", quoted(c)) for c in max]
         + [Measure(f"{c}_avg", "mean", quoted(c)) for c in avg]
     )

@@ -8,29 +8,34 @@ key holds a large share of the rows:
   map-side. States that carry the row order are several times larger than the value they stand for and
   force a map-side sort, so with them it is cheaper to ship the rows of ordinary keys themselves;
 * only measures over the newest rows of each key: a per-key top-n (cut map-side) and a ``GROUP BY``;
-* otherwise rows are shuffled by key once, one window annotates them and one aggregate reduces them;
-  keys with more rows than fit one task are kept out of that shuffle and reduced by ``_reduce_hot``.
+* otherwise rows are shuffled by key once. Medians, and any ``WIDE`` set of measures, are computed from rows
+  sorted by key, whole Arrow batches at a time (``plans.segments``); fewer measures by one window and one aggregate.
+  Keys with more rows or cells than fit one task are kept out of that shuffle and reduced by ``_reduce_hot``.
 
 Measures and outputs are SQL expressions, not Column objects: a wide panel has thousands of them, and
-one SQL statement is much cheaper to build than as many Column calls.
+one SQL statement is much cheaper to build than as many Column calls. Measures are told apart by what they compute;
+their names only serve the outputs of their own recipe.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelwise.functions.scalar import day_gap, quoted
-from panelwise.plans.skew import HotKeys, consecutive_gaps, find_hot_keys
+from panelwise.functions.scalar import day_gap, quoted, within_days_sql
+from panelwise.plans.segments import GAP_COLUMN, RowSet, Wanted, reduce_sorted, suits
+from panelwise.plans.skew import ROWS_PER_KEY, HotKeys, consecutive_gaps, find_hot_keys
 from panelwise.spec import PanelSpec
 
 # columns a measure may read besides the panel's own
 AGE = "_age"  # 1 for the newest row of a key, 2 for the one before, ...
 NEWEST = "_newest"  # ts of the key's newest row
 GAP = "_gap"  # whole days since the key's previous row
+ROW = "_row"  # true for rows of the panel, NULL for rows that only carry a gap
 
 ORDER_FREE = {"mean", "std", "min", "max", "sum", "count"}
 COMBINING = ORDER_FREE | {"first", "last", "last_row"}
@@ -50,14 +55,8 @@ SQL = {
     "nunique": "CAST(size(collect_set({x})) AS BIGINT)",
 }
 
-# The same from a key's sorted known values {s} and their sum {d}; only for keys of limited size.
-FROM_SORTED = {
-    "mean": "try_divide({d}, size({s}))",
-    "std": "IF(size({s}) > 1, sqrt(aggregate({s}, 0D, (a, x) -> a + pow(x - {d} / size({s}), 2)) / (size({s}) - 1)), NULL)",
-    "min": "get({s}, 0)",
-    "max": "get({s}, size({s}) - 1)",
-    "median": "(CAST(get({s}, CAST((size({s}) - 1) div 2 AS INT)) AS DOUBLE) + get({s}, CAST(size({s}) div 2 AS INT))) / 2",
-}
+WIDE = 100  # so many measures are computed batch by batch, not by one aggregate each
+CELLS_PER_KEY = 1 << 24  # rows times measured columns of a key that one task may hold (8 bytes each)
 
 
 @dataclass(frozen=True)
@@ -65,7 +64,8 @@ class Measure:
     """One aggregate per key: ``stat`` over the SQL expression ``value`` of a row.
 
     ``reads`` names the annotations used by ``value``; ``newest`` is set when the measure looks only
-    at that many newest rows; ``older_than`` is set when it skips that many newest rows.
+    at that many newest rows; ``older_than`` is set when it skips that many newest rows. A measure made by ``over``
+    also says which ``column`` it reads from which ``rows``, so that it can be computed without annotations.
     """
 
     name: str
@@ -74,6 +74,23 @@ class Measure:
     reads: frozenset[str] = frozenset()
     newest: int | None = None
     older_than: int = 0
+    column: str | None = None
+    rows: RowSet | None = None
+
+    @staticmethod
+    def over(name: str, stat: str, column: str, rows: RowSet, ts: str, newest: int | None = None) -> Measure:
+        """``stat`` of the SQL expression ``column`` over some rows of each key."""
+        reads, test = {
+            "older": (AGE, f"{AGE} > {rows.n}"),
+            "at": (AGE, f"{AGE} = {rows.n}"),
+            "within": (NEWEST, within_days_sql(NEWEST, quoted(ts), rows.n)),
+        }[rows.kind]
+        older_than = {"older": rows.n, "at": (newest or rows.n) - 1, "within": 0}[rows.kind]
+        return Measure(name, stat, f"IF({test}, {column}, NULL)", frozenset({reads}), newest, older_than, column, rows)
+
+    @property
+    def meaning(self) -> tuple[str, str]:
+        return self.stat, self.value
 
     def sql(self, order: str) -> str:
         return f"{SQL[self.stat].format(x=self.value, o=order)} AS {quoted(self.name)}"
@@ -85,12 +102,47 @@ class Recipe:
     outputs: dict[str, str]  # column name -> SQL over measure names
 
 
+_TOKENS = re.compile(r"'(?:[^'\\]|\\.)*'|`((?:[^`]|``)+)`|[A-Za-z_]\w*")
+
+
+def _renamed(sql: str, names: dict[str, str]) -> str:
+    """The expression with measure names replaced, quoted or bare; string literals stay."""
+
+    def other(token: re.Match) -> str:
+        name = (token[1] or token[0]).replace("``", "`")
+        return names.get(name, token[0]) if token[0][0] != "'" else token[0]
+
+    return _TOKENS.sub(other, sql)
+
+
+def merged(recipes: Sequence[Recipe]) -> tuple[list[Measure], dict[str, str]]:
+    """The distinct measures of all recipes under names of their own, and the outputs over those names.
+
+    Measures that compute the same are one. Recipes may use one name for different measures, but not for different
+    output columns: that is an error.
+    """
+    known: dict[tuple[str, str], Measure] = {}
+    outputs: dict[str, str] = {}
+    for recipe in recipes:
+        names = {}
+        for m in recipe.measures:
+            own = known.setdefault(m.meaning, replace(m, name=f"_m{len(known)}"))
+            if (own.newest, own.older_than) != (m.newest, m.older_than):  # looks at as many rows as any of its users
+                wide = None if None in (own.newest, m.newest) else max(own.newest, m.newest)
+                known[m.meaning] = replace(own, newest=wide, older_than=max(own.older_than, m.older_than))
+            names[m.name] = own.name
+        for name, sql in recipe.outputs.items():
+            own = _renamed(sql, names)
+            if outputs.setdefault(name, own) != own:
+                raise ValueError(f"two families give column {name!r} different meanings; rename it in one of them")
+    return list(known.values()), outputs
+
+
 def reduce_panel(
     panel: DataFrame, spec: PanelSpec, recipes: Sequence[Recipe], rows_per_key: int | None = None
 ) -> DataFrame:
-    """One row per key with the outputs of all recipes (a repeated output name is kept once)."""
-    measures = list({m.name: m for r in recipes for m in r.measures}.values())
-    outputs = {n: e for r in recipes for n, e in r.outputs.items()}
+    """One row per key with the outputs of all recipes (a repeated output is kept once)."""
+    measures, outputs = merged(recipes)
     rows = spec.prepare(panel)
     if all(m.newest for m in measures):
         kept = newest_rows(rows, spec, max((m.newest for m in measures), default=1))
@@ -111,30 +163,19 @@ def _grouped(rows: DataFrame, key: str, measures: Iterable[Measure], order: str)
     return rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} GROUP BY {quoted(key)}", rows=rows)
 
 
-def _grouped_in_memory(rows: DataFrame, key: str, measures: list[Measure], order: str) -> DataFrame:
-    """Like ``_grouped`` for keys of limited size.
-
-    A column with a median keeps its values per key anyway; its other statistics are read off that
-    sorted list. On wide panels this is several times faster than one aggregate per statistic.
-    """
-    listed = {m.value: i for i, m in enumerate(measures) if m.stat == "median"}
-    derived = {m.name: listed[m.value] for m in measures if m.value in listed and m.stat in FROM_SORTED}
-    direct = [m.sql(order) for m in measures if m.name not in derived]
-    lists = [
-        c
-        for v, i in listed.items()
-        for c in (f"sort_array(collect_list({v})) AS _s{i}", f"sum(CAST({v} AS DOUBLE)) AS _d{i}")
-    ]
-    columns = ",\n".join([quoted(key), *direct, *lists])
-    grouped = rows.sparkSession.sql(f"SELECT {columns} FROM {{rows}} GROUP BY {quoted(key)}", rows=rows)
-
-    def column(m: Measure) -> str:
-        if m.name not in derived:
-            return quoted(m.name)
-        i = derived[m.name]
-        return f"{FROM_SORTED[m.stat].format(s=f'_s{i}', d=f'_d{i}')} AS {quoted(m.name)}"
-
-    return grouped.selectExpr(quoted(key), *[column(m) for m in measures]) if listed else grouped
+def _batched(rows: DataFrame, spec: PanelSpec, measures: Sequence[Measure]) -> DataFrame | None:
+    """Like ``_grouped`` for keys of limited size, from sorted rows; None if a column's type does not allow it."""
+    unsplit = [m for m in measures if m.rows is None and m.reads and m.value != GAP]
+    if unsplit:
+        rows = _annotated(rows, spec, frozenset().union(*[m.reads for m in unsplit]))
+    read = [m.value if m.rows is None else m.column for m in measures]
+    columns = list(dict.fromkeys(x for x in read if x != GAP))
+    at = {x: i for i, x in enumerate(columns)} | {GAP: GAP_COLUMN}
+    types = rows.selectExpr(*[f"{x} AS _v{i}" for i, x in enumerate(columns)]).schema
+    if not all(x == GAP or suits(m.stat, types[at[x]].dataType) for m, x in zip(measures, read)):
+        return None
+    wanted = [Wanted(m.stat, at[x], m.rows) for m, x in zip(measures, read)]
+    return reduce_sorted(rows, spec.key, spec.order, spec.ts, columns, wanted, [m.name for m in measures])
 
 
 def _newest_first(spec: PanelSpec):
@@ -146,20 +187,29 @@ def newest_rows(rows: DataFrame, spec: PanelSpec, n: int) -> DataFrame:
     return rows.withColumn(AGE, F.row_number().over(_newest_first(spec))).where(F.col(AGE) <= n)
 
 
-def _reduce_any(
-    rows: DataFrame, spec: PanelSpec, measures: list[Measure], rows_per_key: int | None
-) -> DataFrame:
-    hot = find_hot_keys(rows, spec.key, rows_per_key)
-    ordinary, crowded = hot.split(rows, spec.key)
+def _annotated(rows: DataFrame, spec: PanelSpec, reads: frozenset[str]) -> DataFrame:
     w = _newest_first(spec)
-    reads = frozenset().union(*[m.reads for m in measures])
     notes = {
         AGE: lambda: F.row_number().over(w),
         NEWEST: lambda: F.first(spec.ts).over(w),
         GAP: lambda: day_gap(F.col(spec.ts), F.lead(spec.ts).over(w)),
     }
-    annotated = ordinary.select("*", *[notes[n]().alias(n) for n in notes if n == AGE or n in reads])
-    reduced = _grouped_in_memory(annotated, spec.key, measures, f"-{AGE}")
+    return rows.select("*", *[notes[n]().alias(n) for n in notes if n in reads])
+
+
+def _reduce_any(
+    rows: DataFrame, spec: PanelSpec, measures: list[Measure], rows_per_key: int | None
+) -> DataFrame:
+    batched = len(measures) >= WIDE or any(m.stat == "median" for m in measures)
+    if rows_per_key is None and batched:
+        width = len({m.column or m.value for m in measures})
+        rows_per_key = max(1, min(ROWS_PER_KEY, CELLS_PER_KEY // width))
+    hot = find_hot_keys(rows, spec.key, rows_per_key)
+    ordinary, crowded = hot.split(rows, spec.key)
+    reads = frozenset().union(*[m.reads for m in measures])
+    reduced = _batched(ordinary, spec, measures) if batched else None
+    if reduced is None:
+        reduced = _grouped(_annotated(ordinary, spec, reads | {AGE}), spec.key, measures, f"-{AGE}")
     if crowded is None:
         return reduced
     return reduced.unionByName(_reduce_hot(crowded, spec, measures, reads, hot))
@@ -188,7 +238,7 @@ def _reduce_hot(
         F.lit(depth + 1),
     )
     annotated = (
-        rows.join(hot.hint(cuts), spec.key)
+        rows.join(hot.hint(cuts, depth * len(spec.order)), spec.key)
         .withColumn(AGE, age)
         .withColumn(NEWEST, F.col("_cut1")[spec.ts])
         .drop(*[f"_cut{i}" for i in range(1, depth + 1)])
@@ -196,15 +246,15 @@ def _reduce_hot(
     if GAP in reads:
         # gap rows carry only the key and the gap: every aggregate skips their NULLs
         gaps = consecutive_gaps(rows, spec, GAP).select(spec.key, GAP)
-        annotated = annotated.withColumn(GAP, F.lit(None).cast("int")).unionByName(
+        annotated = annotated.withColumns({GAP: F.lit(None).cast("int"), ROW: F.lit(True)}).unionByName(
             gaps, allowMissingColumns=True
         )
     # a NULL order keeps gap rows out of first, last and last_row
-    known_order = f"IF({quoted(spec.ts)} IS NOT NULL, {_order(spec)}, NULL)"
+    known_order = f"IF({ROW}, {_order(spec)}, NULL)" if GAP in reads else _order(spec)
     result = _grouped(annotated, spec.key, [m for m in measures if m.stat in COMBINING], known_order)
     medians = [m for m in measures if m.stat == "median"]
     if medians:
-        result = result.join(hot.hint(_spread_medians(annotated, spec.key, medians, hot)), spec.key, "left")
+        result = result.join(hot.hint(_spread_medians(annotated, spec.key, medians, hot), len(medians)), spec.key, "left")
     for m in measures:
         if m.stat == "nunique":
             result = result.join(hot.hint(_spread_nunique(annotated, spec.key, m)), spec.key, "left").withColumn(
@@ -237,7 +287,7 @@ def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: Hot
         for n in names
     )
     long = (
-        wide.join(hot.hint(brackets), key)
+        wide.join(hot.hint(brackets, 2 * len(names)), key)
         .selectExpr(quoted(key), f"inline(array({cells}))")
         .where("v IS NOT NULL")
         .selectExpr(quoted(key), "name", "v", "CASE WHEN v < lo THEN 0 WHEN v <= hi THEN 1 ELSE 2 END AS part")
@@ -249,7 +299,7 @@ def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: Hot
         F.expr("count(*) div 2 AS high"),
     )
     middle = (
-        long.join(hot.hint(parts), [key, "name"])
+        long.join(hot.hint(parts, 6 * len(names)), [key, "name"])
         .selectExpr(
             quoted(key), "name", "v", "part", "low", "high",
             "element_at(array(start0, start1, start2), part + 1) AS start",
