@@ -2,62 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-PAIRS_PER_JOB = 2000
+from panelwise.functions.scalar import quoted
+from panelwise.plans.gramian import Gramian, correlations, gramian, mean_filled
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(a, b, corr)`` for every pair, over the rows where both are known.
+    """``(a, b, corr)`` for every pair, over the rows where both are known; NULL where a column does not vary.
 
-    Each block of pairs is one map-side combined aggregate; no rows are shuffled.
+    One scan, whatever the number of columns; no rows are shuffled.
     """
-    pairs = list(combinations(columns, 2))
-    blocks = [pairs[i : i + PAIRS_PER_JOB] for i in range(0, len(pairs), PAIRS_PER_JOB)]
-    parts = []
-    for block in blocks:
-        one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(block)])
-        cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(block)]
-        parts.append(one.select(F.inline(F.array(*cells))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = correlations(gramian(df, columns))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(names[F.col("a")].alias("a"), names[F.col("b")].alias("b"), "corr")
 
 
-def _mean_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    return df.select(
-        "*", *[F.coalesce(F.col(c).cast("double"), F.lit(means[c] or 0.0)).alias(f"_m_{c}") for c in columns]
-    )
-
-
-def _vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=[f"_m_{c}" for c in columns], outputCol="_x").transform(_mean_filled(df, columns))
+def _mean_filled_correlation(found: Gramian) -> np.ndarray:
+    _, moments = mean_filled(found)
+    size = np.sqrt(np.diagonal(moments))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return moments / size[:, None] / size
 
 
 def correlation_filter(df: DataFrame, columns: Sequence[str], threshold: float = 0.9) -> list[str]:
     """Columns left after dropping, in list order, each one correlated above the threshold with a kept one.
 
-    Missing values count as the column mean. The matrix is columns by columns, whatever the row count.
+    Missing values count as the column mean. One scan; the matrix is columns by columns, whatever the row count.
     """
-    matrix = Correlation.corr(_vectors(df, columns), "_x").first()[0].toArray()
+    close = np.abs(_mean_filled_correlation(gramian(df, columns))) > threshold
     kept: list[int] = []
     for i in range(len(columns)):
-        if not any(abs(matrix[i][j]) > threshold for j in kept):
+        if not close[i, kept].any():
             kept.append(i)
     return [columns[i] for i in kept]
 
 
+@dataclass
+class Axes:
+    """Leading principal axes: one column per component, with the variance along each."""
+
+    columns: list[str]
+    means: np.ndarray
+    directions: np.ndarray
+    variances: np.ndarray
+
+
+def principal_axes(df: DataFrame, columns: Sequence[str], components: int) -> Axes:
+    """Axes of the largest variance, missing values at their column's mean; one scan.
+
+    Each axis points to where its largest coefficient is positive.
+    """
+    means, moments = mean_filled(gramian(df, columns))
+    rows = max(2, df.count())
+    values, vectors = np.linalg.eigh(moments / (rows - 1))
+    order = np.argsort(-values, kind="stable")[:components]
+    directions = vectors[:, order]
+    signs = np.sign(directions[np.abs(directions).argmax(axis=0), np.arange(directions.shape[1])])
+    return Axes(list(columns), means, directions * np.where(signs == 0, 1, signs), np.maximum(values[order], 0))
+
+
+def project(df: DataFrame, axes: Axes, key: str) -> DataFrame:
+    """``(key, pca_0, pca_1, ...)``: rows on the axes, without centring."""
+    names = [f"pca_{i}" for i in range(axes.directions.shape[1])]
+    numbers = df.select(key, *[F.col(quoted(c)).cast("double").alias(f"_{i}") for i, c in enumerate(axes.columns)])
+    means, directions = axes.means, axes.directions
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1).astype(float)
+            on = np.where(np.isnan(x), means, x) @ directions
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, on.T.copy())], [batch.schema.names[0], *names])
+
+    kind = df.schema[key].dataType.simpleString()
+    return numbers.mapInArrow(task, f"{quoted(key)} {kind}, " + ", ".join(f"{n} double" for n in names))
+
+
 def pca(df: DataFrame, columns: Sequence[str], key: str, components: int) -> DataFrame:
     """``(key, pca_0, pca_1, ...)``: projections on the leading principal axes."""
-    data = _vectors(df, columns)
-    model = PCA(k=components, inputCol="_x", outputCol="_pca").fit(data)
-    parts = vector_to_array("_pca")
-    return model.transform(data).select(key, *[parts[i].alias(f"pca_{i}") for i in range(components)])
+    return project(df, principal_axes(df, columns, components), key)
