@@ -23,7 +23,10 @@ def ensemble(
     method: str = "avg",
     value: str = "prediction",
 ) -> DataFrame:
-    """``(key, prediction)``: weighted average, or the smallest or largest prediction of all models."""
+    """``(key, prediction)``: weighted average, or the smallest or largest prediction of all models.
+
+    A key that one of the models has no prediction for gets NULL, whatever the method.
+    """
     names = list(predictions)
     wide = align(predictions, key, value)
     return wide.select(key, combined(names, weights, method).alias("prediction"))
@@ -31,10 +34,11 @@ def ensemble(
 
 def combined(columns: Sequence[str], weights: dict[str, float] | None = None, method: str = "avg") -> Column:
     """The same over columns of one table."""
-    if method == "min":
-        return F.least(*columns) if len(columns) > 1 else F.col(columns[0])
-    if method == "max":
-        return F.greatest(*columns) if len(columns) > 1 else F.col(columns[0])
+    if method in ("min", "max"):
+        if len(columns) == 1:
+            return F.col(columns[0])
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        return F.when(known, F.least(*columns) if method == "min" else F.greatest(*columns))
     if method != "avg":
         raise ValueError(f"unknown method {method!r}")
     w = {c: 1.0 if weights is None else float(weights[c]) for c in columns}

@@ -60,8 +60,27 @@ def write_importance(importance: DataFrame, path: str) -> None:
     importance.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_submission(predictions: DataFrame, key: str, path: str, value: str = "prediction") -> None:
-    """``(key, prediction)`` as CSV part files with a header."""
+def write_fold_importances(importances: DataFrame, path: str) -> None:
+    """``(fold, feature, importance)``, one directory of CSV files per fold."""
+    importances.write.mode("overwrite").partitionBy("fold").option("header", True).csv(path)
+
+
+def one_to_one(predictions: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``predictions``, checked against the asked-for ``keys``: a key that is missing, asked for twice, predicted twice
+    or not asked for is an error, raised when the rows are computed."""
+    asked = keys.groupBy(key).agg(F.count(F.lit(1)).alias("_asked"))
+    given = predictions.groupBy(key).agg(F.count(F.lit(1)).alias("_given"), *[F.first(c).alias(c) for c in predictions.columns if c != key])
+    joined = asked.join(given, key, "full")
+    wrong = F.raise_error(F.concat(F.lit("predictions do not match the asked-for keys one to one: "), F.col(key).cast("string")))
+    right = (F.coalesce("_asked", F.lit(0)) == 1) & (F.coalesce("_given", F.lit(0)) == 1)
+    kind = predictions.schema[key].dataType
+    return joined.withColumn(key, F.when(right, F.col(key)).otherwise(wrong.cast(kind))).select(*predictions.columns)
+
+
+def write_submission(predictions: DataFrame, key: str, path: str, value: str = "prediction", keys: DataFrame | None = None) -> None:
+    """``(key, prediction)`` as CSV part files with a header; with ``keys``, only if they match one to one."""
+    if keys is not None:
+        predictions = one_to_one(predictions.select(key, value), keys.select(key), key)
     predictions.select(key, F.col(value).alias("prediction")).write.mode("overwrite").option("header", True).csv(path)
 
 
