@@ -17,7 +17,7 @@ d = f"/root/testdata/sf{sf}"
 names = sys.argv[2:]
 spark = (
     SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-    .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate()
+    .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g").getOrCreate()
 )
 spark.sparkContext.setLogLevel("ERROR")
 con, sql = duck(d), e.oracle_sql()

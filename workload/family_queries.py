@@ -60,8 +60,7 @@ def row_gaps(spark, sf_dir):
 
 
 def lag_diff_float(spark, sf_dir):
-    out = fam.family("lag_diff", statements(spark, sf_dir), STATEMENTS, lags=(1,))
-    return out.select("o_custkey", "o_totalprice_diff1", "n_lines_diff1")
+    return fam.family("lag_diff", statements(spark, sf_dir), STATEMENTS)
 
 
 def avg_max_last(spark, sf_dir):
@@ -78,22 +77,18 @@ def last_row(spark, sf_dir):
     return out.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
+ALL = (
+    "basic_stat", "period_stat", "max_min_diff", "last_mean_diff", "div", "div_min_max", "date_gaps", "shift",
+    ("lag_diff", {"as_float": False}), ("important_double", {"columns": IMPORTANT}), ("important_cross", {"columns": IMPORTANT}),
+    *[("important_mix", {"columns": IMPORTANT, "seed": seed}) for seed in fam.MIX_SEEDS],
+    ("avg_max_last", {"avg": ("o_totalprice", "qty"), "max": ("o_totalprice", "disc_price"), "last": ("qty", "avg_tax", "last_flag"), "last_suffix": "newest"}),
+)
+
+
 def all_families(spark, sf_dir, rows_per_key=None):
-    """Several families in one plan: one shuffle by key serves them all."""
-    out = fam.build(
-        statements(spark, sf_dir),
-        STATEMENTS,
-        [
-            "basic_stat",
-            ("period_stat", {"periods": (100,), "stats": ("mean", "median")}),
-            "last_mean_diff",
-            ("shift", {"lags": (1,)}),
-            "date_gaps",
-        ],
-        rows_per_key,
-    )
-    dropped = [f"diff_days_{s}" for s in ("std", "min", "max", "sum")] + ["diff_first_last_day"]
-    return as_float(out.drop(*dropped))
+    """All 13 families with all their statistics, periods and lags in one plan: one shuffle by key serves them all."""
+    out = fam.build(statements(spark, sf_dir), STATEMENTS, ALL, rows_per_key)
+    return _whole_days(as_float(out, only=[c for c in out.columns if c.endswith("_double")], digits=None))
 
 
 def all_families_split_keys(spark, sf_dir):

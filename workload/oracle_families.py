@@ -70,13 +70,19 @@ r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate D
 
 def families() -> dict[str, str]:
     q: dict[str, str] = {}
+    every: list[tuple[str, str]] = []  # the columns of all families, for the query of all of them
+
+    def family(columns: list[tuple[str, str]], source: str = "s", ctes: str = "") -> str:
+        every.extend(columns)
+        return per_key(columns, source, ctes)
+
     stats = ("mean", "std", "min", "max", "last", "sum", "median")
     cats = [(f"{c}_{s}", agg(s, c)) for c in CAT for s in ("count", "last", "nunique")]
-    q["basic_stat"] = per_key([(f"{x}_{s}", stat(x, s)) for x in NUM for s in stats] + cats)
+    q["basic_stat"] = family([(f"{x}_{s}", stat(x, s)) for x in NUM for s in stats] + cats)
     q["basic_stat_cat"] = per_key(cats)
     q["basic_stat_five"] = per_key([(f"{x}_{s}", stat(x, s)) for x in NUM for s in stats[:5]])
     near = {n: f"newest - o_orderdate < INTERVAL {n} DAY" for n in (100, 200)}
-    q["period_stat"] = per_key(
+    q["period_stat"] = family(
         [
             (f"{x}_{s}_{n}days", stat(x, s, near[n]))
             for n in near
@@ -87,7 +93,7 @@ def families() -> dict[str, str]:
         AGED,
     )
     a = {(x, s): agg(s, x) for x in NUM for s in ("first", "last", "min", "max", "mean")}
-    q["max_min_diff"] = per_key(
+    q["max_min_diff"] = family(
         [
             (f"{x}_{n}", _diff(a[x, p], a[x, m], x, True))
             for x in NUM
@@ -99,11 +105,11 @@ def families() -> dict[str, str]:
         ]
     )
     last_mean = [(f"{x}_last_mean_diff", _diff(a[x, "last"], a[x, "mean"], x, False)) for x in NUM]
-    q["last_mean_diff"] = per_key(last_mean)
+    q["last_mean_diff"] = family(last_mean)
     q["last_mean_from_columns"] = per_key(
         [(f"{x}_{s}", stat(x, s)) for x in NUM for s in ("mean", "last")] + last_mean
     )
-    q["div"] = per_key(
+    q["div"] = family(
         [
             (f"{x}_div_{n}", _ratio(top, a[x, "last"]))
             for x in NUM
@@ -116,7 +122,7 @@ def families() -> dict[str, str]:
         "r",
         AGED,
     )
-    q["div_min_max"] = per_key(
+    q["div_min_max"] = family(
         [
             (f"{x}_div_{n}", _ratio(a[x, t], a[x, b]))
             for x in NUM
@@ -124,7 +130,7 @@ def families() -> dict[str, str]:
         ]
     )
     days = "CAST(floor(date_diff('microsecond', previous, o_orderdate) / 86400000000.0) AS INTEGER)"
-    q["date_gaps"] = per_key(
+    q["date_gaps"] = family(
         [(f"diff_days_{s}", single(agg(s, "g"))) for s in ("mean", "std", "median")]
         + [(f"diff_days_{s}", f"CAST({agg(s, 'g')} AS BIGINT)") for s in ("min", "max", "sum")]
         + [
@@ -137,7 +143,7 @@ def families() -> dict[str, str]:
         f"{AGED},\ng AS (SELECT *, {days} g FROM r)",
     )
     q["row_gaps"] = f"WITH {PANEL}{AGED}\nSELECT o_custkey, o_orderkey, {days} AS gap FROM r"
-    q["shift"] = per_key(
+    q["shift"] = family(
         [
             (f"{x}_shift{k}_last", stat(x, "last", f"age > {k}"))
             for k in (1, 2)
@@ -147,7 +153,7 @@ def families() -> dict[str, str]:
         AGED,
     )
     at = lambda x, k: f"max({x}) FILTER (WHERE age = {k})"
-    q["lag_diff"] = per_key(
+    q["lag_diff"] = family(
         [
             (f"{x}_diff{k}", single(f"{at(x, 1)} - {at(x, 1 + k)}") if x != "n_lines" else f"{at(x, 1)} - {at(x, 1 + k)}")
             for k in (1, 2)
@@ -157,7 +163,7 @@ def families() -> dict[str, str]:
         AGED,
     )
     q["lag_diff_float"] = per_key(
-        [(f"{x}_diff{k}", f"CAST({at(x, 1)} - {at(x, 1 + k)} AS FLOAT)") for k in (1,) for x in ("o_totalprice", "n_lines")],
+        [(f"{x}_diff{k}", f"CAST({at(x, 1)} - {at(x, 1 + k)} AS FLOAT)") for k in (1, 2) for x in NUM],
         "r",
         AGED,
     )
@@ -166,12 +172,12 @@ def families() -> dict[str, str]:
     )
     last = {x: f"({agg('last', x)})" for x in IMPORTANT}
     pairs = list(combinations(IMPORTANT, 2))
-    q["important_cross"] = per_key(
+    q["important_cross"] = family(
         [(f"cross_{x}_{y}", single(f"{last[x]} * {last[y]}")) for x, y in pairs]
     )
     for seed in (32, 42):
         draws = np.random.RandomState(seed).rand(len(pairs))
-        q[f"important_mix{seed}"] = per_key(
+        q[f"important_mix{seed}"] = family(
             [
                 (f"mix_{x}_{y}_{seed}", single(f"{last[x]} * {float(r)!r}::DOUBLE + {last[y]} * {float(1 - r)!r}::DOUBLE"))
                 for (x, y), r in zip(pairs, draws)
@@ -187,15 +193,11 @@ def families() -> dict[str, str]:
 SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey, o_totalprice::FLOAT AS o_totalprice, qty::FLOAT AS qty,
   CAST(round(disc_price, 9) AS FLOAT) AS disc_price, CAST(round(avg_tax, 9) AS FLOAT) AS avg_tax, n_lines, last_flag, o_orderstatus, o_orderpriority
 FROM r WHERE age = 1"""
+    squares = [(f"{x}_{s}_double", f"CAST(({agg(s, x)}) * ({agg(s, x)}) AS FLOAT)") for x in IMPORTANT for s in ("std", "min", "max", "last")]
+    chosen = [("qty_newest", single(newest("qty"))), ("avg_tax_newest", single(newest("avg_tax"))), ("last_flag_newest", newest("last_flag"))]
+    chosen += [(f"{x}_avg", single(f"avg({x})")) for x in ("o_totalprice", "qty")]
     q["all_families"] = per_key(
-        [(f"{x}_{s}", stat(x, s)) for x in NUM for s in stats]
-        + cats
-        + [(f"{x}_{s}_100days", stat(x, s, near[100])) for x in NUM for s in ("mean", "median")]
-        + last_mean
-        + [(f"{x}_shift1_last", stat(x, "last", "age > 1")) for x in NUM + CAT]
-        + [(f"diff_days_{s}", single(agg(s, "g"))) for s in ("mean", "median")],
-        "g",
-        f"{AGED},\ng AS (SELECT *, {days} g FROM r)",
+        list(dict((every + squares + chosen)).items()), "g", f"{AGED},\ng AS (SELECT *, {days} g FROM r)"
     )
     q["all_families_split_keys"] = q["all_families"]
     q["event_gaps"] = """WITH r AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) previous FROM events),

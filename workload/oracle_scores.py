@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.fixtures import STATEMENTS
-from workload.oracle_families import AGED, CAT, NUM, PANEL, agg, per_key, single
+from workload.oracle_families import AGED, CAT, NUM, PANEL, agg, per_key, single, stat
 
 SCORED = """sc AS (SELECT c_custkey AS key, CAST(c_acctbal < 0 AS INTEGER) AS target,
   ((c_custkey * 7919) % 10007) / 10007.0::DOUBLE AS score_a,
@@ -70,6 +70,8 @@ SELECT p.key, p.target, CAST(min(e.f) AS INTEGER) AS fold FROM p JOIN e ON p.tar
 GROUP BY p.key, p.target"""
 
 
+#: Folds as a CTE ``fo`` beside the scores.
+FOLDED = f"WITH {SCORED},\nfo AS ({_folds(5)})"
 NEWEST = f"""WITH {PANEL}{AGED},
 n AS (SELECT o_custkey, o_orderstatus, o_orderpriority, last_flag, CAST(n_lines AS VARCHAR) AS n_lines FROM r WHERE age = 1)"""
 
@@ -90,6 +92,19 @@ def scores() -> dict[str, str]:
     q["default_metric"] = _metric("score_a", "cw::DOUBLE / tw <= 0.04")
     q["default_metric_ties"] = _metric("score_b", "cw::DOUBLE / tw <= 0.04")
     q["default_metric_int_cutoff"] = _metric_int("score_a")
+    q["metric_by_fold"] = f"""{FOLDED},
+w AS (SELECT *, 20 - 19 * target AS w FROM s JOIN fo USING (key, target)),
+u AS (SELECT *, sum(w) OVER o AS cw, sum(w) OVER (PARTITION BY fold) AS tw, sum(target) OVER o AS ct, sum(target) OVER (PARTITION BY fold) AS tt
+  FROM w WINDOW o AS (PARTITION BY fold ORDER BY score_b DESC, key ROWS UNBOUNDED PRECEDING)),
+a AS (SELECT fold, sum(target)::DOUBLE AS np, count(*) - sum(target)::DOUBLE AS nn,
+  sum(CASE WHEN cw::DOUBLE / tw <= 0.04 THEN target ELSE 0 END)::DOUBLE / sum(target) AS d,
+  sum((ct::DOUBLE / tt - cw::DOUBLE / tw) * w) / (10 * nn * (1 - 19 / (np + 20 * nn))) AS g FROM u GROUP BY fold)
+SELECT fold, {single("0.5 * (g + d)")} AS metric, {single("g")} AS gini, {single("d")} AS capture FROM a"""
+    q["auc_by_fold"] = f"""{FOLDED},
+v AS (SELECT fold, score_b AS v, count(*) AS n, sum(target) AS p FROM s JOIN fo USING (key, target) GROUP BY ALL),
+r AS (SELECT fold, p, sum(n) OVER (PARTITION BY fold ORDER BY v ROWS UNBOUNDED PRECEDING) - n + (n + 1) / 2.0::DOUBLE AS rank, n FROM v),
+a AS (SELECT fold, sum(p * rank) AS ranks, sum(p)::DOUBLE AS np, (sum(n) - sum(p))::DOUBLE AS nn FROM r GROUP BY fold)
+SELECT fold, {single("(ranks - np * (np + 1) / 2) / (np * nn)")} AS auc FROM a"""
     q["lorenz_curve"] = f"""WITH {SCORED},
 w AS (SELECT *, 20 - 19 * target AS w FROM s)
 SELECT key, {single("sum(w) OVER o / (sum(w) OVER ())::DOUBLE")} AS weight_share,
@@ -114,6 +129,13 @@ b AS (SELECT target, CAST(least(floor(score_a * 20), 19) AS INTEGER) AS bin, cou
 t AS (SELECT target, count(*) AS total FROM s GROUP BY 1)
 SELECT t.target, CAST(i AS INTEGER) AS bin, coalesce(n, 0) AS n, {single("coalesce(n, 0) * 20.0::DOUBLE / total")} AS density
 FROM t CROSS JOIN range(20) r(i) LEFT JOIN b ON b.target = t.target AND b.bin = i"""
+    q["pred_hist_unknown"] = f"""WITH {SCORED},
+y AS (SELECT target, score_a * 1.5 - 0.25 AS p FROM s WHERE key % 7 != 0 AND score_a * 1.5 - 0.25 BETWEEN 0 AND 1),
+b AS (SELECT target, CAST(least(floor(p * 20), 19) AS INTEGER) AS bin, count(*) AS n FROM y GROUP BY 1, 2),
+t AS (SELECT target, count(*) AS total FROM y GROUP BY 1)
+SELECT c.target, CAST(i AS INTEGER) AS bin, coalesce(n, 0) AS n, {single("coalesce(n, 0) * 20.0::DOUBLE / total")} AS density
+FROM (SELECT DISTINCT target FROM s) c CROSS JOIN range(20) r(i) LEFT JOIN t ON t.target = c.target LEFT JOIN b ON b.target = c.target AND b.bin = i"""
+    q["ensemble_lacking"] = f"WITH {PRED}\nSELECT key, CASE WHEN key % 3 != 0 THEN {single('greatest(a, b)')} END AS prediction FROM m"
     q["calibration"] = f"""WITH {SCORED},
 e AS (SELECT unnest(quantile_cont(score_a, [{", ".join(f"{i / 50!r}" for i in range(1, 50))}])) AS edge FROM s),
 b AS (SELECT s.key, any_value(s.score_a) AS score, any_value(s.target) AS target, CAST(count(edge) AS INTEGER) AS bin
@@ -144,7 +166,7 @@ SELECT p.key, p.target FROM p JOIN f USING (target) WHERE r <= take"""
     q["seed_blend"] = f"WITH {PRED}\nSELECT key, {single('(a + b + c) / 3')} AS prediction FROM m"
     for f, name in (("least", "ensemble_min"), ("greatest", "ensemble_max")):
         q[name] = f"WITH {PRED}\nSELECT key, {single(f'{f}(a, b, c)')} AS prediction FROM m"
-    q["submission"] = q["seed_blend"]
+    q["submission"] = q["submission_checked"] = q["seed_blend"]
     odds = "((a * 8 - 4) + (b * 8 - 4) + (c * 8 - 4)) / 3"
     q["fold_mean"] = f"""WITH {PRED}
 SELECT key, {single(odds)} AS prediction, {single(f"1 / (1 + exp(-({odds})))")} AS probability FROM m"""
@@ -201,8 +223,10 @@ SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n"""
             for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         ]
     )
-    q["downcast"] = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity,
-  CAST(l_discount AS FLOAT) AS l_discount FROM lineitem"""
+    # the narrowest types at scale 0.01; values are the same at any scale
+    q["downcast"] = """SELECT * REPLACE (CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_partkey AS SMALLINT) AS l_partkey,
+  CAST(l_suppkey AS TINYINT) AS l_suppkey, CAST(l_linenumber AS TINYINT) AS l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity,
+  CAST(l_extendedprice AS FLOAT) AS l_extendedprice, CAST(l_discount AS FLOAT) AS l_discount, CAST(l_tax AS FLOAT) AS l_tax) FROM lineitem"""
     q["fixed_downcast"] = """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
   CAST(o_totalprice AS FLOAT) AS o_totalprice) FROM orders"""
     flags = ", ".join(f"CAST(score_b > {t}::DOUBLE AS INTEGER) AS predicted_0{str(t)[2:]}" for t in (0.9, 0.8, 0.7, 0.6, 0.5))
@@ -230,16 +254,14 @@ SELECT o_custkey, month, CASE month WHEN 4 THEN 'private' WHEN 10 THEN 'public'
         ]
     )
     q["assemble_features"] = f"WITH {LABELLED}, {SCORED}, sp AS (SELECT key AS o_custkey, split FROM s), f AS ({features})\nSELECT f.*, target, coalesce(split, 'train') AS split FROM f LEFT JOIN lab USING (o_custkey) LEFT JOIN sp USING (o_custkey)"
-    wide = per_key(
-        [
-            ("qty_last", single(newest)),
-            ("qty_avg", single("avg(qty)")),
-            ("qty_mean", single("avg(qty)")),
-            ("qty_last_mean_diff", mean_diff("qty")),
-            ("o_orderstatus_nunique", "count(DISTINCT o_orderstatus)"),
-        ]
+    every = [(f"{x}_{s}", stat(x, s)) for x in NUM for s in ("mean", "std", "min", "max", "last") if (x, s) != ("qty", "last")]
+    every += [(f"{c}_{s}", agg(s, c)) for c in CAT for s in ("count", "last", "nunique")] + [(f"{x}_last_mean_diff", mean_diff(x)) for x in NUM]
+    q["consolidated_features"] = per_key([*every, ("qty_last", single(newest)), ("qty_avg", single("avg(qty)"))])
+    q["assemble_bucketed"] = per_key(
+        [("o_totalprice_mean", single(agg("mean", "o_totalprice"))), ("last_flag_last", agg("last", "last_flag"))]
+        + [(f"{x}_last_mean_diff", mean_diff(x)) for x in NUM]
+        + [("qty_newest", single(newest)), ("qty_avg", single("avg(qty)"))]
     )
-    q["consolidated_features"] = wide
     q["resolved_features"] = """SELECT * FROM (VALUES ('basic_stat', 0, 'qty_last'), ('last_mean_diff', 0, 'qty_last_mean_diff'),
   ('last_mean_diff', 1, 'n_lines_last_mean_diff'), ('avg_max_last', 0, 'qty_last'), ('avg_max_last', 1, 'qty_avg')) v(family, position, feature)"""
     at = lambda x, k: f"max({x}) FILTER (WHERE age = {k})"

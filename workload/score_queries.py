@@ -143,12 +143,8 @@ def downcast_plan(spark, sf_dir):
 
 
 def downcast(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem")
-    narrow = encode.downcast(df, ["l_quantity", "l_discount", "l_linenumber", "l_suppkey"])
-    return narrow.select(
-        "l_orderkey", "l_partkey", F.col("l_suppkey").cast("long").alias("l_suppkey"),
-        F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_quantity", "l_discount",
-    )
+    """All columns, the numeric ones in their narrowest types."""
+    return encode.downcast(table(spark, sf_dir, "lineitem"))
 
 
 def fixed_downcast(spark, sf_dir):
@@ -171,6 +167,36 @@ def stratified_sample(spark, sf_dir):
     return folds.stratified_sample(scored(spark, sf_dir), TARGET, KEY, 0.3).select(KEY, TARGET)
 
 
+def _by_fold(operator, *args):
+    """A score of every stratified fold, all in one pass."""
+
+    def run(spark, sf_dir):
+        folded = folds.stratified_folds(scored(spark, sf_dir), TARGET, KEY, 5)
+        return as_float(operator(folded, *args, by="fold"))
+
+    return run
+
+
+def pred_hist_unknown(spark, sf_dir):
+    """Scores of which some are unknown and some lie outside [0, 1]."""
+    odd = scored(spark, sf_dir).withColumn("p", F.when(F.col(KEY) % 7 != 0, F.col("score_a") * 1.5 - 0.25))
+    return as_float(metrics.prediction_histogram(odd, TARGET, "p"))
+
+
+def ensemble_lacking(spark, sf_dir):
+    """Largest prediction of two models, one of which lacks a third of the keys."""
+    models = _predictions(spark, sf_dir)
+    return as_float(blend.ensemble({"a": models["a"], "b": models["b"].where(F.col(KEY) % 3 != 0)}, KEY, method="max"))
+
+
+def submission_checked(spark, sf_dir):
+    """A submission that is written only because its keys are those asked for, one to one."""
+    path = fresh_folder(spark, "submission")
+    blended = blend.ensemble(_predictions(spark, sf_dir), KEY)
+    tables.write_submission(blended, KEY, path, keys=scored(spark, sf_dir))
+    return as_float(tables.read_predictions(spark, path, KEY, "bigint"))
+
+
 def _predictions(spark, sf_dir):
     s = scored(spark, sf_dir)
     third = ((F.col(KEY) * 104729) % 9973) / F.lit(9973.0)
@@ -283,7 +309,17 @@ def consolidated_features(spark, sf_dir):
         store.consolidate(spark, root, ["basic_stat", "last_mean_diff", "avg_max_last"], split, "o_custkey")
     train, test = (store.read_family(spark, root, "all_features", split) for split in ("train", "test"))
     out = train.unionByName(test)
-    return as_float(out.select("o_custkey", "qty_last", "qty_avg", "qty_mean", "qty_last_mean_diff", "o_orderstatus_nunique"))
+    return as_float(out)
+
+
+def assemble_bucketed(spark, sf_dir):
+    """Three families stored in buckets by key and joined where they lie, opened by what their manifests say."""
+    root = fresh_folder(spark, "buckets")
+    panel = statements(spark, sf_dir)
+    for name, options in (("basic_stat", {"stats": fam.FIVE_STATS}), ("last_mean_diff", {}), ("avg_max_last", {"avg": ["qty"], "last": ["qty"], "last_suffix": "newest"})):
+        store.write_family(fam.family(name, panel, STATEMENTS, **options), root, name, "train", "o_custkey", 8)
+    chosen = {"basic_stat": ["o_totalprice_mean", "last_flag_last"], "last_mean_diff": "all", "avg_max_last": "all"}
+    return as_float(store.assemble(spark, root, "train", chosen, "o_custkey"))
 
 
 def resolved_features(spark, sf_dir):
@@ -324,6 +360,8 @@ def queries() -> dict:
         "pred_hist": _on_scores(metrics.prediction_histogram, TARGET, "score_a"),
         "calibration": _on_scores(metrics.calibration, TARGET, "score_a", KEY),
         "threshold_counts": _on_scores(metrics.threshold_counts, "score_a"),
+        "metric_by_fold": _by_fold(metrics.default_metric, TARGET, "score_b", KEY),
+        "auc_by_fold": _by_fold(metrics.roc_auc, TARGET, "score_b"),
         "stratified_folds": _folds(5),
         "stratified_folds_2": _folds(2),
         "stratified_folds_8": _folds(8),
@@ -338,7 +376,8 @@ def queries() -> dict:
         value_counts, value_counts_events, rows_per_key_hist, rows_per_date, role_split, period_rows, mode_impute,
         label_encode, round_last, downcast_plan, downcast, fixed_downcast, threshold_flags, stratified_sample,
         fold_mean, pseudo_label, month_flag, tagged_union, corr_pairs, panel_scan, pruned_scan, label_scan,
-        assemble_features, consolidated_features, resolved_features, inner_chain, submission,
+        assemble_features, assemble_bucketed, consolidated_features, resolved_features, inner_chain, submission,
+        submission_checked, pred_hist_unknown, ensemble_lacking,
     ):
         q[f.__name__] = f
     for mode in drift.MODES:
