@@ -11,18 +11,16 @@ from workload.fixtures import STATEMENTS, by_split, scored, statements
 
 KEY = "o_custkey"
 TREES = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2}
+PATIENCE = 3
 
 
 def features(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
-    """Eleven features per customer."""
+    """Seventeen features per customer: means and last values, and all statistics of the gaps between orders."""
     return fam.build(
         statements(spark, sf_dir) if panel is None else panel,
         STATEMENTS,
-        [
-            ("basic_stat", {"stats": ("mean", "last"), "categorical_stats": ()}),
-            ("date_gaps", {}),
-        ],
-    ).drop("diff_days_min", "diff_days_max", "diff_days_sum", "diff_days_std", "diff_days_median", "diff_first_last_day")
+        [("basic_stat", {"stats": ("mean", "last"), "categorical_stats": ()}), "date_gaps"],
+    )
 
 
 def _stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -39,9 +37,9 @@ def training_table(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     return _stored(tables.attach_labels(table, labels, KEY, "inner"), "train"), names
 
 
-def _validated(spark, sf_dir, k=3, **options) -> cv.CrossValidation:
+def _validated(spark, sf_dir, k=3, params=None, **options) -> cv.CrossValidation:
     table, names = training_table(spark, sf_dir)
-    return cv.cross_validate(table, names, "target", KEY, k, TREES, **options)
+    return cv.cross_validate(table, names, "target", KEY, k, params or TREES, **options)
 
 
 def cv_oof(spark, sf_dir):
@@ -74,11 +72,48 @@ def feature_importance(spark, sf_dir):
     return spark.read.schema("feature string, importance double").option("header", True).csv(path)
 
 
+def importance_by_fold(spark, sf_dir):
+    """Importances stored fold by fold and read back: how many features each fold has, and whether they sum to one."""
+    path = fresh_folder(spark, "importances")
+    tables.write_fold_importances(_validated(spark, sf_dir).importances, path)
+    back = spark.read.schema("feature string, importance double, fold int").option("header", True).csv(path)
+    whole = (F.abs(F.sum("importance") - 1) < 1e-9) & (F.min("importance") >= 0)
+    return back.groupBy("fold").agg(F.count("feature").alias("features"), whole.cast("int").alias("sums_to_one"))
+
+
+def cv_stages(spark, sf_dir):
+    """Staged losses of each fold: how many, and whether the chosen stage is the least before patience ran out."""
+    stages = _validated(spark, sf_dir, params={**TREES, "maxIter": 10, "stepSize": 0.6}, patience=PATIENCE).stages
+    listed = stages.groupBy("fold").agg(
+        F.sort_array(F.collect_list(F.struct("stage", "loss"))).alias("s"), F.max(F.when(F.col("is_chosen") == 1, F.col("stage"))).alias("chosen")
+    )
+    # a stage may be chosen if it beats all before it, and no earlier stage has gone so long without being beaten
+    lower = "aggregate(slice(s, 1, {n}), DOUBLE('inf'), (a, x) -> least(a, x.loss))"
+    right = (
+        f"forall(s, x -> x.stage > chosen + {PATIENCE} OR x.loss >= s[chosen].loss) AND s[chosen].loss < {lower.format(n='chosen')}"
+        f" AND forall(s, x -> x.stage + {PATIENCE} >= chosen OR {lower.format(n=f'x.stage + 1 + {PATIENCE}')} < {lower.format(n='x.stage + 1')})"
+    )
+    return listed.select("fold", F.size("s").alias("stages"), F.expr(f"CAST({right} AS INT)").alias("is_best"))
+
+
+def predict_mixed(spark, sf_dir):
+    """Models of different features asked together, for rows with NaN: the same as each of them alone."""
+    table, names = training_table(spark, sf_dir)
+    holes = table.withColumns({c: F.when(F.col(KEY) % 5 == 0, F.lit(float("nan"))).otherwise(F.col(c)) for c in ("qty_mean", "avg_tax_last")})
+    models = [cv.cross_validate(holes, chosen, "target", KEY, 2, TREES, first_fold_only=True).models[0] for chosen in (names, names[:4][::-1])]
+    both = cv.predict(holes, models, KEY)
+    for i, m in enumerate(models):
+        both = both.join(cv.predict(holes, [m], KEY).withColumnRenamed("prediction_0", f"alone_{i}"), KEY)
+    same = (F.col("prediction_0") == F.col("alone_0")) & (F.col("prediction_1") == F.col("alone_1"))
+    return both.select(KEY, same.cast("int").alias("is_same"))
+
+
 def top_features(spark, sf_dir):
     """The five most important features as a feature group, and the table reduced to them."""
     table, names = training_table(spark, sf_dir)
-    fitted = cv.cross_validate(table, names, "target", KEY, 3, TREES, first_fold_only=True)
+    fitted = cv.cross_validate(table, names, "target", KEY, 3, TREES)
     chosen = cv.top_features(fitted.importances, 5)
+    fitted.release()
     return table.select(KEY, F.create_map(*[x for c in chosen for x in (F.lit(c), F.col(c).cast("double"))]).alias("chosen")).select(
         KEY, F.explode("chosen").alias("feature", "value")
     )
@@ -114,7 +149,7 @@ def saved_models(spark, sf_dir):
 def random_search(spark, sf_dir):
     table, names = training_table(spark, sf_dir)
     space = {"maxDepth": ("int", 1, 3), "stepSize": ("log", 0.05, 0.5)}
-    _, trials = cv.random_search(table, names, "target", KEY, 2, space, k=3, fixed={"maxIter": 3})
+    _, trials = cv.random_search(table, names, "target", KEY, 4, space, k=3, fixed={"maxIter": 5}, first_fold_only=False)
     rows = [(r["trial"], r["score"], r["params"]["maxDepth"], r["params"]["stepSize"]) for r in trials]
     return spark.createDataFrame(rows, "trial int, score double, max_depth int, step_size double")
 
@@ -141,6 +176,27 @@ def corr_filter(spark, sf_dir):
     return table.select(KEY, *kept)
 
 
+def corr_filter_kept(spark, sf_dir):
+    """Which features the correlation filter keeps."""
+    table = _stored(features(spark, sf_dir), "corr")
+    names = [c for c in table.columns if c != KEY]
+    kept = selection.correlation_filter(table, names, 0.9)
+    return spark.createDataFrame([(n, int(n in kept)) for n in names], "feature string, is_kept int")
+
+
+def pca_variance(spark, sf_dir):
+    """All principal axes: their variances fall, and sum up to that of the features; projections have them."""
+    table = _stored(features(spark, sf_dir), "pca")
+    names = [c for c in table.columns if c != KEY]
+    axes = selection.principal_axes(table, names, len(names))
+    falls = all(a >= b >= 0 for a, b in zip(axes.variances, axes.variances[1:]))
+    on = selection.project(table, axes, KEY)
+    seen = on.agg(*[F.var_samp(f"pca_{i}").alias(f"v{i}") for i in range(3)])
+    same = F.forall(F.array(*[F.abs(F.col(f"v{i}") / F.lit(float(axes.variances[i])) - 1) < 1e-6 for i in range(3)]), lambda x: x)
+    total = F.lit(float(axes.variances.sum())).cast("float")
+    return seen.select(F.lit(len(names)).alias("axes"), F.lit(int(falls)).alias("falls"), same.cast("int").alias("is_projected"), total.alias("total"))
+
+
 def pca(spark, sf_dir):
     table = _stored(features(spark, sf_dir), "pca")
     return selection.pca(table, [c for c in table.columns if c != KEY], KEY, 3)
@@ -149,6 +205,7 @@ def pca(spark, sf_dir):
 def queries() -> dict:
     found = (
         cv_oof, cv_coverage, cv_scores, cv_early_stopping, feature_importance, top_features, fold_mean_predict,
-        saved_models, random_search, drift_features, corr_filter, pca,
+        saved_models, random_search, drift_features, corr_filter, pca, importance_by_fold, cv_stages, predict_mixed,
+        corr_filter_kept, pca_variance,
     )
     return {f.__name__: f for f in found}

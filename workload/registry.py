@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload import family_queries, model_queries, oracle_families, oracle_scores, score_queries
+from workload import family_queries, model_queries, oracle_families, oracle_models, oracle_scores, score_queries
 
 
 def queries() -> dict:
@@ -10,4 +10,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_families.families(), **oracle_scores.scores()}
+    return {**oracle_families.families(), **oracle_scores.scores(), **oracle_models.models()}
