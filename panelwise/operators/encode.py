@@ -11,13 +11,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from panelwise.functions.scalar import round_half_even
-from panelwise.plans.ordering import with_position
+from panelwise.plans.ordering import with_position, written
 from panelwise.plans.skew import BROADCAST_ROWS
 
 # Exclusive limits that decide the narrowest type.
 INTEGER_LIMITS = (("tinyint", 2**7), ("smallint", 2**15), ("int", 2**31), ("bigint", 2**63))
 FLOAT_MAX = 3.4028234663852886e38
 
+SALTS = 16  # parts that the rows of one value are dealt into where numbers are joined by shuffle
+
 
 def _is_number(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.NumericType)
@@ -71,45 +73,64 @@ def impute_modes(df: DataFrame, modes: dict[str, Mode]) -> DataFrame:
 
 @dataclass(frozen=True)
 class LabelMap:
-    table: DataFrame  # (name, txt, code)
-    small: bool
+    """The numbers of all values of all columns: ``(name, txt, code)``, a written table of ``number`` rows."""
+
+    table: DataFrame
+    number: int
 
 
 def fit_labels(df: DataFrame, columns: Sequence[str]) -> LabelMap:
-    """Number the sorted distinct values of each column from 0; NULL, if present, comes last."""
+    """Number the sorted distinct values of each column from 0; NULL, if present, comes last.
+
+    All columns at once: distinct values combine map-side, and their places in each column's order are found by one
+    distributed order. No values come to the driver.
+    """
     values = _long(df, columns).distinct()
-    head = values.limit(BROADCAST_ROWS + 1).collect()
-    if len(head) <= BROADCAST_ROWS:
-        codes = []
-        for c in columns:
-            own = [r for r in head if r["name"] == c]
-            own.sort(key=lambda r: (r["txt"] is None, r["num"] or 0.0, r["txt"] or ""))
-            codes += [(c, r["txt"], i) for i, r in enumerate(own)]
-        return LabelMap(df.sparkSession.createDataFrame(codes, "name string, txt string, code int"), True)
-    order = ["name", "IF(txt IS NULL, 1, 0)", "coalesce(num, 0)", "coalesce(txt, '')"]
-    placed = with_position(values, order)
-    starts = placed.groupBy("name").agg(F.min("position").alias("start"))
-    # one start per encoded column
-    table = placed.join(F.broadcast(starts), "name").select(
-        "name", "txt", (F.col("position") - F.col("start")).cast("int").alias("code")
-    )
-    return LabelMap(table, False)
+    order = ["IF(txt IS NULL, 1, 0)", "coalesce(num, 0)", "coalesce(txt, '')"]
+    placed = with_position(values, order, "code", by="name").select("name", "txt", F.col("code").cast("int").alias("code"))
+    table = written(placed, "labels")
+    return LabelMap(table, table.count())
 
 
 def apply_labels(df: DataFrame, labels: LabelMap, columns: Sequence[str]) -> DataFrame:
-    """Replace each value by its number; fails on a value that was not there when fitting."""
+    """Replace each value by its number; fails on a value that was not there when fitting.
+
+    Few numbers are broadcast. With more of them, the cells of all columns meet the numbers in one join, every value
+    in ``SALTS`` parts, so that a value that a third of the rows have is spread over tasks; then the rows' cells come
+    together again.
+    """
+    return _by_broadcast(df, labels, columns) if labels.number <= BROADCAST_ROWS else _by_cells(df, labels, columns)
+
+
+def _code(column: str, value: Column, code: Column) -> Column:
+    unseen = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), F.coalesce(value, F.lit("NULL"))))
+    return F.when(code.isNull(), unseen.cast("int")).otherwise(code).alias(column)
+
+
+def _by_broadcast(df: DataFrame, labels: LabelMap, columns: Sequence[str]) -> DataFrame:
     out = df
     for c in columns:
         codes = labels.table.where(F.col("name") == c).select(F.col("txt").alias("_txt"), F.col("code").alias("_code"))
-        joined = out.join(
-            F.broadcast(codes) if labels.small else codes, F.col(c).cast("string").eqNullSafe(F.col("_txt")), "left"
-        )
-        unseen = F.raise_error(F.concat(F.lit(f"unseen value in {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))))
-        code = F.when(F.col("_code").isNull(), unseen.cast("int")).otherwise(F.col("_code"))
-        out = joined.select(*[code.alias(c) if x == c else F.col(x) for x in out.columns])
+        joined = out.join(F.broadcast(codes), F.col(c).cast("string").eqNullSafe(F.col("_txt")), "left")
+        out = joined.select(*[_code(c, F.col(c).cast("string"), F.col("_code")) if x == c else F.col(x) for x in out.columns])
     return out
 
 
+def _by_cells(df: DataFrame, labels: LabelMap, columns: Sequence[str]) -> DataFrame:
+    rows = written(df.withColumn("_id", F.monotonically_increasing_id()), "encode")
+    cells = rows.select(
+        "_id", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.inline(F.array(*[F.struct(F.lit(i).alias("_at"), F.lit(c).alias("_name"), F.col(c).cast("string").alias("_cell")) for i, c in enumerate(columns)])),
+    )
+    codes = labels.table.select("name", "txt", "code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    same = (F.col("_name") == F.col("name")) & F.col("_cell").eqNullSafe(F.col("txt")) & (F.col("_salt") == F.col("salt"))
+    found = cells.join(codes, same, "left").select("_id", "_at", "code")
+    numbers = found.groupBy("_id").agg(*[F.max(F.when(F.col("_at") == i, F.col("code"))).alias(f"_code_{i}") for i in range(len(columns))])
+    joined = rows.join(numbers, "_id")
+    place = {c: i for i, c in enumerate(columns)}
+    return joined.select(*[_code(x, F.col(x).cast("string"), F.col(f"_code_{place[x]}")) if x in place else F.col(x) for x in df.columns])
+
+
 def round_last(df: DataFrame, digits: int = 2) -> DataFrame:
     """Add ``{column}_round2`` for every floating column whose name contains "last"."""
     chosen = [

@@ -24,9 +24,10 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from panelwise.functions.scalar import day_gap, quoted, within_days_sql
+from panelwise.plans.ordering import written
 from panelwise.plans.segments import GAP_COLUMN, RowSet, Wanted, reduce_sorted, suits
 from panelwise.plans.skew import ROWS_PER_KEY, HotKeys, consecutive_gaps, find_hot_keys
 from panelwise.spec import PanelSpec
@@ -220,10 +221,12 @@ def _reduce_hot(
 ) -> DataFrame:
     """Same result for keys whose rows must stay spread over many tasks.
 
-    Per-key facts (newest timestamp, order of the n-th newest row) come from a per-key top-n and are
-    joined back; day gaps come from the bucketed order; the rest combines map-side except medians and
-    distinct counts, which get their own distributed plans.
+    The rows of large keys are written once, and once more with what the measures read of a row's place: per-key facts
+    (newest timestamp, order of the n-th newest row) come from a per-key top-n and are joined back, day gaps from the
+    bucketed order. From there most measures combine map-side; medians and distinct counts, all columns at a time, get
+    their own distributed plans over the written rows.
     """
+    rows = written(rows, "large-keys")
     depth = 1 + max(m.older_than for m in measures)
     order = spec.order_struct()
     cuts = (
@@ -249,23 +252,32 @@ def _reduce_hot(
         annotated = annotated.withColumns({GAP: F.lit(None).cast("int"), ROW: F.lit(True)}).unionByName(
             gaps, allowMissingColumns=True
         )
+    annotated = written(annotated, "large-keys")
     # a NULL order keeps gap rows out of first, last and last_row
     known_order = f"IF({ROW}, {_order(spec)}, NULL)" if GAP in reads else _order(spec)
     result = _grouped(annotated, spec.key, [m for m in measures if m.stat in COMBINING], known_order)
     medians = [m for m in measures if m.stat == "median"]
     if medians:
         result = result.join(hot.hint(_spread_medians(annotated, spec.key, medians, hot), len(medians)), spec.key, "left")
-    for m in measures:
-        if m.stat == "nunique":
-            result = result.join(hot.hint(_spread_nunique(annotated, spec.key, m)), spec.key, "left").withColumn(
-                m.name, F.coalesce(m.name, F.lit(0).cast("long"))
-            )
+    counted = [m for m in measures if m.stat == "nunique"]
+    if counted:
+        result = result.join(hot.hint(_spread_nunique(annotated, spec.key, counted), len(counted)), spec.key, "left")
+        result = result.withColumns({m.name: F.coalesce(m.name, F.lit(0).cast("long")) for m in counted})
     return result.select(spec.key, *[m.name for m in measures])
 
 
-def _spread_nunique(rows: DataFrame, key: str, m: Measure) -> DataFrame:
-    values = rows.select(key, F.expr(m.value).alias("_v")).where(F.col("_v").isNotNull())
-    return values.distinct().groupBy(key).agg(F.count(F.lit(1)).alias(m.name))
+def _spread_nunique(rows: DataFrame, key: str, measures: list[Measure]) -> DataFrame:
+    """Distinct values of all columns from one scan: one row per key, column and value, combined map-side."""
+    kinds = rows.selectExpr(*[f"{m.value} AS {m.name}" for m in measures]).schema
+
+    def text(m: Measure) -> str:
+        if isinstance(kinds[m.name].dataType, (T.FloatType, T.DoubleType)):
+            return f"CAST(({m.value}) + 0D AS STRING)"  # no negative zero
+        return f"hex({m.value})" if isinstance(kinds[m.name].dataType, T.BinaryType) else f"CAST({m.value} AS STRING)"
+
+    cells = ", ".join(f"named_struct('name', '{m.name}', 'v', {text(m)})" for m in measures)
+    values = rows.selectExpr(quoted(key), f"inline(array({cells}))").where("v IS NOT NULL").distinct()
+    return values.groupBy(key).pivot("name", [m.name for m in measures]).agg(F.count(F.lit(1)))
 
 
 def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: HotKeys) -> DataFrame:
@@ -282,6 +294,7 @@ def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: Hot
     brackets = wide.groupBy(key).agg(
         *[F.expr(f"percentile_approx({quoted(n)}, {around}, {accuracy}) AS {quoted('_b_' + n)}") for n in names]
     )
+    brackets = written(brackets, "brackets")
     cells = ", ".join(
         f"named_struct('name', '{n}', 'v', {quoted(n)}, 'lo', {quoted('_b_' + n)}[0], 'hi', {quoted('_b_' + n)}[1])"
         for n in names
@@ -298,6 +311,7 @@ def _spread_medians(rows: DataFrame, key: str, measures: list[Measure], hot: Hot
         F.expr("(count(*) - 1) div 2 AS low"),
         F.expr("count(*) div 2 AS high"),
     )
+    parts = written(parts, "brackets")
     middle = (
         long.join(hot.hint(parts, 6 * len(names)), [key, "name"])
         .selectExpr(

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from panelwise.functions.scalar import day_gap_sql, quoted
 from panelwise.plans import ordering
 from panelwise.plans.ordering import BUCKET, in_buckets, written
-from panelwise.sources.workdir import fresh_folder
 from panelwise.spec import PanelSpec
 
 ROWS_PER_KEY = 100_000  # a key with more rows than this is split
@@ -41,19 +40,14 @@ class HotKeys:
 
 
 def find_hot_keys(rows: DataFrame, key: str, rows_per_key: int | None = None) -> HotKeys:
-    """One narrow job: count rows per key (combined map-side) and keep the keys above the limit."""
+    """Count rows per key (key column only, combined map-side) and write the keys above the limit, if there are any."""
     limit = ROWS_PER_KEY if rows_per_key is None else rows_per_key
     spark, k = rows.sparkSession, quoted(key)
     counts = f"SELECT {k}, count(*) AS _n FROM {{rows}} GROUP BY {k}"
     number = spark.sql(f"SELECT count_if(_n > {limit}) FROM ({counts})", rows=rows).first()[0]
-    if number == 0:
+    if not number:
         return HotKeys(None)
-    hot = spark.sql(f"SELECT {k} FROM ({counts}) WHERE _n > {limit}", rows=rows)
-    if number <= BROADCAST_ROWS:
-        return HotKeys(spark.createDataFrame(hot.collect(), hot.schema), number)
-    path = fresh_folder(spark, "hot-keys")
-    hot.write.parquet(path)
-    return HotKeys(spark.read.schema(hot.schema).parquet(path), number)
+    return HotKeys(written(spark.sql(f"SELECT {k} FROM ({counts}) WHERE _n > {limit}", rows=rows), "large-keys"), number)
 
 
 def consecutive_gaps(rows: DataFrame, spec: PanelSpec, name: str) -> DataFrame:

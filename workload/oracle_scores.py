@@ -206,6 +206,9 @@ SELECT o_custkey, o_orderstatus, coalesce(o_orderpriority, (SELECT v FROM p)) AS
     FROM (SELECT DISTINCT {c} AS v FROM s)) d WHERE d.v IS NOT DISTINCT FROM n.{c}) AS {c}"""
     q["label_encode"] = f"""{NEWEST}
 SELECT o_custkey, {", ".join(code(c) for c in CAT)}, n_lines FROM n"""
+    q["label_encode_large"] = """WITH c AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS segment, c_nationkey FROM customer)
+SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_name) - 1 AS INTEGER) AS c_name,
+  CAST(dense_rank() OVER (ORDER BY segment NULLS LAST) - 1 AS INTEGER) AS segment, CAST(dense_rank() OVER (ORDER BY c_nationkey) - 1 AS INTEGER) AS c_nationkey FROM c"""
     q["round_last"] = per_key(
         [(f"{x}_last_round2", single(f"round_even({agg('last', x)} * 100, 0) / 100")) for x in NUM if x != "n_lines"]
     )

@@ -127,6 +127,16 @@ def label_encode(spark, sf_dir):
     return encode.apply_labels(_last_categories(spark, sf_dir), labels, columns)
 
 
+def label_encode_large(spark, sf_dir):
+    """Codes of names that differ in every row, and of a column that is NULL in two rows of three."""
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).alias("segment"), "c_nationkey"
+    )
+    columns = ["c_name", "segment", "c_nationkey"]
+    labels = encode.fit_labels(customers, columns)
+    return encode.apply_labels(customers, encode.LabelMap(labels.table, encode.BROADCAST_ROWS + labels.number), columns)
+
+
 def _basic(spark, sf_dir, stats=("mean", "last"), categorical_stats=()):
     return fam.family(
         "basic_stat", statements(spark, sf_dir), STATEMENTS, stats=stats, categorical_stats=categorical_stats
@@ -374,7 +384,7 @@ def queries() -> dict:
     for f in (
         log_loss, focal_loss, focal_loss_unbalanced, probability, score_rank, score_rank_buckets, order_statistic, target_profile,
         value_counts, value_counts_events, rows_per_key_hist, rows_per_date, role_split, period_rows, mode_impute,
-        label_encode, round_last, downcast_plan, downcast, fixed_downcast, threshold_flags, stratified_sample,
+        label_encode, label_encode_large, round_last, downcast_plan, downcast, fixed_downcast, threshold_flags, stratified_sample,
         fold_mean, pseudo_label, month_flag, tagged_union, corr_pairs, panel_scan, pruned_scan, label_scan,
         assemble_features, assemble_bucketed, consolidated_features, resolved_features, inner_chain, submission,
         submission_checked, pred_hist_unknown, ensemble_lacking,
