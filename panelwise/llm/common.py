@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,35 @@ def put(spark: SparkSession, name: str, content: bytes) -> str:
     return place.toString()
 
 
+_SENT: list[Broadcast] = []
+
+
+def sent(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast that ``release`` frees."""
+    _SENT.append(spark.sparkContext.broadcast(value))
+    return _SENT[-1]
+
+
+def release() -> None:
+    """Free all broadcasts made so far. Call it when every table that reads them is settled, as between pipeline stages."""
+    while _SENT:
+        _SENT.pop().destroy()
+
+
+def shielded(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The documents with every column but the needed ones under a name of its own, and the way back.
+
+    An operator may then use any names for what it adds. The way back takes a result that still has these columns, and
+    the names of added columns to keep behind them.
+    """
+    own = {c: c if c in needed else f"_own_{i}" for i, c in enumerate(docs.columns)}
+
+    def back(result: DataFrame, *added: str) -> DataFrame:
+        return result.select(*[F.col(o).alias(c) for c, o in own.items()], *added)
+
+    return docs.toDF(*own.values()), back
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.llm.batches import flat_text, mixed, pieces, run_hashes
-from panelwise.llm.common import in_arrow, settled
+from panelwise.llm.common import in_arrow, settled, shielded
 from panelwise.llm.components import grouped, several
 
 BANDS, ROWS = 32, 4
@@ -168,8 +168,26 @@ def set_hashes(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mixed((sums[at[1:]] - sums[at[:-1]]) + np.diff(at).astype(np.uint64) * ODD[1]).view(np.int64)
 
 
+class Overlap:
+    """The test of two texts: full shingle sets that overlap by ``percent`` of their union."""
+
+    def __init__(self, size: int, percent: int) -> None:
+        self.size, self.percent = size, percent
+
+    def prepared(self, texts: list[str]) -> list[np.ndarray]:
+        grams, at = shingles(*flat_text(pa.array(texts, pa.large_string())), self.size)
+        return [grams[b:e] for b, e in zip(at[:-1], at[1:])]
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        if 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
+            return False
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= self.percent * (len(a) + len(b) - both)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full shingle sets overlap by ``percent`` of their union; ``texts`` has ``node, text``."""
+    overlap = Overlap(size, percent)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, np.ndarray] = {}
@@ -186,14 +204,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                 a, b = (piece.column(c).to_pylist() for c in ("a", "b"))
                 left, right = sets(a, piece.column("text_a")), sets(b, piece.column("text_b"))
                 known = {n: g for n, g in [*zip(a[-4:], left[-4:]), *zip(b[-4:], right[-4:])]}
-                keep = []
-                for x, y in zip(left, right):
-                    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                        keep.append(False)
-                        continue
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
-                mask = np.array(keep, bool)
+                mask = np.array([overlap.linked(x, y) for x, y in zip(left, right)], bool)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(v, np.int64)[mask]) for v in (a, b)], ["a", "b"])
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -216,7 +227,8 @@ def _rooted(docs: DataFrame, size: int, percent: int, number: int = BANDS, rows:
     texts = _keyed(docs).select("row", "text").join(wanted, "row")
     texts = settled(_own(texts, size), "texts")
     sketches = in_arrow(nodes.select("node", "bands", "sketch"), _keys, "id long, sketch binary, keys binary")
-    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike(percent))
+    told = texts.select(F.col("node").alias("id"), "text")
+    roots = grouped(members, lambda pairs: verified(pairs, texts, size, percent), sketches, alike(percent), told, Overlap(size, percent))
     named = nodes.select("node", "one").join(roots.withColumnRenamed("id", "node"), "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("one").alias("component_id"))
@@ -250,9 +262,10 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
 
     Documents without words stay, repeated rows once.
     """
+    docs, back = shielded(docs, "doc_id", "text")
     kept = _rooted(docs, size, percent).filter("kept").select("row", "root")
     single = kept.filter("root IS NULL").select("row")
     rows = kept.filter("root IS NOT NULL").groupBy("root").agg(F.min("row").alias("row")).select("row").unionByName(single)
     keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
     first = keyed.join(rows.select(F.col("row").alias("_row")), "_row", "left_semi")
-    return first.dropDuplicates(["_row"]).select(*docs.columns)
+    return back(first.dropDuplicates(["_row"]))

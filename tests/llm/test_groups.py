@@ -61,6 +61,22 @@ def test_large_groups_go_through_sketches(spark):
     assert sorted(tuple(r) for r in superminhash.near_duplicates(df, 4).collect()) == groups(texts, 4)
 
 
+def test_close_pairs_that_are_not_linked_stay_in_their_tasks(spark, monkeypatch):
+    """Copies of one template just below the threshold: far more pairs are tested than leave a task."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(160):
+        copy = [f"w{k}" for k in range(300)]
+        for at in rng.sample(range(300), 9 if i % 4 else 2):
+            copy[at] = f"n{i}x{at}"
+        texts.append((i, " ".join(copy)))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    made = []
+    monkeypatch.setattr(components, "settled", lambda df, purpose, settle=components.settled: made.append((purpose, settle(df, purpose))) or made[-1][1])
+    assert sorted(tuple(r) for r in superminhash.near_duplicates(df, 4).collect()) == groups(texts, 4)
+    assert [d for p, d in made if p == "found"][-1].count() < 160
+
+
 def test_no_documents_make_no_groups(empty):
     assert superminhash.near_duplicates(empty).count() == 0
     assert superminhash.deduplicated(empty).columns == empty.columns
