@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.llm.common import WORD, settled
+from panelwise.llm.common import WORD, settled, shielded
 
 #: Weights by position of the source, repeating.
 WEIGHTS = (3, 1, 2)
@@ -154,7 +154,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it, to the nearest whole number (rows of one id alike)."""
+    docs, back = shielded(docs, "doc_id", "text", "source")
     got = mix(docs, **options).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     times = got.select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_times"))
     joined = docs.join(times.filter("_times > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)
+    return back(joined.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))))

@@ -7,6 +7,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwise.llm.common import sent
+
 #: Bits of every bitmap: 4 MB, whatever the data.
 BITS = 1 << 25
 
@@ -18,7 +20,7 @@ def sieve(df: DataFrame, column: str) -> Broadcast:
     rows = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 AS int))")).alias("bits")).toArrow()
     bitmap = np.zeros(BITS // 64, np.int64)
     bitmap[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
-    return df.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+    return sent(df.sparkSession, bitmap.view(np.uint64))
 
 
 def passes(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:

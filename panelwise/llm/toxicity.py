@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.llm.batches import pieces
-from panelwise.llm.common import in_arrow, settled
+from panelwise.llm.common import in_arrow, sent, settled, shielded
 
 SAMPLE = 50_000
 LEXICON = 50_000
@@ -245,11 +245,11 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: in
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` with ``score``, ``evidence`` and ``passages`` (first and last word, strength)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("strength", pa.float64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known = held.value
         for piece in pieces(batches, "_text"):
             got = [known.passages(t) for t in piece.column("_text").to_pylist()]
             x = np.array([e for _, e in got])
@@ -270,5 +270,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    got = scored(docs, fitted(docs, labels), docs.columns)
-    return got.filter(F.col("score") < REJECT).select(*docs.columns)
+    plain, back = shielded(docs, "doc_id", "text")
+    return back(scored(plain, fitted(plain, labels), plain.columns).filter(F.col("score") < REJECT))

@@ -245,3 +245,26 @@ def test_pipeline(spark):
     ids = Counter(r.doc_id for r in before.collect())
     assert max(ids.values()) <= 2
     assert Counter(r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, before, SF).collect()) == ids
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    import corpus_pipeline
+
+    names = ["n_lines", "n_removed", "_text", "_late", "_row", "score", "evidence", "passages", "_times", "_copy", "_id", "node", "root", "kept"]
+    odd = docs.select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    lost = spark.createDataFrame([(None, "alone without an id", None, None, None, *["x"] * len(names))], odd.schema)
+    before = odd.unionByName(lost)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = spark.createDataFrame(stage(spark, before, SF).collect(), before.schema)
+        assert after.columns == odd.columns, name
+        assert after.filter("doc_id IS NULL").count() >= 1, name
+        kept = after.filter("doc_id IS NOT NULL")
+        assert kept.filter(" OR ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)).count() == 0, name
+        before = after
+
+
+def test_stages_of_nothing(spark, empty):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
