@@ -1,15 +1,22 @@
 """The corpus pipeline: documents pass through five text operators, each stage written and read again.
 
 Every stage takes all that its predecessor kept and returns the columns of ``documents``; the last returns tokens.
+
+Nulls, empty and very long texts, ties, repeated rows, empty tables and extra columns of any name pass through each stage
+as its operator defines it: a null or empty text is neither toxic nor a duplicate, and the mix, which counts words, does
+not take it; rows without id are rows of their own; columns other than id, text and source keep their values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwise.llm import bpe, lines, mixing, superminhash, toxicity
-from panelwise.llm.common import settled, table
+from panelwise.llm.common import release, settled, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +44,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digest(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
 
 
+def _freeing(stage: Callable) -> Callable:
+    """The stage, after freeing what the stages before it have broadcast: a stage begins when its input is written."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release()
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("line_dedup", drop_lines),
-    ("near_dedup", drop_near_duplicates),
-    ("mixing", mix_sources),
-    ("bpe", encode),
+    ("toxicity", _freeing(drop_toxic)),
+    ("line_dedup", _freeing(drop_lines)),
+    ("near_dedup", _freeing(drop_near_duplicates)),
+    ("mixing", _freeing(mix_sources)),
+    ("bpe", _freeing(encode)),
 ]
 
 #: SQL cannot express the stages; tests compare them with direct evaluation.
