@@ -12,6 +12,7 @@ from workload.fixtures import STATEMENTS, by_split, scored, statements
 KEY = "o_custkey"
 TREES = {"maxIter": 5, "maxDepth": 3, "stepSize": 0.2}
 PATIENCE = 3
+DRIFT = 0.55
 
 
 def features(spark: SparkSession, sf_dir: str, panel: DataFrame | None = None) -> DataFrame:
@@ -161,13 +162,46 @@ def drift_features(spark, sf_dir):
     who = drift.population(parts["train"], parts["test"], STATEMENTS, "train_vs_private")
     table = _stored(features(spark, sf_dir).join(who, KEY), "drift")
     names = [c for c in table.columns if c not in (KEY, "month", "target")]
-    found = drift.drift_features(table, names, "target", KEY, threshold=0.55, step=4, params=TREES)
+    found = drift.drift_features(table, names, "target", KEY, threshold=DRIFT, step=4, params=TREES)
     path = fresh_folder(spark, "drift-report")
     kept = spark.createDataFrame([(f,) for f in found.kept], "feature string")
     tables.write_drift_report(found.report, kept, path)
     return spark.read.schema("round int, auc double, feature string, status string").json(f"{path}/report")
 
 
+def oof_stored(spark, sf_dir):
+    """Out-of-fold rows as stored by fold and read back: each training row once, in its fold, with a probability."""
+    inside = F.col("predicted").between(0, 1).cast("int")
+    return cv_oof(spark, sf_dir).select(KEY, "target", "fold", inside.alias("is_probability"))
+
+
+def importance_mean(spark, sf_dir):
+    """The stored mean importances: as many as features, in falling order, none negative, one in all."""
+    stored = feature_importance(spark, sf_dir)
+    return stored.agg(
+        F.count("feature").alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).cast("int").alias("sums_to_one"),
+        (F.min("importance") >= 0).cast("int").alias("none_negative"),
+    )
+
+
+def drift_rounds(spark, sf_dir):
+    """The stored drift search: features go only while the AUC is above the threshold, each once, and it ends below it."""
+    report = drift_features(spark, sf_dir)
+    gone = F.col("status") == "dropped"
+    last = F.max_by(F.struct("status", "auc"), F.struct("round", F.col("status") == "done"))
+    return report.agg(
+        F.coalesce(F.min(F.when(gone, (F.col("auc") > DRIFT).cast("int"))), F.lit(1)).alias("drops_above"),
+        (F.count(F.when(gone, F.col("feature"))) - F.count(F.when(F.col("status") == "restored", 1)) >= 0).cast("int").alias("restores_dropped"),
+        F.when(last["status"] == "done", F.coalesce(last["auc"] <= DRIFT, F.lit(True))).cast("int").alias("ends_below"),
+    )
+
+
+def search_trials(spark, sf_dir):
+    """All trials of the search: parameters inside the space, a score of at most one."""
+    inside = F.col("max_depth").between(1, 3) & F.col("step_size").between(0.05, 0.5) & (F.col("score") <= 1)
+    return random_search(spark, sf_dir).select("trial", inside.cast("int").alias("is_inside"))
+
+
 def corr_filter(spark, sf_dir):
     """Feature table without columns correlated above 0.9 with an earlier one."""
     table = _stored(features(spark, sf_dir), "corr")
@@ -206,6 +240,6 @@ def queries() -> dict:
     found = (
         cv_oof, cv_coverage, cv_scores, cv_early_stopping, feature_importance, top_features, fold_mean_predict,
         saved_models, random_search, drift_features, corr_filter, pca, importance_by_fold, cv_stages, predict_mixed,
-        corr_filter_kept, pca_variance,
+        corr_filter_kept, pca_variance, oof_stored, importance_mean, drift_rounds, search_trials,
     )
     return {f.__name__: f for f in found}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from workload.oracle_families import AGED, NUM, PANEL, agg
+from workload.oracle_scores import _folds as folds
 
 DAYS = "CAST(floor(date_diff('microsecond', previous, o_orderdate) / 86400000000.0) AS INTEGER)"
 #: The features of the model queries, in their order.
@@ -20,6 +21,12 @@ def models() -> dict[str, str]:
     customers = "FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)"
     pairs = "\nUNION ALL ".join(f"SELECT {i} AS i, {j} AS j, corr({a}, {b}) AS c FROM m" for j, b in enumerate(NAMES) for i, a in enumerate(NAMES[:j]))
     return {
+        "oof_stored": folds(3, "(SELECT * FROM s WHERE key IN (SELECT o_custkey FROM orders))").replace(
+            "SELECT p.key, p.target, CAST", "SELECT p.key AS o_custkey, p.target, 1 AS is_probability, CAST"
+        ),
+        "importance_mean": f"SELECT {len(NAMES)} AS features, 1 AS sums_to_one, 1 AS none_negative",
+        "drift_rounds": "SELECT 1 AS drops_above, 1 AS restores_dropped, 1 AS ends_below",
+        "search_trials": "SELECT CAST(i AS INTEGER) AS trial, 1 AS is_inside FROM range(4) t(i)",
         "importance_by_fold": f"SELECT CAST(i AS INTEGER) AS fold, {len(NAMES)} AS features, 1 AS sums_to_one FROM range(3) t(i)",
         "cv_stages": "SELECT CAST(i AS INTEGER) AS fold, 10 AS stages, 1 AS is_best FROM range(3) t(i)",
         "predict_mixed": f"SELECT c_custkey AS o_custkey, 1 AS is_same {customers}",
