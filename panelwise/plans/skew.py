@@ -60,6 +60,9 @@ def consecutive_gaps(rows: DataFrame, spec: PanelSpec, name: str) -> DataFrame:
     cols = [quoted(c) for c in names]
     narrow = written(rows.selectExpr(*cols), "gaps")
     buckets = max(1, -(-narrow.count() // ordering.ROWS_PER_BUCKET))
+    if buckets == 1:  # few rows, whatever their keys: a window per key
+        before = f"lag({cols[1]}) OVER (PARTITION BY {cols[0]} ORDER BY {', '.join(cols[1:])})"
+        return narrow.selectExpr(*cols, f"{before} AS _before").selectExpr(*cols, f"{day_gap_sql(cols[1], '_before')} AS {quoted(name)}")
     cut = written(in_buckets(narrow, names, buckets), "gaps")
     row = f"named_struct('k', {cols[0]}, 't', {cols[1]})"
     ends = cut.groupBy(BUCKET).agg(F.expr(f"max_by({row}, struct({', '.join(cols)})) AS _end"))
