@@ -124,9 +124,10 @@ def _by_cells(df: DataFrame, labels: LabelMap, columns: Sequence[str]) -> DataFr
     )
     codes = labels.table.select("name", "txt", "code", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     same = (F.col("_name") == F.col("name")) & F.col("_cell").eqNullSafe(F.col("txt")) & (F.col("_salt") == F.col("salt"))
-    found = cells.join(codes, same, "left").select("_id", "_at", "code")
+    # the numbers' files are small for their rows, so Spark would broadcast all parts of all values if left to choose
+    found = cells.join(codes.hint("merge"), same, "left").select("_id", "_at", "code")
     numbers = found.groupBy("_id").agg(*[F.max(F.when(F.col("_at") == i, F.col("code"))).alias(f"_code_{i}") for i in range(len(columns))])
-    joined = rows.join(numbers, "_id")
+    joined = rows.hint("merge").join(numbers, "_id")
     place = {c: i for i, c in enumerate(columns)}
     return joined.select(*[_code(x, F.col(x).cast("string"), F.col(f"_code_{place[x]}")) if x in place else F.col(x) for x in df.columns])
 

@@ -179,6 +179,18 @@ def test_labels(spark, monkeypatch, small):
         encode.apply_labels(unseen, labels, ["c"]).collect()
 
 
+def test_many_labels_are_not_broadcast(spark, monkeypatch, capsys):
+    """Files of numbered values are far smaller than their rows; Spark must not choose by them."""
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", 100)
+    df = spark.range(2000).selectExpr("id", "concat('v', id) AS c", "IF(id % 3 = 0, 'x', NULL) AS d")
+    labels = encode.fit_labels(df, ["c", "d"])
+    out = encode.apply_labels(df, labels, ["c", "d"])
+    out.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    place = {c: i for i, c in enumerate(sorted(f"v{i}" for i in range(2000)))}
+    assert sorted(map(tuple, out.collect())) == [(i, place[f"v{i}"], int(i % 3 > 0)) for i in range(2000)]
+
+
 def test_rounding_is_half_even(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (-0.125,)], "x_last double")
     out = encode.round_last(df).collect()
