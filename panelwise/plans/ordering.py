@@ -45,8 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class SplitPoints:
     """Ascending split tuples of an order; bucket n holds rows with exactly n splits at or below them.
 
-    For callers that want to fix the cut of an order themselves; they are constants of the plan, so a few thousand at
-    most. Without them buckets are dealt out by Spark.
+    For callers that want to fix the cut of an order themselves; they are constants of the plan, searched by halving, so
+    a row costs as many comparisons as the number of splits has bits. Without them buckets are dealt out by Spark.
     """
 
     splits: list[tuple]
@@ -54,27 +54,18 @@ class SplitPoints:
     total: int  # rows of the table
 
     def add_bucket(self, df: DataFrame, order: list[str]) -> DataFrame:
-        """Two short searches (group of splits, then split in the group) instead of one long one."""
         if not self.splits:
             return df.selectExpr("*", f"0 AS {BUCKET}")
-        stride = math.isqrt(len(self.splits)) + 1
-        groups = [self.splits[i : i + stride] for i in range(0, len(self.splits), stride)]
+        many = len(self.splits)
         struct = "struct<" + ",".join(f"o{i}:{t}" for i, t in enumerate(self.types)) + ">"
         row = "named_struct(" + ", ".join(
             f"'o{i}', CAST({o} AS {t})" for i, (o, t) in enumerate(zip(order, self.types))
         ) + ")"
-        heads = _literal([g[0] for g in groups], f"array<{struct}>")
-        members = _literal(groups, f"array<array<{struct}>>")
-        return (
-            df.selectExpr("*", f"{row} AS _row")
-            .selectExpr("*", f"size(filter({heads}, s -> s <= _row)) AS _group")
-            .selectExpr(
-                "*",
-                f"CASE WHEN _group = 0 THEN 0 ELSE (_group - 1) * {stride}"
-                f" + size(filter(element_at({members}, _group), s -> s <= _row)) END AS {BUCKET}",
-            )
-            .drop("_row", "_group")
-        )
+        splits = _literal(self.splits, f"array<{struct}>")
+        steps = ", ".join(str(1 << k) for k in reversed(range(many.bit_length())))
+        further = f"n + step <= {many} AND element_at({splits}, least(n + step, {many})) <= _row"
+        found = f"aggregate(array({steps}), 0, (n, step) -> IF({further}, n + step, n))"
+        return df.selectExpr("*", f"{row} AS _row").selectExpr("*", f"{found} AS {BUCKET}").drop("_row")
 
 
 def _literal(splits: list, kind: str) -> str:
@@ -94,7 +85,7 @@ def _literal(splits: list, kind: str) -> str:
 
 
 def split_points(df: DataFrame, order: list[str], rows_per_bucket: int | None = None) -> SplitPoints:
-    """Count the rows, sample ``order`` and return one split per bucket after the first."""
+    """Count the rows, put a sample of ``order`` in order and return one split per bucket after the first."""
     cols = df.selectExpr(*[f"{o} AS o{i}" for i, o in enumerate(order)])
     types = [f.dataType.simpleString() for f in cols.schema.fields]
     total = cols.count()
@@ -103,10 +94,10 @@ def split_points(df: DataFrame, order: list[str], rows_per_bucket: int | None =
         return SplitPoints([], types, total)
     want = buckets * SAMPLE_PER_BUCKET
     sample = cols if total <= 2 * want else cols.sample(fraction=want / total, seed=17)
-    # NULL sorts first, as in SQL, and is cut by the later columns like any other value
-    ranked = sorted((tuple(r) for r in sample.collect()), key=_nulls_first)
-    step = max(1, math.ceil(len(ranked) / buckets))
-    return SplitPoints(sorted(set(ranked[step::step]), key=_nulls_first), types, total)
+    # NULL sorts first, as in SQL, and is cut by the later columns like any other value; only splits reach the driver
+    ranked = with_position(sample, cols.columns, "_place")
+    cut = ranked.where(f"_place > 0 AND _place % greatest(1, ceil(_place_total / {buckets})) = 0").select(*cols.columns)
+    return SplitPoints(sorted({tuple(r) for r in cut.collect()}, key=_nulls_first), types, total)
 
 
 def _nulls_first(row: tuple) -> tuple:

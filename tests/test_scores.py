@@ -1,5 +1,7 @@
 """Metrics, order, folds, encoders, store and models against direct evaluation."""
 
+import bisect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -105,6 +107,24 @@ def test_buckets_stay_balanced_under_ties(scored, monkeypatch):
     assert len(sizes) >= 8 and max(sizes) <= 250
 
 
+def test_many_buckets_bring_only_their_splits_to_the_driver(spark, monkeypatch):
+    df = spark.range(6000).selectExpr("id AS k", "IF(id % 7 = 0, NULL, pmod(id * 31, 97)) AS s")
+    kind, brought = type(df), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: brought.append(collect(self)) or brought[-1])
+    points = ordering.split_points(df, ["s", "k"], rows_per_bucket=10)
+    assert 400 <= len(points.splits) and max(map(len, brought)) <= 700
+    monkeypatch.undo()
+    cut = points.add_bucket(df, ["s", "k"])
+    key = lambda row: tuple((v is not None, v) for v in row)
+    splits = [key(p) for p in points.splits]
+    assert all(r[ordering.BUCKET] == bisect.bisect_right(splits, key((r.s, r.k))) for r in cut.collect())
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan  # no walk along all splits of a group
+    placed = ordering.with_position(df, ["s", "k"], "place", points)
+    assert [r.place for r in placed.orderBy("s", "k").collect()] == list(range(6000))
+
+
 def direct_folds(target, k):
     """Deal the class-sorted rows to folds by position; blocks per class in row order."""
     codes = pd.factorize(target)[0]
