@@ -264,3 +264,13 @@ def test_windows_of_smaller_owners():
                 low[p[i : i + length]] = min(low.get(p[i : i + length], 9), o)
         want = [i + length <= len(p) and low[p[i : i + length]] < o for p, o in zip(parts, owner) for i in range(len(p))]
         assert repeats.earlier_windows(np.frombuffer(b"".join(parts), np.uint8), at, owner, length).tolist() == want
+
+
+def test_word_pairs_are_counted_in_all_documents(docs, rows):
+    seen = np.zeros(lines.SLOTS, np.int64)
+    hashes, _ = lines.Lines(pa.array([t for _, t in rows], pa.string())).pairs()
+    np.add.at(seen, (hashes % np.uint64(lines.SLOTS)).astype(np.int64), 1)
+    known = seen > 0
+    expected = np.zeros(lines.SLOTS, np.uint8)
+    expected[known] = np.minimum(1 + 2 * np.log2(seen[known]), 63).astype(np.uint8)
+    assert (lines._levels(lines._keyed(docs, "doc_id", "text")).value == expected).all()
