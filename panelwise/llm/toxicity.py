@@ -13,8 +13,7 @@ chance among ``n`` words. Segments with ``lambda * S - ln n >= SIGNIFICANT`` are
 of ``exp(lambda * S) / n`` over all segments of a document is its evidence, which a logistic curve turns into a
 probability. Texts without any segment have one score, the smoothed share of toxic ones among them.
 
-Fitting: log-odds and curve use at most ``SAMPLE`` labelled documents, those with the smallest hash of their id; the
-prior uses all documents. Only the features of a bounded lexicon (``LEXICON``) travel to the executors.
+Fitting: log-odds and curve use all labelled documents that are not held out; the prior uses all documents. Only the features of a bounded lexicon (``LEXICON``) travel to the executors.
 
 Defined results: a null or empty text has no segment and scores like a text without toxic words; labels that are
 null are not learned from, of several labels for a document the largest counts; without any toxic or any other
@@ -37,7 +36,8 @@ from pyspark.sql import functions as F
 from panelwise.llm.batches import pieces
 from panelwise.llm.common import in_arrow, sent, settled, shielded
 
-SAMPLE = 50_000
+#: So many labels are broadcast to the documents, more of them meet in a shuffle.
+BROADCAST = 200_000
 LEXICON = 50_000
 PRIOR = 20_000.0
 LEAST_SCORE = 1.0
@@ -62,11 +62,10 @@ def features(chunk: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n))
 
 
-def labelled(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, toxic`` of the labelled documents to learn from."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the labelled documents to learn from: all that are not held out."""
     kept = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out())
-    kept = kept.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    return kept.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
 def _counted(docs: DataFrame, wanted: set[str] | None) -> DataFrame:
@@ -208,10 +207,11 @@ def logistic(x: np.ndarray, positive: np.ndarray, n: np.ndarray, ridge: float =
     return float(w[0]), max(0.0, float(w[1]) / 10.0)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lexicon: int = LEXICON) -> Model:
+def fitted(docs: DataFrame, labels: DataFrame, lexicon: int = LEXICON) -> Model:
     """Learn feature scores, the chance rate and the curve."""
-    chosen = settled(labelled(labels, sample), "toxicity-sample")
-    train = settled(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity-train")
+    chosen = settled(labelled(labels), "toxicity-labels")
+    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST else chosen.hint("merge")
+    train = settled(docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic"), "toxicity-train")
     sizes = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not other:

@@ -229,6 +229,22 @@ def test_toxicity_of_odd_inputs(spark, docs, empty):
     assert toxicity.accepted(docs, labels).columns == docs.columns
 
 
+def test_toxicity_learns_from_all_labels_not_held_out(spark):
+    many = spark.range(100_000).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS toxic")
+    got = toxicity.labelled(many)
+    assert got.count() == many.filter("crc32(cast(doc_id AS string)) % 3 <> 1").count() > 50_000
+
+
+def test_many_labels_meet_documents_in_a_shuffle(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "vile awful words" if i % 2 else "kind calm words") for i in range(300)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS toxic")
+    monkeypatch.setattr(toxicity, "PRIOR", 1.0)
+    few = toxicity.fitted(docs, labels)
+    monkeypatch.setattr(toxicity, "BROADCAST", 10)
+    many = toxicity.fitted(docs, labels)
+    assert few.scores and (many.scores, many.curve, many.bare) == (few.scores, few.curve, few.bare)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from panelwise.llm.common import settled
