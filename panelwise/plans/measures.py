@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from panelwise.functions.scalar import day_gap, quoted, within_days_sql
 from panelwise.plans.ordering import written
 from panelwise.plans.segments import GAP_COLUMN, RowSet, Wanted, reduce_sorted, suits
-from panelwise.plans.skew import ROWS_PER_KEY, HotKeys, consecutive_gaps, find_hot_keys
+from panelwise.plans.skew import ROWS_PER_KEY, HotKeys, consecutive_gaps, find_hot_keys, tasks_sized
 from panelwise.spec import PanelSpec
 
 # columns a measure may read besides the panel's own
@@ -213,7 +213,10 @@ def _reduce_any(
         reduced = _grouped(_annotated(ordinary, spec, reads | {AGE}), spec.key, measures, f"-{AGE}")
     if crowded is None:
         return reduced
-    return reduced.unionByName(_reduce_hot(crowded, spec, measures, reads, hot))
+    # medians and distinct counts of large keys make a row of every value
+    values = len({m.value for m in measures if m.stat in ("median", "nunique")})
+    with tasks_sized(rows.sparkSession, hot.total + hot.rows * values):
+        return written(reduced.unionByName(_reduce_hot(crowded, spec, measures, reads, hot)), "large-keys")
 
 
 def _reduce_hot(

@@ -150,6 +150,31 @@ def test_many_split_keys_without_broadcast(spark, skewed, monkeypatch):
     pd.testing.assert_frame_equal(frames[0], frames[1][frames[0].columns], rtol=1e-9)
 
 
+def test_split_plans_take_tasks_by_their_rows(spark, skewed, monkeypatch):
+    from panelwise.plans import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 200)
+    settings = (skew.PARTITIONS, skew.COALESCE, skew.READ)
+    before = [spark.conf.get(n) for n in settings]
+    out = fam.build(skewed, SPEC, ALL, rows_per_key=30)
+    assert [spark.conf.get(n) for n in settings] == before
+    assert len(out.inputFiles()) > int(before[0])  # 3000 rows: more tasks than the session's 8
+    frames = [f.toPandas().sort_values("k").reset_index(drop=True) for f in (fam.build(skewed, SPEC, ALL, rows_per_key=10**9), out)]
+    pd.testing.assert_frame_equal(frames[0], frames[1][frames[0].columns], rtol=1e-9)
+
+
+def test_overlapping_sizes_go_back_to_the_session(spark, monkeypatch):
+    from panelwise.plans import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    before, seen = spark.conf.get(skew.PARTITIONS), []
+    first, second = skew.tasks_sized(spark, 300), skew.tasks_sized(spark, 205)
+    for step in (first.__enter__, second.__enter__, lambda: first.__exit__(None, None, None), lambda: second.__exit__(None, None, None)):
+        step()
+        seen.append(spark.conf.get(skew.PARTITIONS))
+    assert seen == ["30", "30", "21", before]
+
+
 # --- plans ----------------------------------------------------------------------------------------
 
 
