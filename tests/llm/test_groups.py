@@ -213,6 +213,18 @@ def test_lines_are_linked_by_edit_distance_alone(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values())
 
 
+def test_counts_of_word_pairs_travel_in_few_rows():
+    rng = np.random.default_rng(3)
+    seen = [np.where(rng.random(lines.SLOTS) < 0.3, rng.integers(0, 1 << 40, lines.SLOTS), 0) for _ in range(3)]
+    seen[0][: 5 * lines.SLOTS_A_ROW] = 0
+    batches = [b for s in seen for b in lines._counts_sent(s)]
+    assert sum(b.num_rows for b in batches) == 3 * lines.SLOTS // lines.SLOTS_A_ROW - 5
+    total = np.zeros(lines.SLOTS, np.int64)
+    for b in lines._counts_added(iter(batches)):
+        total[b.column("slot").to_numpy()] += b.column("n").to_numpy()
+    assert (total == sum(seen)).all()
+
+
 def test_no_lines(empty):
     assert lines.deduplicated(empty).count() == 0 and lines.thinned(empty).columns == empty.columns
 
