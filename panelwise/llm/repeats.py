@@ -33,7 +33,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.batches import flat_text, mixed, pieces, powers, spread
+from panelwise.llm.batches import TEXT_BYTES, flat_text, mixed, pieces, powers, spread
 from panelwise.llm.common import in_arrow, settled, text_of
 from panelwise.llm.sieve import passes, sieve
 from panelwise.llm.suffixes import permuted_prefixes, suffix_array
@@ -50,36 +50,44 @@ BACK = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 
 
 class Stretches:
-    """Runs of windows with one anchor: row, first byte, number of windows, anchor and hash of the bytes."""
+    """Runs of windows with one anchor: row, first byte, number of windows, anchor and hash of the bytes.
+
+    Found in whole rows of about ``TEXT_BYTES`` at a time, as the arrays on the way take many times as much as the text.
+    """
 
     def __init__(self, data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-        self.data, self.at, self.length = data, at, length
-        empty = np.zeros(0, np.int64)
-        self.row = self.start = self.windows = empty
-        self.anchor = np.zeros(0, np.int64)
-        if len(data) < length:
-            return
-        self.sums = _sums(data)
-        low = _anchors(self.sums, length, gram)
-        fits = np.zeros(len(low) + 1, np.int8)  # windows that end inside their row
-        room = np.flatnonzero(np.diff(at) >= length)
-        fits[at[room]] = 1
-        np.add.at(fits, at[room + 1] - length + 1, -1)
-        fits = np.cumsum(fits[:-1], dtype=np.int8).astype(bool)
-        change = np.ones(len(low), bool)
-        change[1:] = low[1:] != low[:-1]
-        change[at[room]] = True
-        change[1:] |= ~fits[:-1]
-        self.start = np.flatnonzero(change & fits)
-        upto = np.concatenate([[0], np.cumsum(fits)])
-        self.windows = upto[np.append(self.start[1:], len(low))] - upto[self.start] if len(self.start) else empty
-        self.row = np.searchsorted(at, self.start, side="right") - 1
-        self.anchor = low[self.start].view(np.int64)
-
-    def hashes(self, chosen: np.ndarray) -> np.ndarray:
-        begin = self.start[chosen]
-        size = self.windows[chosen] + self.length - 1
-        return mixed((self.sums[begin + size] - self.sums[begin]) * powers(BACK, len(self.sums))[begin] + size.astype(np.uint64)).view(np.int64)
+        self.data, self.at = data, at
+        parts, begin = [], 0
+        while begin < len(at) - 1:
+            end = max(begin + 1, int(np.searchsorted(at, at[begin] + TEXT_BYTES, side="right")) - 1)
+            row, start, *more = _stretches(data[at[begin] : at[end]], at[begin : end + 1] - at[begin], length, gram)
+            parts.append((row + begin, start + at[begin], *more))
+            begin = end
+        empty = (np.zeros(0, np.int64),) * 5
+        self.row, self.start, self.windows, self.anchor, self.hash = (np.concatenate(c) for c in zip(*parts or [empty]))
+
+
+def _stretches(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Row, first byte, number of windows, anchor and hash of each stretch."""
+    if len(data) < length:
+        return (np.zeros(0, np.int64),) * 5
+    sums = _sums(data)
+    low = _anchors(sums, length, gram)
+    fits = np.zeros(len(low) + 1, np.int8)  # windows that end inside their row
+    room = np.flatnonzero(np.diff(at) >= length)
+    fits[at[room]] = 1
+    np.add.at(fits, at[room + 1] - length + 1, -1)
+    fits = np.cumsum(fits[:-1], dtype=np.int8).astype(bool)
+    change = np.ones(len(low), bool)
+    change[1:] = low[1:] != low[:-1]
+    change[at[room]] = True
+    change[1:] |= ~fits[:-1]
+    start = np.flatnonzero(change & fits)
+    upto = np.concatenate([[0], np.cumsum(fits)])
+    windows = upto[np.append(start[1:], len(low))] - upto[start] if len(start) else start
+    size = windows + length - 1
+    hashes = mixed((sums[start + size] - sums[start]) * powers(BACK, len(sums))[start] + size.astype(np.uint64))
+    return np.searchsorted(at, start, side="right") - 1, start, windows, low[start].view(np.int64), hashes.view(np.int64)
 
 
 def _sums(data: np.ndarray) -> np.ndarray:
@@ -169,7 +177,7 @@ def distinct_stretches(corpus: Corpus, kept: Broadcast) -> DataFrame:
     def make():
         def task(ids: np.ndarray, rows: np.ndarray, found: Stretches) -> pa.RecordBatch:
             chosen = np.flatnonzero(passes(kept.value, found.anchor)) if len(found.anchor) else found.row
-            g = found.hashes(chosen) if len(chosen) else found.anchor[:0]
+            g = found.hash[chosen]
             owner = ids[found.row[chosen]]
             order = np.lexsort((owner, g))
             new = np.ones(len(g), bool)
@@ -268,7 +276,7 @@ def occurrences(corpus: Corpus, shared: Broadcast, kept: Broadcast) -> DataFrame
     def make():
         def task(ids: np.ndarray, rows: np.ndarray, found: Stretches) -> pa.RecordBatch:
             chosen = np.flatnonzero(passes(shared.value, found.anchor)) if len(found.anchor) else found.row
-            g = found.hashes(chosen) if len(chosen) else found.anchor[:0]
+            g = found.hash[chosen]
             judged_ = passes(kept.value, g) if len(g) else np.zeros(0, bool)
             chosen, g = chosen[judged_], g[judged_]
             begin = (found.start - found.at[found.row])[chosen] if len(chosen) else chosen

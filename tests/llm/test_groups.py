@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -278,6 +279,23 @@ def test_windows_of_smaller_owners():
         assert repeats.earlier_windows(np.frombuffer(b"".join(parts), np.uint8), at, owner, length).tolist() == want
 
 
+def test_stretches_take_room_by_rows_not_by_piece():
+    rng = np.random.default_rng(5)
+    size = rng.integers(0, 3000, 2600)
+    at = np.concatenate([[0], np.cumsum(size)])
+    data = rng.integers(97, 100, at[-1]).astype(np.uint8)
+    tracemalloc.start()
+    found = repeats.Stretches(data, at)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30 * len(data)
+    for i in [*range(20), *range(2580, 2600)]:
+        alone, mine = repeats.Stretches(data[at[i] : at[i + 1]], np.array([0, size[i]])), found.row == i
+        for c in ("windows", "anchor", "hash"):
+            assert (getattr(found, c)[mine] == getattr(alone, c)).all()
+        assert (found.start[mine] == alone.start + at[i]).all()
+
+
 def test_word_pairs_are_counted_in_all_documents(docs, rows):
     seen = np.zeros(lines.SLOTS, np.int64)
     hashes, _ = lines.Lines(pa.array([t for _, t in rows], pa.string())).pairs()
