@@ -27,36 +27,66 @@ from pyspark.sql import functions as F
 from panelwise.llm.common import settled, text_of
 
 SAMPLES = 64
-#: Draws that one pass over a document's terms makes.
+#: So many neighbouring places share a number that is hashed with what they take.
 TOGETHER = 4
+#: A place's smallest draw of a text is above ``SURELY`` by its number of words with a probability of ``exp(-SURELY)``.
+SURELY = 20.0
 
 
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``places``, an array of ``samples`` numbers, for each row of ``keys, text`` (keys are unique, and not wide)."""
+    """``keys`` and ``places``, an array of ``samples`` numbers, for each row of ``keys, text`` (keys are unique, and not wide).
+
+    Texts that have a place without a draw below their limit, if any, are drawn once more without limit.
+    """
+    first = settled(_drawn(texts, keys, samples, SURELY), "sampling-draws")
+    if first.filter("lost").isEmpty():
+        return first.drop("lost")
+    again = texts.join(first.filter("lost").select(*keys), keys, "left_semi")
+    return settled(first.filter("NOT lost").unionByName(_drawn(again, keys, samples, None)).drop("lost"), "sampling-prints")
+
+
+def _drawn(texts: DataFrame, keys: list[str], samples: int, surely: float | None) -> DataFrame:
+    """``keys, places`` and whether a place is ``lost``, because no draw of the text is below ``surely`` by its number of words.
+
+    A minimum of exponential variates of rates ``w`` is one of the rate ``sum(w)``. What cannot be below the limit is left
+    out before its logarithms are taken: with ``y`` and ``z`` the products of uniforms behind ``c`` and ``r``, ``c`` is at
+    least ``2 (1 - y) / (1 + y)``, and ``exp(ln c - r (t - b) - r)`` at least ``c z / w``, for single words at least
+    ``c z / (z + (1 - b) (1 - z))``.
+    """
     hashed = F.transform(F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
     terms = texts.select(*keys, F.sort_array(hashed).alias("_s"))
     ends = F.expr("if(size(_s) > 0, filter(sequence(0, size(_s) - 1), i -> i = size(_s) - 1 OR _s[i] <> _s[i + 1]), array())")
     terms = terms.select(*keys, "_s", ends.alias("_e"))
     runs = F.expr("transform(_e, (e, j) -> struct(_s[e] AS _w, e - if(j = 0, -1, _e[j - 1]) AS _n))")
-    # outer: an inner generator would have its input filtered first, working the arrays out twice
-    terms = terms.select(*keys, F.inline_outer(runs)).select(*keys, "_w", F.log(F.coalesce("_n", F.lit(1)).cast("double")).alias("_lw"))
-    terms = terms.withColumn("_g", F.explode(F.expr(f"sequence(0, {-(-samples // TOGETHER) - 1})")))
-    each = range(TOGETHER)
+    # a term that is null stands in every place, so that each has a row; in a text without words it is the only one
+    runs = F.concat(runs, F.expr("array(struct(cast(NULL AS bigint) AS _w, size(_s) AS _n))"))
+    limit = F.lit(surely) / F.size("_s") if surely else F.lit(float("inf"))
+    terms = terms.select(*keys, F.when(F.size("_s") > 0, limit).alias("_limit"), F.inline(runs))
+    terms = terms.select(*keys, "_limit", F.log("_limit").alias("_most"), "_w", F.col("_n").cast("double").alias("_n"), F.log(F.greatest("_n", F.lit(1)).cast("double")).alias("_lw"))
+    terms = terms.withColumn("_g", F.explode(F.expr(f"sequence(0, {samples - 1})")))
     # one step a projection: every value is worked out once, in methods short enough to be compiled
-    terms = terms.select(*keys, "_g", "_lw", *(F.expr(f"xxhash64(_w, _g * {TOGETHER} + {k}, '{side}')").alias(f"_{side}{k}") for side in "ab" for k in each), F.col("_w").isNull().alias("_none"))
+    drawn = terms.select("*", *(F.expr(f"xxhash64(_w, _g, '{side}')").alias(f"_{side}") for side in "ab"))
     steps = (
-        ("r", "-ln(((_a{k} & 2097151) + 0.5D) * ((shiftrightunsigned(_a{k}, 21) & 2097151) + 0.5D) / 4398046511104D)"),
-        ("u", "shiftrightunsigned(_a{k}, 42) / 2097152D"),
-        ("c", "ln(-ln(((_b{k} & 4294967295) + 0.5D) * (shiftrightunsigned(_b{k}, 32) + 0.5D) / 18446744073709551616D))"),
+        ("z", "((_a & 2097151) + 0.5D) * ((shiftrightunsigned(_a, 21) & 2097151) + 0.5D) / 4398046511104D"),
+        ("u", "shiftrightunsigned(_a, 42) / 2097152D"),
+        ("y", "((_b & 4294967295) + 0.5D) * (shiftrightunsigned(_b, 32) + 0.5D) / 18446744073709551616D"),
+        ("x", "_b & 262143L"),
+        # not deterministic, so that a filter stays behind its step, whose values are not worked out twice
+        ("here", "spark_partition_id()"),
     )
-    drawn = terms.select(*keys, "_g", "_lw", "_none", *(F.expr(e.format(k=k)).alias(f"_{n}{k}") for n, e in steps for k in each), *(F.expr(f"_b{k} & 262143L").alias(f"_x{k}") for k in each))
-    drawn = drawn.select("*", *(F.expr(f"floor(_lw / _r{k} + _u{k})").alias(f"_t{k}") for k in each))
-    place = "if(_none, NULL, shiftleft(cast((_c{k} - _r{k} * (_t{k} - _u{k} + 1) + 64D) * 67108864D AS long), 26) | shiftleft(_x{k}, 8) | (_t{k} & 255L))"
-    smallest = [F.min(F.expr(place.format(k=k))).alias(f"_m{k}") for k in each]
-    found = F.array(*(F.coalesce(F.hash(F.col("_g"), F.col(f"_m{k}")), F.lit(0)) for k in range(TOGETHER)))
-    parts = drawn.groupBy(*keys, "_g").agg(*smallest).select(*keys, F.struct("_g", found.alias("p")).alias("part"))
-    whole = parts.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return whole.select(*keys, F.slice(F.flatten("parts.p"), 1, samples).alias("places"))
+    drawn = drawn.select(*keys, "_g", "_limit", "_most", "_w", "_n", "_lw", *(F.expr(e).alias(f"_{n}") for n, e in steps))
+    if surely:
+        drawn = drawn.filter("_here >= 0 AND (_w IS NULL OR 2 * (1 - _y) * _z <= 1.000001D * _limit * (1 + _y) * if(_n = 1, _z + (1 + floor(_u) - _u) * (1 - _z), _n))")
+    drawn = drawn.select("*", F.expr("-ln(_z)").alias("_r"), F.expr("ln(-ln(_y))").alias("_c"))
+    drawn = drawn.select("*", F.expr("floor(_lw / _r + _u)").alias("_t"))
+    drawn = drawn.select(*keys, "_g", "_n", "_w", "_x", "_most", "_t", F.expr("_c - _r * (_t - _u + 1)").alias("_d"), F.expr("spark_partition_id()").alias("_here"))
+    drawn = drawn.filter("_here >= 0 AND (_w IS NULL OR _d < _most)")
+    place = "if(_w IS NULL, if(_n = 0, -1L, NULL), shiftleft(cast((_d + 64D) * 67108864D AS long), 26) | shiftleft(_x, 8) | (_t & 255L))"
+    parts = drawn.groupBy(*keys, "_g").agg(F.min(F.expr(place)).alias("_m"))
+    found = F.expr(f"coalesce(hash(cast(_g div {TOGETHER} AS int), nullif(_m, -1L)), 0)")
+    parts = parts.select(*keys, F.struct("_g", found.alias("p")).alias("part"), F.col("_m").isNull().alias("_lost"))
+    whole = parts.groupBy(*keys).agg(F.sort_array(F.collect_list("part")).alias("parts"), F.max("_lost").alias("lost"))
+    return whole.select(*keys, F.col("parts.p").alias("places"), "lost")
 
 
 def likeness(a, b, samples: int = SAMPLES):
@@ -113,7 +143,7 @@ def digest(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     both = both.withColumn("sum", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     versions = F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text"))))
     both = both.select("k", "next_k", "sum", versions.alias("v")).select("k", "next_k", "sum", "v.kind", "v.text")
-    prints = settled(fingerprints(both, ["k", "next_k", "sum", "kind"], samples), "sampling-prints")
+    prints = fingerprints(both, ["k", "next_k", "sum", "kind"], samples)
     plain = prints.filter("kind = 0").select("k", "next_k", "places")
     other = prints.filter("kind = 1").select("k", "sum", F.col("places").alias("e_places"))
     after = prints.filter("kind = 0").select(F.col("k").alias("next_k"), F.col("places").alias("n_places"))

@@ -119,6 +119,26 @@ def test_likeness_deviates_as_64_places_do(spark):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.075
 
 
+def test_limited_draws_take_what_all_draws_take(spark):
+    texts = ["", "one", "a b a", " ".join(f"w{i % 40}" for i in range(90)), " ".join(f"v{i}" for i in range(200))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    every = {r.k: r.places for r in sampling._drawn(frame, ["k"], 64, None).collect()}
+    lost = {}
+    for limit in (0.5, sampling.SURELY):
+        found = sampling._drawn(frame, ["k"], 64, limit).collect()
+        lost[limit] = [r.k for r in found if r.lost]
+        assert {r.k: r.places for r in found if not r.lost} == {k: p for k, p in every.items() if k not in lost[limit]}
+    assert sorted(lost[0.5]) == [1, 2, 3, 4] and not lost[sampling.SURELY]
+    assert {r.k: r.places for r in sampling.fingerprints(frame, ["k"]).collect()} == every
+
+
+def test_lost_places_are_drawn_again(spark, monkeypatch):
+    frame = spark.createDataFrame([(0, ""), (1, "a b a"), (2, " ".join(f"v{i}" for i in range(50)))], "k long, text string")
+    every = {r.k: r.places for r in sampling._drawn(frame, ["k"], 64, None).collect()}
+    monkeypatch.setattr(sampling, "SURELY", 0.5)
+    assert {r.k: r.places for r in sampling.fingerprints(frame, ["k"]).collect()} == every
+
+
 def test_no_fingerprints(empty):
     assert sampling.digest(empty).count() == 0
 
