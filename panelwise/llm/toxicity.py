@@ -47,6 +47,8 @@ SIGNIFICANT = 3.0
 #: Evidence of a text without any scoring word, and the range of all other evidence.
 NOTHING, LOW, HIGH = -12.0, -10.0, 60.0
 REJECT = 0.7
+#: Words and features that a task remembers.
+WORDS_HELD, FEATURES_HELD = 100_000, 400_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -75,34 +77,47 @@ def _counted(docs: DataFrame, wanted: set[str] | None) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[str, ...]] = {}
-        tally: dict[str, list[int]] = {}
+        known: dict[str, tuple[int, ...]] = {}
+        place: dict[str, int] = {}
+        counts: tuple[list[int], ...] = ([], [], [])  # other, toxic, held
+
+        def placed(f: str) -> int:
+            at = place.setdefault(f, len(place))
+            if at == len(counts[0]):
+                for column in counts:
+                    column.append(0)
+            return at
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array([c[k] for c in tally.values()], pa.int64()) for k in (1, 0, 2)]
-            return pa.RecordBatch.from_arrays([pa.array(tally, pa.string()), *columns], ["feature", "toxic", "other", "held"])
+            columns = [pa.array(counts[k], pa.int64()) for k in (1, 0, 2)]
+            return pa.RecordBatch.from_arrays([pa.array(place, pa.string()), *columns], ["feature", "toxic", "other", "held"])
 
+        placed("")
         for piece in pieces(batches):
-            if len(known) > 400_000:
-                known.clear()
             for text, toxic in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist()):
-                here: dict[str, int] = {}
+                here: dict[int, int] = {}
                 words = 0
                 for chunk, n in Counter((text or "").lower().split()).items():
-                    if (names := known.get(chunk)) is None:
-                        names = known[chunk] = tuple(f for f in features(chunk) if wanted is None or f in wanted)
+                    if (places := known.get(chunk)) is None:
+                        places = known[chunk] = tuple(placed(f) for f in features(chunk) if wanted is None or f in wanted)
                     words += n.bit_length()
-                    for f in names:
+                    for f in places:
                         here[f] = here.get(f, 0) + n
-                for f, n in [*here.items(), ("", 0)]:
-                    counts = tally.get(f)
-                    if counts is None:
-                        counts = tally[f] = [0, 0, 0]
-                    counts[toxic] += n.bit_length() if f else words
-                    counts[2] += toxic
-            if len(tally) > 600_000:
+                counted, held = counts[toxic], counts[2]
+                for f, n in here.items():
+                    counted[f] += n.bit_length()
+                    held[f] += toxic
+                counted[0] += words
+                held[0] += toxic
+            if len(place) > FEATURES_HELD:
                 yield flush()
-                tally = {}
+                place.clear()
+                for column in counts:
+                    column.clear()
+                placed("")
+                known.clear()
+            elif len(known) > WORDS_HELD:
+                known.clear()
         yield flush()
 
     counted = in_arrow(docs.select("text", "toxic"), count, "feature string, toxic long, other long, held long")
@@ -173,7 +188,7 @@ class Model:
 
     def hits(self, text: str) -> tuple[list[tuple[int, float]], int]:
         known, scores = self.words, self.scores
-        if len(known) > 400_000:
+        if len(known) > WORDS_HELD:
             known.clear()
         chunks = text.lower().split()
         for c in [c for c in set(chunks) if c not in known]:
@@ -245,13 +260,14 @@ def fitted(docs: DataFrame, labels: DataFrame, lexicon: int = LEXICON) -> Model:
 
 def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` with ``score``, ``evidence`` and ``passages`` (first and last word, strength)."""
+    text = text_col if text_col in keep else "_text"  # a kept text travels once
     held = sent(docs.sparkSession, model)
     kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("strength", pa.float64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
-        for piece in pieces(batches, "_text"):
-            got = [known.passages(t) for t in piece.column("_text").to_pylist()]
+        for piece in pieces(batches, text):
+            got = [known.passages(t) for t in piece.column(text).to_pylist()]
             x = np.array([e for _, e in got])
             lists = pa.array([[{"first": f, "last": e, "strength": s} for f, e, s in strong] for strong, _ in got], kind)
             values = [*(piece.column(c) for c in keep), pa.array(known.probability(x)), pa.array(x), lists]
@@ -259,7 +275,8 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text
 
     types = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     schema = f"{types}score double, evidence double, passages array<struct<first:int,last:int,strength:double>>"
-    return in_arrow(docs.select(*keep, F.col(text_col).alias("_text")), score, schema)
+    rows = docs.select(*keep) if text == text_col else docs.select(*keep, F.col(text_col).alias(text))
+    return in_arrow(rows, score, schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

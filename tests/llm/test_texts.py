@@ -304,3 +304,19 @@ def test_stages_of_nothing(spark, empty):
 
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_toxicity_counts_in_bounded_room(spark, docs, monkeypatch):
+    few = docs.selectExpr("text", "cast(coalesce(doc_id, 0) % 2 AS int) AS toxic").coalesce(1)
+    every = sorted(toxicity._counted(few, None).collect())
+    monkeypatch.setattr(toxicity, "WORDS_HELD", 20)
+    monkeypatch.setattr(toxicity, "FEATURES_HELD", 100)
+    monkeypatch.setattr(toxicity, "pieces", lambda batches: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    assert sorted(toxicity._counted(few, None).collect()) == every and len(every) > 1000
+
+
+def test_toxicity_sends_a_kept_text_once(docs):
+    got = toxicity.scored(docs, toxicity.Model({}, 1.0), ["doc_id", "text"])
+    assert "_text" not in got._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(repr, got.select("doc_id", "text").collect())) == sorted(map(repr, docs.select("doc_id", "text").collect()))
+    assert toxicity.scored(docs, toxicity.Model({}, 1.0), ["doc_id"]).columns == ["doc_id", "score", "evidence", "passages"]
