@@ -218,6 +218,24 @@ def test_search_finds_what_scoring_everything_finds(docs, rows, empty, monkeypat
     assert search.search(empty, asked, 5).count() == 0 and search.search(docs, asked.limit(0), 5).count() == 0
 
 
+def test_search_over_many_shards_sends_few_rows_and_finds_the_same(spark, monkeypatch):
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(400)], k=rng.randint(1, 60))) for _ in range(600)]
+    texts += [texts[5]] * 40 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    asked = docs.filter("doc_id % 30 = 5").selectExpr("doc_id AS query_id", "text")
+    whole = sorted(map(tuple, search.search(docs, asked, 3).collect()))
+    leaving = []
+    searched = search._searched
+    monkeypatch.setattr(search, "_searched", lambda *a: leaving.append(searched(*a)) or leaving[-1])
+    monkeypatch.setattr(search, "SHARD_BYTES", 1500)
+    monkeypatch.setattr(search, "ROUND", 6)
+    found = sorted(map(tuple, search.search(docs, asked, 3).collect()))
+    assert found == whole and len(found) == 3 * 22
+    assert sum(x.count() for x in leaving) < 22 * 3 * 20  # of the 60 shards each has three documents for almost every query
+
+
 def test_segments_hold_the_best_one():
     rng = random.Random(3)
     for _ in range(200):
