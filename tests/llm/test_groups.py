@@ -2,15 +2,18 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
+import time
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from panelwise.llm import components, lines, repeats, suffixes, superminhash
+from panelwise.llm import components, lines, packed, repeats, suffixes, superminhash
+from panelwise.llm.common import settled
 
 
 def words(text):
@@ -226,6 +229,44 @@ def test_counts_of_word_pairs_travel_in_few_rows():
     assert (total == sum(seen)).all()
 
 
+def test_rows_travel_packed():
+    rng = np.random.default_rng(7)
+    columns = [rng.integers(0, 1 << 40, 3000), rng.integers(-(1 << 62), 1 << 62, 3000), rng.integers(0, 300, 3000), np.zeros(3000, np.int64)]
+    batches = list(packed.dealt(([c[i : i + 700] for c in columns] for i in range(0, 3000, 700)), 5, 40, 2))
+    values = [(p, v) for b in batches for p, v in zip(b.column("part").to_pylist(), b.column("rows").to_pylist())]
+    assert sum(len(v) for _, v in values) < 3000 * 15  # as rows of longs they take 32 bytes each
+    got = [(p, *r) for p, v in values for r in packed.unpacked(v).tolist()]
+    assert sorted(got) == sorted((int(k) * 5 >> 40, *r) for k, r in zip(columns[0], np.stack(columns, axis=1).tolist()))
+    (rows,) = (r for b in batches for r in packed.by_part(iter([b.slice(1, 1)])))
+    assert list(rows) == [2] and rows[2][0].tolist() == packed.unpacked(values[1][1])[0].tolist()
+
+
+def test_equal_groups_of_buckets_have_one_name():
+    near = lambda a, b: np.abs(a[:, 2] - b[:, 2]) <= 2
+    ids = {1: 10, 2: 12, 3: 14, 4: 30, 5: 31, 6: 90}  # 1 to 3 are connected, so are 4 and 5
+    rows = [(7, i, v) for i, v in ids.items()] + [(9, i, ids[i]) for i in (1, 2, 3, 6)] + [(9, 1, 10), (11, 1, 10), (11, 2, 12)]
+    kept, name = lines.partnered(np.array(rows), near)
+    groups = {}
+    for (bucket, i, _), n in zip(kept.tolist(), name.tolist()):
+        groups.setdefault((bucket, n), set()).add(i)
+    assert sorted(map(sorted, groups.values())) == [[1, 2], [1, 2, 3], [1, 2, 3], [4, 5]]
+    assert len({n for _, n in groups}) == 3
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    def files():
+        return sum("shuffle_" in f for top in tracked for _, _, names in os.walk(top) for f in names)
+
+    tracked = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    before = files()
+    kept = settled(spark.range(5000).repartition(4, "id"), "test")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and kept.count() == 5000
+
+
 def test_no_lines(empty):
     assert lines.deduplicated(empty).count() == 0 and lines.thinned(empty).columns == empty.columns
 
